@@ -228,6 +228,118 @@ STEPS = VIEWS | {
     "tx_p": _transaction_features("cutoff_date", "fact_transactions CROSS JOIN cutoffs", "account_id, cutoff_date"),
     "bal_p": _balance_features("cutoff_date", "fact_daily_balances CROSS JOIN cutoffs", "account_id, cutoff_date"),
     "tel_p": _telemetry_features("cutoff_date", "fact_telemetry CROSS JOIN cutoffs", "account_id, cutoff_date"),
+    "valued": """
+        SELECT *, CAST(greatest(round(
+                CAST(current_mrr AS DECIMAL(10,2)) * 12
+                + CAST(tx_volume_90d AS DECIMAL(18,2)) * CAST(4 * take_rate_pct_d * velocity AS DECIMAL(14,8)), 2),
+                CAST(100 AS DECIMAL(10,2))) AS DOUBLE) AS value_12m
+        FROM (SELECT *, CAST(take_rate_pct AS DECIMAL(6,4)) AS take_rate_pct_d,
+                     CAST(greatest(least(tx_volume_velocity_ratio, 2.5), 0.1) AS DECIMAL(5,4)) AS velocity
+              FROM store) x""",
+    "parts": """
+        SELECT account_id, CAST(failed_tx_rate_30d AS DECIMAL(6,4)) * CAST(1.5 AS DECIMAL(6,4)) AS p1,
+               (1 - least(CAST(tx_volume_velocity_ratio AS DECIMAL(18,4)), CAST(1 AS DECIMAL(18,4))))
+                   * CAST(0.3 AS DECIMAL(6,4)) AS p2,
+               CAST(days_since_last_login AS DECIMAL(6,0)) * CAST(0.003 AS DECIMAL(6,4)) AS p3,
+               CAST(greatest(365 - tenure_days, 0) AS DECIMAL(6,0)) * CAST(0.0001 AS DECIMAL(6,4)) AS p4
+        FROM store""",
+    "scored": """
+        SELECT v.*, CAST(round(least(CAST(0.05 AS DECIMAL(6,4)) + p1 + p2 + p3 + p4, 1), 4) AS DOUBLE)
+                   AS churn_probability
+        FROM valued v JOIN parts USING (account_id)""",
+    # Every row against every threshold of the grid.
+    "sweep": """
+        SELECT threshold, CAST(count(*) FILTER (churn_probability >= threshold) AS BIGINT) AS hits,
+               CAST(count(*) FILTER (churn_probability >= threshold AND churn_next_60d = 1) AS BIGINT) AS tp,
+               CAST(coalesce(sum(CAST(current_mrr AS DECIMAL(18,2)))
+                    FILTER (churn_probability >= threshold AND churn_next_60d = 1), 0) AS DOUBLE)
+                   * 12.0::DOUBLE * 0.40::DOUBLE
+               - CAST(count(*) FILTER (churn_probability >= threshold) AS DOUBLE) * 350.0::DOUBLE AS net
+        FROM scored CROSS JOIN (SELECT k / 100.0::DOUBLE AS threshold FROM range(5, 91) g(k)) t
+        GROUP BY threshold""",
+    "best": "SELECT * FROM sweep ORDER BY net DESC, threshold LIMIT 1",
+    "tiered": """
+        SELECT s.*, CASE WHEN churn_probability >= 0.65::DOUBLE
+                           OR (churn_probability >= 0.24::DOUBLE AND current_plan_id = 3) THEN 'Critical'
+                         WHEN churn_probability >= 0.24::DOUBLE THEN 'High'
+                         WHEN churn_probability >= 0.15::DOUBLE THEN 'Medium' ELSE 'Low' END AS risk_tier
+        FROM scored s""",
+    "drivers": """
+        SELECT account_id, max(feature) FILTER (place = 1 AND part > 0) AS first_driver,
+               max(feature) FILTER (place = 2 AND part > 0) AS second_driver
+        FROM (SELECT account_id, feature, part,
+                     row_number() OVER (PARTITION BY account_id ORDER BY part DESC, pos) AS place
+              FROM (SELECT account_id, 1 AS pos, 'failed_tx_rate_30d' AS feature, p1 AS part FROM parts
+                    UNION ALL SELECT account_id, 2, 'tx_volume_velocity_ratio', p2 FROM parts
+                    UNION ALL SELECT account_id, 3, 'days_since_last_login', p3 FROM parts
+                    UNION ALL SELECT account_id, 4, 'tenure_days', p4 FROM parts) u) r
+        GROUP BY account_id""",
+    "words": """
+        SELECT account_id,
+               CASE first_driver WHEN 'failed_tx_rate_30d' THEN 'Elevated Payment Failure / Decline Rate'
+                   WHEN 'tx_volume_velocity_ratio' THEN 'Sharp Drop in Payment Processing Volume'
+                   WHEN 'days_since_last_login' THEN 'Extended Portal Inactivity'
+                   ELSE 'Elevated ' || coalesce(first_driver, 'general_behavior') END AS primary_churn_driver,
+               CASE second_driver WHEN 'failed_tx_rate_30d' THEN 'Elevated Payment Failure / Decline Rate'
+                   WHEN 'tx_volume_velocity_ratio' THEN 'Sharp Drop in Payment Processing Volume'
+                   WHEN 'days_since_last_login' THEN 'Extended Portal Inactivity'
+                   ELSE 'Fluctuations in ' || coalesce(second_driver, 'stable_metrics') END
+                   AS secondary_churn_driver,
+               CASE first_driver WHEN 'failed_tx_rate_30d'
+                   THEN 'Urgent review with Payment Operations to resolve card/ACH processing declines.'
+                   WHEN 'tx_volume_velocity_ratio'
+                   THEN 'Investigate if merchant is diverting transaction flow to a competing processor.'
+                   WHEN 'days_since_last_login'
+                   THEN 'Send proactive engagement email highlighting under-utilized analytics features.'
+                   ELSE 'Conduct general Customer Success quarterly business review.' END AS recommended_action
+        FROM drivers""",
+    "served": """
+        SELECT account_id, TIMESTAMP '1996-10-31 00:00:00' AS score_timestamp, churn_probability, risk_tier,
+               greatest(value_12m, 50.0::DOUBLE) AS predicted_12m_clv_usd,
+               CASE WHEN risk_tier IN ('Critical', 'High') THEN primary_churn_driver
+                    ELSE 'Stable Usage Patterns' END AS primary_churn_driver,
+               CASE WHEN risk_tier IN ('Critical', 'High') THEN secondary_churn_driver
+                    ELSE 'Healthy Financial Metrics' END AS secondary_churn_driver,
+               CASE WHEN risk_tier IN ('Critical', 'High') THEN recommended_action
+                    ELSE 'Routine automated nurture communications.' END AS recommended_action
+        FROM tiered JOIN words USING (account_id)""",
+    "enriched": """
+        SELECT s.*, company_name, industry, company_size, country, plan_name,
+               CAST(monthly_fee AS DOUBLE) AS current_mrr
+        FROM served s JOIN dim_accounts a ON a.account_id = s.account_id
+        JOIN dim_plans ON plan_id = current_plan_id""",
+    "hashed": """
+        SELECT account_id, churn_next_60d,
+               CAST(CAST('0x' || substr(md5(account_id || '42'), 1, 8) AS BIGINT) % 10000 AS INTEGER) AS bucket
+        FROM active""",
+    "stratified": """
+        SELECT account_id, churn_next_60d,
+               count(*) OVER (PARTITION BY churn_next_60d ORDER BY bucket)
+                   <= round(count(*) OVER (PARTITION BY churn_next_60d) * 0.25::DOUBLE) AS is_test
+        FROM hashed""",
+    "c_subscriptions": """
+        SELECT 'SUB-' || account_id || '-' || strftime(m.billing_month, '%Y%m') AS subscription_id, m.account_id,
+               m.billing_month, s.plan_id, cur AS mrr_amount, status AS billing_status,
+               CASE WHEN new_mrr > 0 THEN 'New' WHEN expansion_mrr > 0 THEN 'Expansion'
+                    WHEN contraction_mrr > 0 THEN 'Contraction' WHEN churned_mrr > 0 THEN 'Churn'
+                    ELSE 'Retained' END AS mrr_change_type,
+               CASE WHEN new_mrr > 0 THEN cur WHEN expansion_mrr > 0 OR contraction_mrr > 0 THEN cur - prev
+                    WHEN churned_mrr > 0 THEN -prev ELSE 0 END AS mrr_change_amount
+        FROM buckets m JOIN fact_subscriptions s USING (account_id, billing_month)""",
+    "c_accounts": "SELECT *, CAST(NULL AS INTEGER) AS latent_archetype FROM dim_accounts",
+    "c_transactions": """
+        SELECT (CAST(substr(account_id, 5) AS BIGINT) * 10000 + date_diff('day', DATE '1990-01-01', transaction_date))
+                   * 3 + CASE payment_method WHEN 'Credit Card' THEN 0 WHEN 'ACH Direct Debit' THEN 1 ELSE 2 END
+                   AS transaction_batch_id,
+               *, CASE WHEN failed_tx_count <= 0 THEN 'None'
+                       WHEN payment_method = 'Credit Card' THEN 'Card Expired / Limit Reached'
+                       WHEN payment_method = 'ACH Direct Debit' THEN 'Non-Sufficient Funds (NSF)'
+                       ELSE 'Compliance / Routing Error' END AS primary_failure_reason
+        FROM fact_transactions""",
+    "c_telemetry": """
+        SELECT CAST(substr(account_id, 5) AS BIGINT) * 10000 + date_diff('day', DATE '1990-01-01', log_date)
+                   AS telemetry_id, *
+        FROM fact_telemetry""",
 }
 
 
@@ -323,6 +435,275 @@ QUERIES = {
     "feature_store_panel": _store("account_id, cutoff_date", "active_p", "tx_p", "bal_p", "tel_p"),
 }
 
+# The table contracts again, for the integrity checks: column -> (limit or None, may be NULL).
+_CONTRACT = {
+    "dim_plans": ("dim_plans", "plan_id", "plan_id:i plan_name:50 monthly_fee:8d take_rate_pct:2d included_seats:i "
+                  "api_rate_limit_per_min:i"),
+    "dim_accounts": ("c_accounts", "account_id", "account_id:20 company_name:100 industry:50 company_size:50 "
+                     "country:50 initial_plan_id:i current_plan_id:i signup_date:i initial_deposit_usd:16d "
+                     "churn_date:n is_churned:i latent_archetype:n"),
+    "fact_subscriptions": ("c_subscriptions", "subscription_id", "subscription_id:50 account_id:20 billing_month:i "
+                           "plan_id:i mrr_amount:8d billing_status:20 mrr_change_type:20 mrr_change_amount:8d"),
+    "fact_transactions": ("c_transactions", "transaction_batch_id", "transaction_batch_id:i account_id:20 "
+                          "transaction_date:i payment_method:30 total_tx_count:i successful_tx_count:i "
+                          "failed_tx_count:i primary_failure_reason:50 gross_payment_volume_usd:16d "
+                          "fees_collected_usd:16d"),
+    "fact_daily_balances": ("fact_daily_balances", "account_id,balance_date", "account_id:20 balance_date:i "
+                            "closing_balance_usd:16d"),
+    "fact_telemetry": ("c_telemetry", "telemetry_id", "telemetry_id:i account_id:20 log_date:i api_call_count:i "
+                       "dashboard_logins:i exports_count:i"),
+}
+_DOMAINS = (
+    ("fact_subscriptions", "billing_status", "'Paid', 'Failed', 'Churned'"),
+    ("fact_subscriptions", "mrr_change_type", "'New', 'Expansion', 'Contraction', 'Churn', 'Retained'"),
+    ("fact_transactions", "payment_method", "'Credit Card', 'ACH Direct Debit', 'Wire Transfer'"),
+    ("fact_transactions", "primary_failure_reason", "'None', 'Card Expired / Limit Reached', "
+     "'Non-Sufficient Funds (NSF)', 'Compliance / Routing Error'"),
+)
+_PARENTS = (
+    ("dim_accounts", "initial_plan_id", "dim_plans", "plan_id"),
+    ("dim_accounts", "current_plan_id", "dim_plans", "plan_id"),
+    ("fact_subscriptions", "account_id", "dim_accounts", "account_id"),
+    ("fact_subscriptions", "plan_id", "dim_plans", "plan_id"),
+    ("fact_transactions", "account_id", "dim_accounts", "account_id"),
+    ("fact_daily_balances", "account_id", "dim_accounts", "account_id"),
+    ("fact_telemetry", "account_id", "dim_accounts", "account_id"),
+)
+_NOT_NEGATIVE = (("fact_subscriptions", "mrr_amount"), ("fact_transactions", "gross_payment_volume_usd"))
+
+
+def _check(kind: str, table: str, column: str, condition: str) -> str:
+    return f"""SELECT '{kind}' AS "check", '{table}' AS table_name, '{column}' AS column_name,
+               count(*) FILTER ({condition}) AS violations FROM {_CONTRACT[table][0]}"""
+
+
+def _columns():
+    for table, (_, _, spec) in _CONTRACT.items():
+        for entry in spec.split():
+            column, limit = entry.split(":")
+            yield table, column, limit
+
+
+def _not_null() -> list[str]:
+    return [_check("not_null", t, c, f"{c} IS NULL") for t, c, limit in _columns() if limit != "n"]
+
+
+def _lengths() -> list[str]:
+    texts = [_check("text_length", t, c, f"length({c}) > {n}") for t, c, n in _columns() if n.isdigit()]
+    return texts + [
+        _check("decimal_range", t, c, f"abs({c}) >= 1{'0' * int(n[:-1])}::HUGEINT")
+        for t, c, n in _columns() if n.endswith("d")
+    ]
+
+
+def _domains() -> list[str]:
+    return [_check("domain", t, c, f"{c} NOT IN ({values})") for t, c, values in _DOMAINS]
+
+
+def _ranges() -> list[str]:
+    return [_check("non_negative", t, c, f"{c} < 0") for t, c in _NOT_NEGATIVE]
+
+
+def _all(parts: list[str]) -> str:
+    return " UNION ALL ".join(f"({part})" for part in parts)
+
+
+def _numeric_correlations() -> str:
+    names = (
+        "tenure_days current_plan_id current_mrr take_rate_pct initial_deposit_usd tx_volume_30d tx_volume_90d "
+        "tx_count_30d tx_count_90d fees_collected_30d fees_collected_90d tx_volume_velocity_ratio "
+        "failed_tx_rate_30d card_vol_share_30d ach_vol_share_30d wire_vol_share_30d card_failure_rate_30d "
+        "ach_failure_rate_30d wire_failure_rate_30d current_balance_usd avg_balance_30d avg_balance_90d "
+        "balance_volatility_30d balance_decay_pct api_calls_30d api_calls_90d logins_30d logins_90d exports_30d "
+        "days_since_last_api_call days_since_last_login telemetry_velocity_ratio"
+    ).split()
+    return _all([
+        f"""SELECT '{n}' AS feature, CASE WHEN stddev_pop({n}) > 0 AND stddev_pop(churn_next_60d) > 0
+            THEN corr({n}, churn_next_60d) END AS c FROM store"""
+        for n in names
+    ])
+
+
+def _dummy_correlations() -> str:
+    return _all([
+        f"""SELECT '{c}_' || level AS feature, CASE WHEN stddev_pop(x) > 0 THEN corr(x, y) END AS c
+            FROM (SELECT level, CASE WHEN {c} = level THEN 1 ELSE 0 END AS x, churn_next_60d AS y
+                  FROM active CROSS JOIN (SELECT DISTINCT {c} AS level FROM active
+                                          WHERE {c} <> (SELECT min({c}) FROM active)) d) r
+            GROUP BY level"""
+        for c in ("industry", "company_size", "country")
+    ])
+
+
+def _segments() -> str:
+    return _all([
+        f"""SELECT '{c}' AS segment, {c} AS value, count(*) AS accounts, CAST(sum(is_churned) AS BIGINT) AS churned
+            FROM dim_accounts GROUP BY {c}"""
+        for c in ("industry", "company_size")
+    ])
+
+
+QUERIES |= {
+    "payment_rail_summary": """
+        SELECT payment_method, CAST(sum(total_tx_count) AS BIGINT) AS total_transactions,
+               CAST(sum(failed_tx_count) AS BIGINT) AS total_failures,
+               round(CAST(sum(failed_tx_count) AS DOUBLE) * 100.0::DOUBLE
+                     / nullif(CAST(sum(total_tx_count) AS DOUBLE), 0), 2) AS failure_rate_pct,
+               CAST(sum(gross_payment_volume_usd) AS DOUBLE) AS total_volume_usd
+        FROM fact_transactions GROUP BY payment_method""",
+    "failure_reason_tags": """
+        SELECT account_id, transaction_date, payment_method, failed_tx_count, primary_failure_reason
+        FROM c_transactions""",
+    "balance_history": """
+        SELECT account_id, balance_date, CAST(closing_balance_usd AS DOUBLE) AS closing_balance_usd
+        FROM fact_daily_balances ORDER BY account_id, balance_date""",
+    "transaction_history": """
+        SELECT account_id, transaction_date, CAST(gross_payment_volume_usd AS DOUBLE) AS gross_payment_volume_usd,
+               failed_tx_count, total_tx_count
+        FROM fact_transactions ORDER BY account_id, transaction_date""",
+    "account_lookup": """
+        SELECT balance_date, CAST(closing_balance_usd AS DOUBLE) AS closing_balance_usd
+        FROM fact_daily_balances WHERE account_id = 'ACC-000000007' ORDER BY balance_date""",
+    "account_demographics": """
+        SELECT account_id, industry, company_size, country, plan_name, CAST(monthly_fee AS DOUBLE) AS mrr,
+               is_churned, CAST(initial_deposit_usd AS DOUBLE) AS initial_deposit_usd
+        FROM dim_accounts JOIN dim_plans ON plan_id = current_plan_id""",
+    "overall_churn": """
+        SELECT count(*) AS accounts, CAST(sum(is_churned) AS DOUBLE) / count(*) AS churn_rate FROM dim_accounts""",
+    "churn_rate_by_segment": f"""
+        SELECT * EXCLUDE (half), round(greatest(churn_rate - half, 0), 6) AS ci_low, round(least(churn_rate + half, 1), 6) AS ci_high
+        FROM (SELECT *, 1.96::DOUBLE * sqrt(churn_rate * (1 - churn_rate) / accounts) AS half
+              FROM (SELECT *, churned::DOUBLE / accounts::DOUBLE AS churn_rate FROM ({_segments()}) s) r) h""",
+    "feature_label_correlation": f"""
+        SELECT feature, round(c, 4) AS corr FROM ({_numeric_correlations()} UNION ALL {_dummy_correlations()}) u
+        ORDER BY corr, feature""",
+    "one_hot_categories": _all([
+        f"SELECT account_id, '{c}_' || {c} AS dummy FROM active WHERE {c} <> (SELECT min({c}) FROM active)"
+        for c in ("industry", "company_size", "country")
+    ]),
+    "hash_split": "SELECT account_id, churn_next_60d, bucket < 2500 AS is_test FROM hashed",
+    "stratified_split": "SELECT * FROM stratified",
+    "split_label_stats": """
+        SELECT is_test, count(*) AS rows, CAST(sum(churn_next_60d) AS BIGINT) AS positives,
+               sum(churn_next_60d)::DOUBLE / count(*) AS churn_rate,
+               (count(*) - sum(churn_next_60d))::DOUBLE / greatest(1, sum(churn_next_60d))::DOUBLE AS positive_weight
+        FROM stratified GROUP BY is_test""",
+    "clv_label": "SELECT account_id, value_12m FROM valued",
+    "clv_split_medians": """
+        SELECT bucket < 2500 AS is_test, median(CAST(round(value_12m * 100) AS BIGINT)) / 100 AS median_value_12m
+        FROM valued JOIN hashed USING (account_id) GROUP BY 1""",
+    "proxy_probabilities": "SELECT account_id, churn_probability FROM scored",
+    "threshold_curve": """
+        SELECT threshold, round(net, 2) AS net_savings_usd, hits AS interventions_count, tp AS true_positives,
+               hits - tp AS false_positives
+        FROM sweep ORDER BY threshold""",
+    "optimal_threshold": """
+        SELECT threshold, round(net, 2) AS net_savings_usd, hits AS interventions_count, tp AS true_positives,
+               hits - tp AS false_positives
+        FROM best""",
+    "threshold_value_added": """
+        SELECT b.threshold AS optimal_threshold, round(b.net, 2) AS max_net_savings_usd,
+               round(d.net, 2) AS default_0_5_savings_usd, round(round(b.net, 2) - round(d.net, 2), 2) AS value_added_usd
+        FROM best b CROSS JOIN (SELECT * FROM sweep WHERE abs(threshold - 0.5) < 0.01 ORDER BY threshold LIMIT 1) d""",
+    "hard_predictions": """
+        SELECT account_id, CAST(churn_probability >= 0.25::DOUBLE AS INTEGER) AS predicted_churn FROM scored""",
+    # ROC-AUC from the rank sum of the positives; PR-AUC by the trapezoid rule over the distinct scores.
+    "classification_metrics": """
+        SELECT (SELECT round((sum(r) FILTER (y = 1) - n1 * (n1 + 1) / 2) / (n1 * (n - n1)), 6)
+                FROM (SELECT churn_next_60d AS y,
+                             (rank() OVER (ORDER BY churn_probability)
+                              + (count(*) OVER (PARTITION BY churn_probability) - 1) / 2.0::DOUBLE) AS r,
+                             (sum(churn_next_60d) OVER ())::DOUBLE AS n1, (count(*) OVER ())::DOUBLE AS n
+                      FROM scored) k GROUP BY n1, n) AS roc_auc,
+               (SELECT round(sum((recall - recall0) * (precision_ + precision0) / 2), 6)
+                FROM (SELECT *, lag(recall, 1, 0.0::DOUBLE) OVER (ORDER BY churn_probability DESC) AS recall0,
+                             lag(precision_, 1, 1.0::DOUBLE) OVER (ORDER BY churn_probability DESC) AS precision0
+                      FROM (SELECT churn_probability,
+                                   (sum(sum(churn_next_60d)) OVER w)::DOUBLE / (sum(sum(churn_next_60d)) OVER ())
+                                       AS recall,
+                                   (sum(sum(churn_next_60d)) OVER w)::DOUBLE / (sum(count(*)) OVER w) AS precision_
+                            FROM scored GROUP BY churn_probability
+                            WINDOW w AS (ORDER BY churn_probability DESC)) c) l) AS pr_auc,
+               (SELECT round(avg((churn_probability - churn_next_60d) ** 2), 6) FROM scored) AS brier_score""",
+    "regression_metrics": """
+        SELECT round(avg(abs(e)), 4) AS mae, round(sqrt(avg(e * e)), 4) AS rmse,
+               round(1 - sum(e * e) / (var_pop(value_12m) * count(*)), 6) AS r2
+        FROM (SELECT value_12m, CAST(CAST(current_mrr AS DECIMAL(10,2)) * 12 + CAST(tx_volume_90d AS DECIMAL(18,2))
+                     * CAST(take_rate_pct AS DECIMAL(6,4)) * 4 AS DOUBLE) - value_12m AS e
+              FROM valued) x""",
+    "risk_tiers": "SELECT account_id, churn_probability, risk_tier FROM tiered",
+    "risk_tiers_at_optimum": """
+        SELECT account_id, churn_probability,
+               CASE WHEN churn_probability >= 0.65::DOUBLE
+                      OR (churn_probability >= threshold AND current_plan_id = 3) THEN 'Critical'
+                    WHEN churn_probability >= threshold THEN 'High'
+                    WHEN churn_probability >= 0.15::DOUBLE THEN 'Medium' ELSE 'Low' END AS risk_tier
+        FROM scored CROSS JOIN (SELECT threshold FROM best) b""",
+    "tier_distribution": "SELECT risk_tier, count(*) AS account_count FROM tiered GROUP BY risk_tier",
+    "at_risk_summary": """
+        SELECT count(*) AS total_accounts, count(*) FILTER (risk_tier = 'Critical') AS critical_accounts,
+               count(*) FILTER (risk_tier = 'High') AS high_accounts,
+               count(*) FILTER (risk_tier = 'Medium') AS medium_accounts,
+               count(*) FILTER (risk_tier = 'Low') AS low_accounts,
+               CAST(coalesce(sum(CAST(current_mrr AS DECIMAL(18,2)))
+                    FILTER (risk_tier IN ('Critical', 'High')), 0) AS DOUBLE) AS at_risk_mrr
+        FROM tiered""",
+    "executive_kpis": """
+        SELECT CAST(sum(CAST(current_mrr AS DECIMAL(18,2))) AS DOUBLE) AS total_mrr,
+               CAST(coalesce(sum(CAST(current_mrr AS DECIMAL(18,2)))
+                    FILTER (risk_tier IN ('Critical', 'High')), 0) AS DOUBLE) * 12 AS at_risk_arr,
+               count(*) FILTER (risk_tier = 'Critical') AS critical_accounts,
+               count(*) FILTER (risk_tier IN ('Critical', 'High')) AS at_risk_accounts,
+               count(*) AS total_accounts,
+               CAST(sum(CAST(predicted_12m_clv_usd AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_predicted_12m_clv
+        FROM enriched""",
+    "scored_accounts_enriched": "SELECT * FROM enriched",
+    "critical_accounts": "SELECT * FROM enriched WHERE risk_tier = 'Critical'",
+    "rescue_list": """
+        SELECT account_id, company_name, industry, company_size, country, plan_name, current_mrr, churn_probability,
+               risk_tier, predicted_12m_clv_usd, primary_churn_driver, recommended_action
+        FROM enriched ORDER BY churn_probability DESC, account_id""",
+    "reason_codes_additive": "SELECT * FROM words",
+    "dq_primary_keys": _all([
+        f"""SELECT '{t}' AS table_name, '{key}' AS key_columns, count(*) AS violations,
+            CAST(coalesce(sum(n), 0) AS BIGINT) AS row_count
+            FROM (SELECT count(*) AS n FROM {source} GROUP BY {key} HAVING count(*) > 1) g"""
+        for t, (source, key, _) in _CONTRACT.items()
+    ]),
+    "dq_foreign_keys": _all([
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, '{p}' AS parent_table,
+            count(DISTINCT {c}) AS violations, count(*) AS row_count
+            FROM {_CONTRACT[t][0]} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {pc} FROM {p})"""
+        for t, c, p, pc in _PARENTS
+    ]),
+    "dq_not_null": _all(_not_null()),
+    "dq_domains": _all(_domains()),
+    "dq_lengths": _all(_lengths()),
+    "dq_columns_one_scan": _all(_not_null() + _domains() + _ranges() + _lengths()),
+    "dq_ranges": _all([
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS minimum,
+            count(*) FILTER ({c} < 0) AS violations FROM {t}"""
+        for t, c in _NOT_NEGATIVE
+    ]),
+    "dq_row_counts": _all([
+        f"""SELECT '{t}' AS table_name, count(*) AS row_count, CAST(count(*) = 0 AS INTEGER) AS violations
+            FROM {source}"""
+        for t, (source, _, _) in _CONTRACT.items()
+    ]),
+    "dq_feature_matrix": """
+        SELECT count(s.account_id) AS row_count, count(DISTINCT s.account_id) AS accounts,
+               count(*) FILTER (s.account_id IS NULL) AS missing_accounts, CAST(0 AS BIGINT) AS null_values
+        FROM active a LEFT JOIN (SELECT * FROM store WHERE COLUMNS(*) IS NOT NULL) s USING (account_id)""",
+    "dq_scores": """
+        SELECT count(*) AS row_count, min(churn_probability) AS min_probability,
+               max(churn_probability) AS max_probability,
+               count(*) FILTER (churn_probability < 0 OR churn_probability > 1) AS out_of_range,
+               count(*) FILTER (primary_churn_driver = '') AS empty_primary,
+               count(*) FILTER (secondary_churn_driver = '') AS empty_secondary,
+               count(*) FILTER (recommended_action = '') AS empty_action
+        FROM served""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_steps(query) for name, query in QUERIES.items()}

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.catalogue.proxy import PARTS, best_threshold, proxy_scores, with_proxy_score
 from ledgerloom.catalogue.views import CUTOFF, PANEL_CUTOFFS, SampleWarehouse
-from ledgerloom.operators import snapshots
+from ledgerloom.operators import metrics, payments, quality, reasons, snapshots, splits, threshold, tiers, value
 from ledgerloom.plans import feature_store as features
-from ledgerloom.plans import retention, revenue
-from ledgerloom.session import tuned
+from ledgerloom.plans import reporting, retention, revenue
+from ledgerloom.session import materialise, tuned
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,3 +143,248 @@ def feature_store(w):
 @query
 def feature_store_panel(w):
     return store(w, PANEL_CUTOFFS)
+
+
+@query
+def payment_rail_summary(w):
+    return reporting.payment_rail_summary(w.transactions)
+
+
+@query
+def failure_reason_tags(w):
+    return payments.with_failure_reason(w.transactions).select(
+        "account_id", "transaction_date", "payment_method", "failed_tx_count", "primary_failure_reason"
+    )
+
+
+@query
+def balance_history(w):
+    return plain(reporting.balance_history(w.balances))
+
+
+@query
+def transaction_history(w):
+    return plain(reporting.transaction_history(w.transactions))
+
+
+@query
+def account_lookup(w):
+    """Balances of the one account a user looks up."""
+    return plain(reporting.balance_history(w.balances, "ACC-000000007"))
+
+
+@query
+def account_demographics(w):
+    return reporting.account_demographics(w.accounts, w.plans)
+
+
+@query
+def overall_churn(w):
+    return reporting.overall_churn(w.accounts)
+
+
+@query
+def churn_rate_by_segment(w):
+    return reporting.churn_rate_by(w.accounts, "industry", "company_size")
+
+
+@query
+def feature_label_correlation(w):
+    return reporting.feature_label_correlation(materialise(store(w), "features"))
+
+
+@query
+def one_hot_categories(w):
+    return reporting.one_hot_categories(snapshots.active_accounts(w.accounts, w.plans, CUTOFF))
+
+
+def labelled(w: SampleWarehouse) -> DataFrame:
+    """Accounts with the churn label only, without the fact aggregates."""
+    return snapshots.active_accounts(w.accounts, w.plans, CUTOFF)
+
+
+@query
+def hash_split(w):
+    return splits.random_split(labelled(w)).select("account_id", "churn_next_60d", "is_test")
+
+
+@query
+def stratified_split(w):
+    return splits.stratified_split(labelled(w), "churn_next_60d").select("account_id", "churn_next_60d", "is_test")
+
+
+@query
+def split_label_stats(w):
+    return splits.label_stats(splits.stratified_split(labelled(w), "churn_next_60d"), "churn_next_60d")
+
+
+def valued(w: SampleWarehouse) -> DataFrame:
+    return value.with_twelve_month_value(store(w))
+
+
+@query
+def clv_label(w):
+    return valued(w).select("account_id", "value_12m")
+
+
+@query
+def clv_split_medians(w):
+    cents = F.round(F.col("value_12m") * 100).cast("long").alias("cents")
+    split = splits.random_split(valued(w)).select("is_test", cents)
+    return splits.exact_median(split, "is_test", "cents").select(
+        "is_test", (F.col("median") / 100).alias("median_value_12m")
+    )
+
+
+def scored(w: SampleWarehouse) -> DataFrame:
+    return with_proxy_score(store(w))
+
+
+@query
+def proxy_probabilities(w):
+    return scored(w).select("account_id", "churn_probability")
+
+
+@query
+def threshold_curve(w):
+    return threshold.threshold_curve(scored(w))
+
+
+@query
+def optimal_threshold(w):
+    return threshold.optimal_threshold(scored(w))
+
+
+@query
+def threshold_value_added(w):
+    return threshold.threshold_value_added(scored(w))
+
+
+@query
+def hard_predictions(w):
+    p = F.col("churn_probability")
+    return scored(w).select("account_id", threshold.hard_prediction(p, 0.25).alias("predicted_churn"))
+
+
+@query
+def classification_metrics(w):
+    return metrics.classification_metrics(scored(w))
+
+
+@query
+def regression_metrics(w):
+    """A steady-pace estimate (no velocity) against the twelve-month value."""
+    cents = "decimal(18,2)"
+    payments_year = F.col("tx_volume_90d").cast(cents) * F.col("take_rate_pct").cast("decimal(6,4)") * 4
+    estimate = (F.col("current_mrr").cast("decimal(10,2)") * 12 + payments_year).cast("double")
+    return metrics.regression_metrics(valued(w).withColumn("estimate", estimate), "value_12m", "estimate")
+
+
+def served(w: SampleWarehouse) -> DataFrame:
+    """Proxy scores in the serving layout."""
+    return proxy_scores(scored(w))
+
+
+@query
+def risk_tiers(w):
+    return served(w).select("account_id", "churn_probability", "risk_tier")
+
+
+@query
+def risk_tiers_at_optimum(w):
+    """The scored features are written once and read twice: for the optimum and for the tiers."""
+    rows = materialise(scored(w), "scored")
+    return proxy_scores(rows, best_threshold(rows)).select("account_id", "churn_probability", "risk_tier")
+
+
+@query
+def tier_distribution(w):
+    return reporting.tier_distribution(served(w))
+
+
+def enriched(w: SampleWarehouse) -> DataFrame:
+    return reporting.scored_accounts_enriched(served(w), w.accounts, w.plans)
+
+
+@query
+def at_risk_summary(w):
+    return reporting.at_risk_summary(enriched(w))
+
+
+@query
+def executive_kpis(w):
+    return reporting.executive_kpis(enriched(w))
+
+
+@query
+def scored_accounts_enriched(w):
+    return enriched(w)
+
+
+@query
+def critical_accounts(w):
+    return tiers.in_tier(enriched(w), "Critical")
+
+
+@query
+def rescue_list(w):
+    return reporting.rescue_list(enriched(w))
+
+
+@query
+def reason_codes_additive(w):
+    """Reason codes of every account from the additive score's contributions."""
+    drivers = reasons.top_drivers(F.col("contributions"), PARTS)
+    codes = reasons.reason_codes(drivers)
+    return scored(w).select("account_id", *(c.alias(name) for name, c in codes.items()))
+
+
+@query
+def dq_primary_keys(w):
+    return quality.primary_keys(w.contract_tables())
+
+
+@query
+def dq_foreign_keys(w):
+    return quality.foreign_keys(w.contract_tables())
+
+
+@query
+def dq_not_null(w):
+    return quality.column_checks(w.contract_tables(), ["not_null"])
+
+
+@query
+def dq_domains(w):
+    return quality.column_checks(w.contract_tables(), ["domain"])
+
+
+@query
+def dq_lengths(w):
+    return quality.column_checks(w.contract_tables(), ["text_length", "decimal_range"])
+
+
+@query
+def dq_columns_one_scan(w):
+    """Every column check of a table in one scan of it."""
+    return quality.column_checks(w.contract_tables())
+
+
+@query
+def dq_ranges(w):
+    return quality.minimum_values(w.contract_tables())
+
+
+@query
+def dq_row_counts(w):
+    return quality.row_counts(w.contract_tables())
+
+
+@query
+def dq_feature_matrix(w):
+    return quality.feature_matrix(store(w), labelled(w), features.NUMERIC_FEATURES)
+
+
+@query
+def dq_scores(w):
+    return quality.scores(served(w))

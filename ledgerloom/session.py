@@ -57,7 +57,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint; survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a table several consumers read into the shared folder, and read it back.
+
+    The lineage ends at the files, so lost executors cost a re-read, and later steps still prune columns.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
