@@ -704,6 +704,22 @@ QUERIES |= {
         FROM served""",
 }
 
+# What is written must be read back.
+QUERIES |= {
+    "warehouse_feature_store": QUERIES["feature_store"],
+    "rescue_list_export": QUERIES["rescue_list"],
+    "serving_table": "SELECT * FROM served",
+    "csv_round_trip": _all([
+        f"""SELECT '{t}' AS table_name, count(*) AS row_count, count(*) AS rows_read,
+            CAST(sum({column}) AS DOUBLE) AS total FROM {t}"""
+        for t, column in (
+            ("dim_plans", "monthly_fee"), ("dim_accounts", "initial_deposit_usd"),
+            ("fact_subscriptions", "mrr_amount"), ("fact_transactions", "gross_payment_volume_usd"),
+            ("fact_daily_balances", "closing_balance_usd"), ("fact_telemetry", "api_call_count"),
+        )
+    ]),
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_steps(query) for name, query in QUERIES.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,24 @@ from pyspark.sql import types as T
 
 from ledgerloom.catalogue.proxy import PARTS, best_threshold, proxy_scores, with_proxy_score
 from ledgerloom.catalogue.views import CUTOFF, PANEL_CUTOFFS, SampleWarehouse
-from ledgerloom.operators import metrics, payments, quality, reasons, snapshots, splits, threshold, tiers, value
+from ledgerloom.operators import (
+    attribution,
+    metrics,
+    models,
+    payments,
+    quality,
+    reasons,
+    snapshots,
+    splits,
+    threshold,
+    tiers,
+    value,
+)
 from ledgerloom.plans import feature_store as features
-from ledgerloom.plans import reporting, retention, revenue
-from ledgerloom.session import materialise, tuned
+from ledgerloom.plans import jobs, reporting, retention, revenue
+from ledgerloom.schemas import BASE_TABLES, NUMERIC_FEATURES, RISK_SCORES, TABLES
+from ledgerloom.session import materialise, scratch_path, tuned
+from ledgerloom.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -382,9 +397,174 @@ def dq_row_counts(w):
 
 @query
 def dq_feature_matrix(w):
-    return quality.feature_matrix(store(w), labelled(w), features.NUMERIC_FEATURES)
+    return quality.feature_matrix(store(w), labelled(w), NUMERIC_FEATURES)
 
 
 @query
 def dq_scores(w):
     return quality.scores(served(w))
+
+
+# Sources and sinks.
+
+
+def ingested(w: SampleWarehouse) -> tuple[DataFrame, str]:
+    """The six tables written as CSV, loaded into a Parquet warehouse: (row counts, warehouse folder)."""
+    csv_folder, warehouse = scratch_path(w.spark, "csv"), scratch_path(w.spark, "warehouse")
+    sinks.write_base_csv(w.contract_tables(), csv_folder)
+    return sinks.ingest_csv(w.spark, csv_folder, warehouse), warehouse
+
+
+@query
+def csv_round_trip(w):
+    """Rows written per table, beside the rows and amounts read back."""
+    counts, warehouse = ingested(w)
+    tables = readers.load_tables(w.spark, warehouse)
+    money = {
+        "dim_plans": "monthly_fee",
+        "dim_accounts": "initial_deposit_usd",
+        "fact_subscriptions": "mrr_amount",
+        "fact_transactions": "gross_payment_volume_usd",
+        "fact_daily_balances": "closing_balance_usd",
+    }
+    sums = [
+        tables[t.name].select(
+            F.lit(t.name).alias("table_name"),
+            (F.col(money[t.name]) if t.name in money else F.col("api_call_count")).cast("decimal(18,2)").alias("v"),
+        )
+        for t in BASE_TABLES
+    ]
+    read_back = reduce(DataFrame.unionByName, sums).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("rows_read"), F.sum("v").cast("double").alias("total")
+    )
+    return counts.join(read_back, "table_name")
+
+
+@query
+def warehouse_feature_store(w):
+    """The feature store over the Parquet warehouse, whose month folders are pruned to the look-back."""
+    _, folder = ingested(w)
+    until = date.fromisoformat(CUTOFF)
+    since = until - timedelta(days=snapshots.LONG_WINDOW)
+    fact = lambda name: readers.read_parquet(w.spark, folder, TABLES[name], since, until)
+    built = features.feature_store(
+        readers.table(w.spark, folder, "dim_accounts"),
+        readers.table(w.spark, folder, "dim_plans"),
+        fact("fact_transactions"),
+        fact("fact_daily_balances"),
+        fact("fact_telemetry"),
+        CUTOFF,
+    )
+    return rounded(built, "balance_volatility_30d")
+
+
+@query
+def rescue_list_export(w):
+    """The rescue list written as CSV and read back."""
+    listed, path = rescue_list(w), scratch_path(w.spark, "rescue")
+    sinks.write_csv(listed, path)
+    return w.spark.read.schema(listed.schema).option("header", True).csv(path)
+
+
+@query
+def serving_table(w):
+    """The scores written to the serving table and read back."""
+    folder = scratch_path(w.spark, "serving")
+    sinks.write_scores(served(w), RISK_SCORES, folder)
+    return plain(readers.table(w.spark, folder, RISK_SCORES.name))
+
+
+# Models. One training per session and folder serves all queries that need a model.
+
+ROUNDS = 20
+_trained: dict[tuple, tuple] = {}
+
+
+def trained(w: SampleWarehouse) -> tuple[DataFrame, jobs.ChurnTraining]:
+    key = ("churn", w.spark.sparkContext.applicationId, w.folder)
+    if key not in _trained:
+        snapshot = materialise(store(w), "features")
+        _trained[key] = snapshot, jobs.train_churn(snapshot, models.ChurnSettings(rounds=ROUNDS))
+    return _trained[key]
+
+
+def trained_value(w: SampleWarehouse) -> jobs.ValueTraining:
+    key = ("value", w.spark.sparkContext.applicationId, w.folder)
+    if key not in _trained:
+        _trained[key] = jobs.train_value(materialise(store(w), "features"))
+    return _trained[key]
+
+
+@query
+def churn_predictions(w):
+    """Probabilities of a saved and reloaded model."""
+    snapshot, training = trained(w)
+    path = scratch_path(w.spark, "churn-model")
+    models.save_model(training.model, path)
+    return models.churn_predictions(models.load_model(path), snapshot).select(
+        "account_id", "churn_probability", "churn_next_60d"
+    )
+
+
+@query
+def churn_model_metadata(w):
+    """Hold-out metrics and the best threshold, written as JSON and read back."""
+    path = scratch_path(w.spark, "churn-metadata")
+    models.save_metadata(trained(w)[1].metadata, path)
+    return w.spark.read.schema(models.METADATA_SCHEMA).json(path)
+
+
+@query
+def model_threshold_curve(w):
+    return threshold.threshold_curve(trained(w)[1].tested)
+
+
+@query
+def clv_predictions(w):
+    return trained_value(w).tested
+
+
+@query
+def clv_model_metrics(w):
+    return metrics.regression_metrics(trained_value(w).tested, "value_12m", "predicted_value")
+
+
+def contributed(w: SampleWarehouse) -> tuple[DataFrame, list[str]]:
+    snapshot, training = trained(w)
+    assembled = models.churn_predictions(training.model, snapshot)
+    leaves = attribution.read_leaves(w.spark, training.model)
+    rows = assembled.select("account_id", models.FEATURES)
+    return attribution.with_contributions(rows, leaves), models.feature_names(assembled)
+
+
+@query
+def local_attribution(w):
+    rows, names = contributed(w)
+    return attribution.local_attribution(rows, names)
+
+
+@query
+def reason_codes(w):
+    rows, names = contributed(w)
+    codes = reasons.reason_codes(reasons.top_drivers(F.col("contributions"), names))
+    return rows.select("account_id", *(c.alias(name) for name, c in codes.items()))
+
+
+@query
+def global_attribution(w):
+    """The ranking written as JSON and read back."""
+    snapshot, training = trained(w)
+    ranking, path = jobs.feature_ranking(snapshot, training.model), scratch_path(w.spark, "ranking")
+    sinks.write_json(ranking, path)
+    return w.spark.read.schema(ranking.schema).json(path).orderBy(F.desc("mean_abs_contribution"), "feature")
+
+
+@query
+def batch_risk_scores(w):
+    """Both models over the snapshot, at the threshold the saved metadata carries."""
+    snapshot, training = trained(w)
+    path = scratch_path(w.spark, "churn-metadata")
+    models.save_metadata(training.metadata, path)
+    return jobs.batch_scores(
+        snapshot, training.model, trained_value(w).model, models.load_threshold(w.spark, path), f"{CUTOFF} 00:00:00"
+    )

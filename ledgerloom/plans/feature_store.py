@@ -17,44 +17,7 @@ from ledgerloom.operators.snapshots import (
     telemetry_features,
     transaction_features,
 )
-
-# The model's numeric inputs in their contract order, and its categorical inputs.
-NUMERIC_FEATURES = (
-    "tenure_days",
-    "current_plan_id",
-    "current_mrr",
-    "take_rate_pct",
-    "initial_deposit_usd",
-    "tx_volume_30d",
-    "tx_volume_90d",
-    "tx_count_30d",
-    "tx_count_90d",
-    "fees_collected_30d",
-    "fees_collected_90d",
-    "tx_volume_velocity_ratio",
-    "failed_tx_rate_30d",
-    "card_vol_share_30d",
-    "ach_vol_share_30d",
-    "wire_vol_share_30d",
-    "card_failure_rate_30d",
-    "ach_failure_rate_30d",
-    "wire_failure_rate_30d",
-    "current_balance_usd",
-    "avg_balance_30d",
-    "avg_balance_90d",
-    "balance_volatility_30d",
-    "balance_decay_pct",
-    "api_calls_30d",
-    "api_calls_90d",
-    "logins_30d",
-    "logins_90d",
-    "exports_30d",
-    "days_since_last_api_call",
-    "days_since_last_login",
-    "telemetry_velocity_ratio",
-)
-CATEGORICAL_FEATURES = ("industry", "company_size", "country")
-LABEL = "churn_next_60d"
+from ledgerloom.schemas import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 
 _ZERO_AMOUNTS = (
     "tx_volume_30d", "tx_volume_90d", "fees_collected_30d", "fees_collected_90d", "balance_volatility_30d",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import as_double, mean_of, sum_when
 from ledgerloom.operators.tiers import at_risk
-from ledgerloom.plans.feature_store import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
+from ledgerloom.schemas import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 
 # The columns of the rescue list.
 RESCUE_COLUMNS = (
