@@ -706,6 +706,7 @@ QUERIES |= {
 
 # What is written must be read back.
 QUERIES |= {
+    "mrr_waterfall_head": QUERIES["mrr_waterfall"] + " LIMIT 10",
     "warehouse_feature_store": QUERIES["feature_store"],
     "rescue_list_export": QUERIES["rescue_list"],
     "serving_table": "SELECT * FROM served",

@@ -103,6 +103,12 @@ def mrr_waterfall_chart(w):
     return revenue.mrr_waterfall_compact(w.subscriptions, signed=True)
 
 
+@query
+def mrr_waterfall_head(w):
+    """The first ten months, as a preview."""
+    return revenue.mrr_waterfall(w.subscriptions).limit(10)
+
+
 @query
 def mrr_transitions(w):
     return revenue.mrr_transitions(w.subscriptions)
@@ -246,7 +252,7 @@ def clv_label(w):
 def clv_split_medians(w):
     cents = F.round(F.col("value_12m") * 100).cast("long").alias("cents")
     split = splits.random_split(valued(w)).select("is_test", cents)
-    return splits.exact_median(split, "is_test", "cents").select(
+    return splits.exact_median(materialise(split, "values"), "is_test", "cents").select(
         "is_test", (F.col("median") / 100).alias("median_value_12m")
     )
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions.dates import month_start
+from ledgerloom.functions.numbers import cents_of_double
 from ledgerloom.operators.movements import movement_types, with_churn_status, with_previous_month
 from ledgerloom.operators.payments import with_failure_reason, with_fees
 
@@ -36,6 +37,10 @@ def _account_id(key: Column) -> Column:
     return F.concat(F.lit("ACC-"), F.lpad(key.cast("string"), 9, "0"))
 
 
+def _amount(total_cents: Column) -> Column:
+    return (total_cents.cast("decimal(18,0)") / 100).cast(_CENTS)
+
+
 def _plan_of(key: Column) -> Column:
     return (key % 3 + 1).cast("int")
 
@@ -64,12 +69,12 @@ class SampleWarehouse:
     def subscriptions(self) -> DataFrame:
         """Billed amount per account and month; a month of fulfilled orders only counts as churned."""
         status = F.col("o_orderstatus")
-        billed = F.when(status != "F", F.col("o_totalprice").cast(_CENTS)).otherwise(F.lit(0).cast(_CENTS))
+        billed = F.when(status != "F", cents_of_double(F.col("o_totalprice"))).otherwise(F.lit(0))
         monthly = (
             self._read("orders")
             .groupBy("o_custkey", month_start(F.col("o_orderdate").cast("date")).alias("billing_month"))
             .agg(
-                F.sum(billed).cast(_CENTS).alias("mrr_amount"),
+                _amount(F.sum(billed)).alias("mrr_amount"),
                 # Boolean buffers keep this a hash aggregation; text minima would sort every row first.
                 F.when(F.bool_and(status == "F"), "Churned")
                 .when(F.bool_and(status == "P"), "Failed")
@@ -144,7 +149,7 @@ class SampleWarehouse:
             .agg(
                 F.sum(F.col("l_quantity").cast("int")).cast("int").alias("total_tx_count"),
                 F.sum(failed).cast("int").alias("failed_tx_count"),
-                F.sum(F.col("l_extendedprice").cast(_CENTS)).cast(_CENTS).alias("gross_payment_volume_usd"),
+                _amount(F.sum(cents_of_double(F.col("l_extendedprice")))).alias("gross_payment_volume_usd"),
             )
             .withColumn("plan_id", _plan_of(F.col("o_custkey")))
         )

@@ -41,8 +41,8 @@ class Condition:
 
     def met(self, values: np.ndarray) -> np.ndarray:
         if self.categories is not None:
-            return np.isin(values, list(self.categories)).astype(float)
-        return ((values > self.low) & (values <= self.high)).astype(float)
+            return np.isin(values, list(self.categories))
+        return (values > self.low) & (values <= self.high)
 
 
 @dataclass(frozen=True)
@@ -103,23 +103,38 @@ def base_margin(leaves: Sequence[Leaf]) -> float:
     return sum(leaf.value * math.prod(c.share for c in leaf.conditions) for leaf in leaves)
 
 
-def shapley_values(x: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
-    """Contributions of a block of rows: same shape as ``x``."""
+def pattern_table(leaf: Leaf) -> np.ndarray:
+    """The leaf's contributions for every pattern of met conditions: 2^d rows, one column per condition.
+
+    Bit j of the row number tells whether condition j is met.
+    """
+    d = len(leaf.conditions)
+    patterns = np.arange(2**d)
+    passes = [((patterns >> j) & 1).astype(float) for j in range(d)]
+    orders = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)]
+    table = np.empty((2**d, d))
+    for i, own in enumerate(leaf.conditions):
+        # coefficients[k]: sum over coalitions of k other features.
+        coefficients = [np.ones(2**d)]
+        for j, other in enumerate(leaf.conditions):
+            if j != i:
+                stay = [c * other.share for c in coefficients] + [0.0]
+                join = [0.0] + [c * passes[j] for c in coefficients]
+                coefficients = [a + b for a, b in zip(stay, join)]
+        weighted = sum(w * c for w, c in zip(orders, coefficients))
+        table[:, i] = leaf.value * (passes[i] - own.share) * weighted
+    return table
+
+
+def shapley_values(x: np.ndarray, leaves: Sequence[Leaf], tables: Sequence[np.ndarray] | None = None) -> np.ndarray:
+    """Contributions of a block of rows: same shape as ``x``. ``tables`` saves building them for every block."""
     result = np.zeros_like(x, dtype=float)
-    for leaf in leaves:
-        d = len(leaf.conditions)
-        passes = [c.met(x[:, c.feature]) for c in leaf.conditions]
-        orders = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)]
-        for i, own in enumerate(leaf.conditions):
-            # coefficients[k]: sum over coalitions of k other features.
-            coefficients = [np.ones(len(x))]
-            for j, other in enumerate(leaf.conditions):
-                if j != i:
-                    stay = [c * other.share for c in coefficients] + [0.0]
-                    join = [0.0] + [c * passes[j] for c in coefficients]
-                    coefficients = [a + b for a, b in zip(stay, join)]
-            weighted = sum(w * c for w, c in zip(orders, coefficients))
-            result[:, own.feature] += leaf.value * (passes[i] - own.share) * weighted
+    for leaf, table in zip(leaves, tables or map(pattern_table, leaves)):
+        pattern = np.zeros(len(x), dtype=np.int64)
+        for j, condition in enumerate(leaf.conditions):
+            pattern |= condition.met(x[:, condition.feature]).astype(np.int64) << j
+        for condition, shares in zip(leaf.conditions, table.T):
+            result[:, condition.feature] += shares[pattern]
     return result
 
 
@@ -139,11 +154,12 @@ def with_contributions(
     shared = assembled.sparkSession.sparkContext.broadcast(list(leaves))
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables = [pattern_table(leaf) for leaf in shared.value]
         for batch in batches:
             hit = batch["contributions"].notna()
             explained = pd.Series([None] * len(batch), index=batch.index, dtype=object)
             if hit.any():
-                block = shapley_values(np.stack(batch.loc[hit, "contributions"].to_numpy()), shared.value)
+                block = shapley_values(np.stack(batch.loc[hit, "contributions"].to_numpy()), shared.value, tables)
                 explained.loc[hit] = pd.Series(list(block), index=batch.index[hit])
             yield batch.assign(contributions=explained)
 
@@ -169,9 +185,10 @@ def global_attribution(
     labels = list(names)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables = [pattern_table(leaf) for leaf in shared.value]
         for batch in batches:
             if len(batch):
-                block = np.abs(shapley_values(np.stack(batch["x"].to_numpy()), shared.value))
+                block = np.abs(shapley_values(np.stack(batch["x"].to_numpy()), shared.value, tables))
                 yield pd.DataFrame({"feature": labels, "total": block.sum(axis=0), "n": len(batch)})
 
     sums = assembled.select(_array(vector).alias("x")).mapInPandas(fold, "feature string, total double, n long")

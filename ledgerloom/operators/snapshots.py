@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_date
-from ledgerloom.functions.numbers import as_double, mean_of, sum_when
+from ledgerloom.functions.numbers import as_double, cents, dollars, mean_of, sum_when
 
 LONG_WINDOW = 90
 SHORT_WINDOW = 30
@@ -89,14 +89,14 @@ def active_accounts(
 def transaction_features(transactions: DataFrame, cutoffs: Cutoffs) -> DataFrame:
     """Volumes, counts, failures and fees per account, overall and per payment rail."""
     days = cutoff_days(cutoffs)
-    volume, fees = F.col("gross_payment_volume_usd"), F.col("fees_collected_usd")
+    volume, fees = cents(F.col("gross_payment_volume_usd")), cents(F.col("fees_collected_usd"))
     total, failed = F.col("total_tx_count"), F.col("failed_tx_count")
     recent = _recent("transaction_date")
     rail_sums = []
     for prefix, rail in RAIL_PREFIXES.items():
         on_rail = recent & (F.col("payment_method") == rail)
         rail_sums += [
-            as_double(sum_when(on_rail, volume)).alias(f"{prefix}_vol_30d"),
+            dollars(sum_when(on_rail, volume)).alias(f"{prefix}_vol_30d"),
             sum_when(on_rail, failed).alias(f"{prefix}_failed_30d"),
             sum_when(on_rail, total).alias(f"{prefix}_total_30d"),
         ]
@@ -104,14 +104,14 @@ def transaction_features(transactions: DataFrame, cutoffs: Cutoffs) -> DataFrame
         in_lookback(transactions, "transaction_date", days)
         .groupBy(*snapshot_key(days))
         .agg(
-            as_double(sum_when(recent, volume)).alias("tx_volume_30d"),
+            dollars(sum_when(recent, volume)).alias("tx_volume_30d"),
             sum_when(recent, total).alias("tx_count_30d"),
             sum_when(recent, failed).alias("failed_tx_count_30d"),
-            as_double(sum_when(recent, fees)).alias("fees_collected_30d"),
-            as_double(F.sum(volume)).alias("tx_volume_90d"),
+            dollars(sum_when(recent, fees)).alias("fees_collected_30d"),
+            dollars(F.sum(volume)).alias("tx_volume_90d"),
             F.sum(total).alias("tx_count_90d"),
             F.sum(failed).alias("failed_tx_count_90d"),
-            as_double(F.sum(fees)).alias("fees_collected_90d"),
+            dollars(F.sum(fees)).alias("fees_collected_90d"),
             *rail_sums,
         )
     )
@@ -122,14 +122,15 @@ def balance_features(balances: DataFrame, cutoffs: Cutoffs) -> DataFrame:
     days = cutoff_days(cutoffs)
     balance, day = F.col("closing_balance_usd"), F.col("balance_date")
     recent = F.when(_recent("balance_date"), balance)
+    recent_cents, all_cents = F.when(_recent("balance_date"), cents(balance)), cents(balance)
     return (
         in_lookback(balances, "balance_date", days)
         .groupBy(*snapshot_key(days))
         .agg(
             as_double(F.max(F.when(day == F.col("cutoff_date"), balance))).alias("current_balance_usd"),
-            mean_of(F.sum(recent), F.count(recent)).alias("avg_balance_30d"),
+            mean_of(F.sum(recent_cents), F.count(recent_cents)).alias("avg_balance_30d"),
             F.stddev_samp(as_double(recent)).alias("balance_volatility_30d"),
-            mean_of(F.sum(balance), F.count(balance)).alias("avg_balance_90d"),
+            mean_of(F.sum(all_cents), F.count(all_cents)).alias("avg_balance_90d"),
         )
     )
 

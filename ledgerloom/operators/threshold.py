@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import as_double
+from ledgerloom.functions.numbers import cents_of_double, dollars
 
 SUCCESS_RATE = 0.40
 INTERVENTION_COST = 350.0
@@ -37,13 +37,13 @@ def _sweep(scored: DataFrame, probability: str, label: str, mrr: str, success_ra
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(churned).alias("tp"),
-            F.sum(F.when(churned, F.col(mrr).cast("decimal(18,2)"))).alias("tp_mrr"),
+            F.sum(F.when(churned, cents_of_double(F.col(mrr)))).alias("tp_mrr"),
         )
     )
     grid = scored.sparkSession.range(FIRST_HUNDREDTH, LAST_HUNDREDTH + 1).toDF("hundredth")
     from_top = Window.orderBy(F.desc("hundredth")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = lambda name: F.coalesce(F.sum(name).over(from_top), F.lit(0))
-    net = as_double(F.col("tp_mrr")) * 12.0 * success_rate - F.col("interventions_count") * cost
+    net = dollars(F.col("tp_mrr")) * 12.0 * success_rate - F.col("interventions_count") * cost
     return (
         grid.join(reached, "hundredth", "left")
         .select(

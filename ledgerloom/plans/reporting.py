@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import as_double, mean_of, sum_when
+from ledgerloom.functions.numbers import as_double, cents, cents_of_double, dollars, mean_of, sum_when
 from ledgerloom.operators.tiers import at_risk
 from ledgerloom.schemas import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 
@@ -26,7 +26,7 @@ def payment_rail_summary(transactions: DataFrame) -> DataFrame:
         total.alias("total_transactions"),
         failed.alias("total_failures"),
         rate.alias("failure_rate_pct"),
-        as_double(F.round(F.sum("gross_payment_volume_usd"), 2)).alias("total_volume_usd"),
+        dollars(F.sum(cents(F.col("gross_payment_volume_usd")))).alias("total_volume_usd"),
     )
 
 
@@ -61,7 +61,7 @@ def account_demographics(accounts: DataFrame, plans: DataFrame) -> DataFrame:
 def overall_churn(accounts: DataFrame) -> DataFrame:
     return accounts.agg(
         F.count(F.lit(1)).alias("accounts"),
-        mean_of(F.sum("is_churned"), F.count("is_churned")).alias("churn_rate"),
+        F.avg("is_churned").alias("churn_rate"),
     )
 
 
@@ -165,12 +165,11 @@ def scored_accounts_enriched(scores: DataFrame, accounts: DataFrame, plans: Data
 
 def executive_kpis(enriched: DataFrame) -> DataFrame:
     """Total MRR, annual revenue at risk, critical and at-risk counts, accounts and mean predicted value."""
-    mrr = F.col("current_mrr").cast("decimal(18,2)")
-    value = F.col("predicted_12m_clv_usd").cast("decimal(18,2)")
+    mrr, value = cents_of_double(F.col("current_mrr")), cents_of_double(F.col("predicted_12m_clv_usd"))
     risky = at_risk(F.col("risk_tier"))
     return enriched.agg(
-        as_double(F.sum(mrr)).alias("total_mrr"),
-        (as_double(sum_when(risky, mrr)) * 12.0).alias("at_risk_arr"),
+        dollars(F.sum(mrr)).alias("total_mrr"),
+        (dollars(sum_when(risky, mrr)) * 12.0).alias("at_risk_arr"),
         F.count_if(F.col("risk_tier") == "Critical").alias("critical_accounts"),
         F.count_if(risky).alias("at_risk_accounts"),
         F.count(F.lit(1)).alias("total_accounts"),
@@ -185,11 +184,11 @@ def tier_distribution(scores: DataFrame) -> DataFrame:
 def at_risk_summary(enriched: DataFrame) -> DataFrame:
     """One row: accounts scored, accounts per tier, monthly MRR at risk."""
     tier = F.col("risk_tier")
-    mrr = F.col("current_mrr").cast("decimal(18,2)")
+    mrr = cents_of_double(F.col("current_mrr"))
     return enriched.agg(
         F.count(F.lit(1)).alias("total_accounts"),
         *(F.count_if(tier == t).alias(f"{t.lower()}_accounts") for t in ("Critical", "High", "Medium", "Low")),
-        as_double(sum_when(at_risk(tier), mrr)).alias("at_risk_mrr"),
+        dollars(sum_when(at_risk(tier), mrr)).alias("at_risk_mrr"),
     )
 
 

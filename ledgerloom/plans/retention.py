@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_start, months_crossed
-from ledgerloom.functions.numbers import as_double
+from ledgerloom.functions.numbers import as_double, cents, dollars
 
 
 def _cohorts(accounts: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def _cohorts(accounts: DataFrame) -> DataFrame:
 
 
 def _cohort_activity(accounts: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """Active accounts and paid MRR per (cohort, month number).
+    """Active accounts and paid cents per (cohort, month number).
 
     Paid rows are first folded to one row per account and month, before they are shuffled, so an
     account brings at most one row per billed month into the join, and counting its rows afterwards
@@ -23,7 +23,7 @@ def _cohort_activity(accounts: DataFrame, subscriptions: DataFrame) -> DataFrame
     paid = (
         subscriptions.where((F.col("mrr_amount") > 0) & (F.col("billing_status") == "Paid"))
         .groupBy("account_id", "billing_month")
-        .agg(F.sum("mrr_amount").alias("mrr"))
+        .agg(F.sum(cents(F.col("mrr_amount"))).alias("mrr"))
     )
     return (
         paid.join(_cohorts(accounts), "account_id")
@@ -48,12 +48,12 @@ def cohort_retention(accounts: DataFrame, subscriptions: DataFrame) -> DataFrame
         .select(
             "cohort_month",
             "cohort_total_accounts",
-            F.round(as_double(F.col("starting")), 2).alias("cohort_starting_mrr"),
+            F.round(dollars(F.col("starting")), 2).alias("cohort_starting_mrr"),
             "month_number",
             "active_accounts",
-            F.round(as_double(F.col("retained")), 2).alias("retained_mrr"),
+            F.round(dollars(F.col("retained")), 2).alias("retained_mrr"),
             percent(F.col("active_accounts"), F.col("cohort_total_accounts")).alias("logo_retention_pct"),
-            percent(F.col("retained"), F.col("starting")).alias("net_revenue_retention_pct"),
+            percent(dollars(F.col("retained")), dollars(F.col("starting"))).alias("net_revenue_retention_pct"),
         )
         .orderBy("cohort_month", "month_number")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import as_double, ratio
+from ledgerloom.functions.numbers import as_double, cents, dollars, ratio
 from ledgerloom.operators.movements import movement_buckets, movement_types, with_previous_month
 
 _BUCKETS = ("new_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr")
@@ -18,9 +18,10 @@ def _panel(subscriptions: DataFrame) -> DataFrame:
 
 
 def _monthly(subscriptions: DataFrame) -> DataFrame:
-    """Movement sums per month: one shuffle for the history, a tiny one for the months."""
+    """Movement sums per month, in cents: one shuffle for the history, a tiny one for the months."""
+    in_cents = subscriptions.withColumn("mrr_amount", cents(F.col("mrr_amount")))
     return (
-        movement_buckets(_panel(subscriptions))
+        movement_buckets(_panel(in_cents))
         .groupBy("billing_month")
         .agg(*(F.sum(b).alias(b) for b in _BUCKETS), F.sum("mrr_amount").alias("ending_mrr"))
     )
@@ -32,11 +33,11 @@ def mrr_waterfall(subscriptions: DataFrame) -> DataFrame:
     sums = _monthly(subscriptions).withColumn("net", net).withColumn("start", F.col("ending_mrr") - F.col("net"))
     return sums.select(
         "billing_month",
-        as_double(F.col("start")).alias("starting_mrr"),
-        *(as_double(F.col(b)).alias(f"total_{b}") for b in _BUCKETS),
-        as_double(F.col("net")).alias("net_new_mrr"),
-        as_double(F.col("ending_mrr")).alias("total_ending_mrr"),
-        ratio(as_double(F.col("net")) * 100.0, F.col("start"), 0.0, 2).alias("mrr_growth_rate_pct"),
+        dollars(F.col("start")).alias("starting_mrr"),
+        *(dollars(F.col(b)).alias(f"total_{b}") for b in _BUCKETS),
+        dollars(F.col("net")).alias("net_new_mrr"),
+        dollars(F.col("ending_mrr")).alias("total_ending_mrr"),
+        ratio(dollars(F.col("net")) * 100.0, dollars(F.col("start")), 0.0, 2).alias("mrr_growth_rate_pct"),
     ).orderBy("billing_month")
 
 
@@ -45,10 +46,10 @@ def mrr_waterfall_compact(subscriptions: DataFrame, signed: bool = False) -> Dat
     sums = _monthly(subscriptions)
     losses = ("contraction_mrr", "churned_mrr")
     columns = [
-        as_double(-F.col(b) if signed and b in losses else F.col(b)).alias(b) for b in _BUCKETS
+        dollars(-F.col(b) if signed and b in losses else F.col(b)).alias(b) for b in _BUCKETS
     ]
     return sums.select(
-        "billing_month", *columns, as_double(F.col("ending_mrr")).alias("total_mrr")
+        "billing_month", *columns, dollars(F.col("ending_mrr")).alias("total_mrr")
     ).orderBy("billing_month")
 
 
