@@ -603,7 +603,7 @@ QUERIES |= {
         FROM best""",
     "threshold_value_added": """
         SELECT b.threshold AS optimal_threshold, round(b.net, 2) AS max_net_savings_usd,
-               round(d.net, 2) AS default_0_5_savings_usd, round(round(b.net, 2) - round(d.net, 2), 2) AS value_added_usd
+               round(d.net, 2) AS default_0_5_savings_usd, round(b.net - round(d.net, 2), 2) AS value_added_usd
         FROM best b CROSS JOIN (SELECT * FROM sweep WHERE abs(threshold - 0.5) < 0.01 ORDER BY threshold LIMIT 1) d""",
     "hard_predictions": """
         SELECT account_id, CAST(churn_probability >= 0.25::DOUBLE AS INTEGER) AS predicted_churn FROM scored""",

@@ -181,7 +181,9 @@ METADATA_SCHEMA = T.StructType([
     ])),
     T.StructField("financial_optimization", T.StructType([
         T.StructField(n, T.DoubleType())
-        for n in ("optimal_threshold", "max_net_savings_usd", "default_0_5_savings_usd", "value_added_usd")
+        for n in (
+            "optimal_threshold", "max_net_savings_test_set_usd", "default_0_5_savings_usd", "value_added_usd",
+        )
     ])),
     T.StructField("feature_names", T.ArrayType(T.StringType())),
 ])
@@ -195,7 +197,7 @@ def churn_metadata(model: PipelineModel, tested: DataFrame) -> DataFrame:
         "Gradient-boosted tree classifier",
         model.stages[-1].getNumTrees,
         money["optimal_threshold"],
-        tuple(quality),
+        tuple(None if m is None else round(m, 4) for m in quality),
         tuple(money),
         feature_names(tested),
     )

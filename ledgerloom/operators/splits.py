@@ -24,25 +24,28 @@ def random_split(df: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED
 def stratified_split(
     df: DataFrame, label: str, test_share: float = TEST_SHARE, seed: int = SEED, key: str = "account_id"
 ) -> DataFrame:
-    """Add ``is_test`` so that every class gives the same share of its rows.
+    """Add ``is_test`` so that both classes (label 1, and the rest) give the same share of their rows.
 
-    Each class is cut at its own hash bucket, read from a histogram of at most 10,000 buckets per class.
+    Each class is cut at its own hash bucket, read from a histogram of at most 10,000 buckets per class. The
+    input is read twice: a costly one should be a written table.
     """
-    hashed = df.withColumn("_bucket", hash_bucket(F.col(key), seed))
-    one_class = Window.partitionBy(label)
+    hashed = df.withColumns({
+        "_positive": F.coalesce(F.col(label) == 1, F.lit(False)), "_bucket": hash_bucket(F.col(key), seed),
+    })
+    one_class = Window.partitionBy("_positive")
     so_far = one_class.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cuts = (
-        hashed.groupBy(label, "_bucket")
+        hashed.groupBy("_positive", "_bucket")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(label, "_bucket", F.sum("n").over(so_far).alias("reached"), F.sum("n").over(one_class).alias("total"))
-        .groupBy(label)
+        .select("_positive", "_bucket", F.sum("n").over(so_far).alias("reached"), F.sum("n").over(one_class).alias("total"))
+        .groupBy("_positive")
         .agg(F.max(F.when(F.col("reached") <= F.round(F.col("total") * test_share), F.col("_bucket"))).alias("_cut"))
     )
-    # One row per class, and the label is 0 or 1.
+    # Two rows at most: the class is a boolean without NULL.
     return (
-        hashed.join(F.broadcast(cuts), label)
+        hashed.join(F.broadcast(cuts), "_positive")
         .withColumn("is_test", F.col("_bucket") <= F.coalesce("_cut", F.lit(-1)))
-        .drop("_bucket", "_cut")
+        .drop("_positive", "_bucket", "_cut")
     )
 
 
@@ -66,42 +69,45 @@ def label_stats(split: DataFrame, label: str) -> DataFrame:
     )
 
 
-def exact_median(df: DataFrame, group: str, cents: str) -> DataFrame:
-    """Exact median of a whole-number column per group, without gathering a group in one task.
+def exact_median(df: DataFrame, flag: str, whole: str) -> DataFrame:
+    """Exact median of a whole-number column on both sides of a boolean, without gathering a side in one task.
 
     The first pass counts blocks of 2^20 neighbouring values and finds the blocks that hold the two middle
-    ranks; the second counts the distinct values of those blocks only. Rows are pre-counted before each shuffle.
+    ranks; the second counts the distinct values of those blocks only. Rows are counted before each shuffle.
+    The input is read twice: a costly one should be a written table.
     """
-    one_group = Window.partitionBy(group)
-    block = F.shiftright(cents, 20).alias("_block")
+    side = F.col(flag).cast("boolean").alias(flag)
+    one_side = Window.partitionBy(flag)
 
     def before(order: str) -> Column:
         return F.coalesce(
-            F.sum("n").over(one_group.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            F.sum("n").over(one_side.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         )
 
     # 1-based ranks of the two middle rows; they coincide for an odd number of rows.
     low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
     middle = (F.col("before") < high) & (F.col("before") + F.col("n") >= low)
-    known = df.where(F.col(cents).isNotNull()).select(group, cents, block)
+    known = df.where(F.col(whole).isNotNull() & F.col(flag).isNotNull()).select(
+        side, whole, F.shiftright(whole, 20).alias("_block")
+    )
     blocks = (
-        known.groupBy(group, "_block")
+        known.groupBy(flag, "_block")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumns({"before": before("_block"), "total": F.sum("n").over(one_group)})
+        .withColumns({"before": before("_block"), "total": F.sum("n").over(one_side)})
         .where(middle)
-        .select(group, "_block", F.col("before").alias("below"), "total")
+        .select(flag, "_block", F.col("before").alias("below"), "total")
     )
-    # At most two blocks per group.
+    # Four rows at most: two blocks on either side.
     values = (
-        known.join(F.broadcast(blocks), [group, "_block"])
-        .groupBy(group, "_block", "below", "total", cents)
+        known.join(F.broadcast(blocks), [flag, "_block"])
+        .groupBy(flag, "_block", "below", "total", whole)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    in_block = Window.partitionBy(group, "_block").orderBy(cents).rowsBetween(Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy(flag, "_block").orderBy(whole).rowsBetween(Window.unboundedPreceding, -1)
     ranked = values.withColumn("before", F.col("below") + F.coalesce(F.sum("n").over(in_block), F.lit(0)))
     return (
         ranked.where(middle)
-        .groupBy(group)
-        .agg((F.min(cents) + F.max(cents)).alias("twice"))
-        .select(group, (F.col("twice") / 2).alias("median"))
+        .groupBy(flag)
+        .agg((F.min(whole) + F.max(whole)).alias("twice"))
+        .select(flag, (F.col("twice") / 2).alias("median"))
     )

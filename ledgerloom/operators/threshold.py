@@ -113,6 +113,6 @@ def threshold_value_added(
             (-F.col("best.low_first")).alias("optimal_threshold"),
             F.round("best.net", 2).alias("max_net_savings_usd"),
             F.round("default.net", 2).alias("default_0_5_savings_usd"),
-            F.round(F.round("best.net", 2) - F.round("default.net", 2), 2).alias("value_added_usd"),
+            F.round(F.col("best.net") - F.round("default.net", 2), 2).alias("value_added_usd"),
         )
     )

@@ -40,7 +40,7 @@ def test_classifier_finds_the_planted_signal(churn):
     found = churn.metadata.first()
     assert found.metrics.roc_auc > 0.9
     assert 1 <= found.best_iteration <= SETTINGS.rounds
-    assert found.financial_optimization.max_net_savings_usd >= found.financial_optimization.default_0_5_savings_usd
+    assert found.financial_optimization.max_net_savings_test_set_usd >= found.financial_optimization.default_0_5_savings_usd
     ps = churn.tested.agg(F.min("churn_probability").alias("low"), F.max("churn_probability").alias("high")).first()
     assert 0 <= ps.low <= ps.high <= 1
 

@@ -74,6 +74,12 @@ def test_bounds_prune_months_and_reach_the_scan(spark, warehouse):
     assert df.where("transaction_date < '1996-08-02' or transaction_date > '1996-10-31'").count() == 0
 
 
+def test_facts_are_rebalanced_by_size_not_by_a_sampled_range(spark, sample):
+    laid_out = sinks._laid_out(SampleWarehouse(spark, sample).balances, schemas.FACT_DAILY_BALANCES)
+    text = plan_of(laid_out)
+    assert "REBALANCE_PARTITIONS_BY_COL" in text and "rangepartitioning" not in text
+
+
 def test_account_lookup_is_pushed_down(spark, warehouse):
     from ledgerloom.plans.reporting import balance_history
 

@@ -43,9 +43,10 @@ def test_label_stats(spark):
 def test_exact_median(spark, n):
     rng = random.Random(n)
     values = [rng.choice([rng.randint(0, 3), rng.randint(-10**7, 10**10)]) for _ in range(n)]
-    df = spark.createDataFrame([("g", v) for v in values] + [("h", 5)] * 3, "g string, v long")
+    rows = [(True, v) for v in values] + [(False, 5)] * 3 + [(False, None), (None, 1)]
+    df = spark.createDataFrame(rows, "g boolean, v long")
     found = {r.g: r.median for r in splits.exact_median(df, "g", "v").collect()}
-    assert found == {"g": statistics.median(values), "h": 5}
+    assert found == {True: statistics.median(values), False: 5}
 
 
 def _auc(rows):
