@@ -9,12 +9,10 @@ from datetime import date, timedelta
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.functions.dates import month_start
-from ledgerloom.functions.numbers import cents_of_double
 from ledgerloom.operators.movements import movement_types, with_churn_status, with_previous_month
 from ledgerloom.operators.payments import with_failure_reason, with_fees
 
@@ -30,19 +28,18 @@ PLANS = (
 _EVENTS_START = date(2024, 1, 1)
 _BALANCES_START = date(1996, 8, 5)
 _BATCH_EPOCH = date(1990, 1, 1)
-_CENTS = "decimal(18,2)"
 
 
-def _account_id(key: Column) -> Column:
-    return F.concat(F.lit("ACC-"), F.lpad(key.cast("string"), 9, "0"))
+def _account_id(key: str) -> str:
+    return f"concat('ACC-', lpad(string({key}), 9, '0')) AS account_id"
 
 
-def _amount(total_cents: Column) -> Column:
-    return (total_cents.cast("decimal(18,0)") / 100).cast(_CENTS)
+def _amount(total_cents: str, name: str) -> str:
+    return f"CAST(CAST({total_cents} AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2)) AS {name}"
 
 
-def _plan_of(key: Column) -> Column:
-    return (key % 3 + 1).cast("int")
+def _plan_of(key: str, name: str) -> str:
+    return f"int({key} % 3 + 1) AS {name}"
 
 
 class SampleWarehouse:
@@ -51,9 +48,12 @@ class SampleWarehouse:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._sources: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     @cached_property
     def plans(self) -> DataFrame:
@@ -68,56 +68,50 @@ class SampleWarehouse:
     @cached_property
     def subscriptions(self) -> DataFrame:
         """Billed amount per account and month; a month of fulfilled orders only counts as churned."""
-        status = F.col("o_orderstatus")
-        billed = F.when(status != "F", cents_of_double(F.col("o_totalprice"))).otherwise(F.lit(0))
-        monthly = (
+        return (
             self._read("orders")
-            .groupBy("o_custkey", month_start(F.col("o_orderdate").cast("date")).alias("billing_month"))
+            .selectExpr(
+                "o_custkey AS customer",
+                "trunc(date(o_orderdate), 'MM') AS billing_month",
+                "o_orderstatus AS status",
+                "CAST(round(o_totalprice * 100) AS BIGINT) AS price",
+            )
+            .groupBy("customer", "billing_month")
+            # Boolean buffers keep this a hash aggregation; text minima would sort every row first.
             .agg(
-                _amount(F.sum(billed)).alias("mrr_amount"),
-                # Boolean buffers keep this a hash aggregation; text minima would sort every row first.
-                F.when(F.bool_and(status == "F"), "Churned")
-                .when(F.bool_and(status == "P"), "Failed")
-                .otherwise("Paid")
-                .alias("billing_status"),
+                F.expr("sum(if(status <> 'F', price, 0L)) AS billed"),
+                F.expr("bool_and(status = 'F') AS all_f"),
+                F.expr("bool_and(status = 'P') AS all_p"),
+            )
+            .selectExpr(
+                _account_id("customer"),
+                "billing_month",
+                _plan_of("customer", "plan_id"),
+                _amount("billed", "mrr_amount"),
+                "CASE WHEN all_f THEN 'Churned' WHEN all_p THEN 'Failed' ELSE 'Paid' END AS billing_status",
             )
-        )
-        return monthly.select(
-            _account_id(F.col("o_custkey")).alias("account_id"),
-            "billing_month",
-            _plan_of(F.col("o_custkey")).alias("plan_id"),
-            "mrr_amount",
-            "billing_status",
         )
 
     @cached_property
     def accounts(self) -> DataFrame:
-        balance, key = F.col("c_acctbal"), F.col("c_custkey")
-        size = (
-            F.when(balance < 2500, "Small (1-20)")
-            .when(balance < 5000, "Mid-Market (21-100)")
-            .when(balance < 7500, "Enterprise (101-500)")
-            .otherwise("Large Enterprise (500+)")
-        )
         signups = (
-            self._read("orders")
-            .groupBy(F.col("o_custkey").alias("c_custkey"))
-            .agg(F.min(F.col("o_orderdate").cast("date")).alias("signup_date"))
+            self._read("orders").groupBy("o_custkey").agg(F.expr("min(date(o_orderdate)) AS signup_date"))
         )
         profiles = (
             self._read("customer")
-            .join(self._read("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .join(signups, "c_custkey", "left")
-            .select(
-                _account_id(key).alias("account_id"),
-                F.col("c_name").alias("company_name"),
-                F.col("c_mktsegment").alias("industry"),
-                size.alias("company_size"),
-                F.col("n_name").alias("country"),
-                _plan_of(key).alias("initial_plan_id"),
-                _plan_of(key).alias("current_plan_id"),
+            .join(self._read("nation"), F.expr("c_nationkey = n_nationkey"), "left")
+            .join(signups, F.expr("c_custkey = o_custkey"), "left")
+            .selectExpr(
+                _account_id("c_custkey"),
+                "c_name AS company_name",
+                "c_mktsegment AS industry",
+                "CASE WHEN c_acctbal < 2500 THEN 'Small (1-20)' WHEN c_acctbal < 5000 THEN 'Mid-Market (21-100)' "
+                "WHEN c_acctbal < 7500 THEN 'Enterprise (101-500)' ELSE 'Large Enterprise (500+)' END AS company_size",
+                "n_name AS country",
+                _plan_of("c_custkey", "initial_plan_id"),
+                _plan_of("c_custkey", "current_plan_id"),
                 "signup_date",
-                balance.cast(_CENTS).alias("initial_deposit_usd"),
+                "CAST(c_acctbal AS DECIMAL(18,2)) AS initial_deposit_usd",
             )
         )
         return with_churn_status(profiles, self.subscriptions)
@@ -129,32 +123,32 @@ class SampleWarehouse:
     def transactions_between(self, since: date | None = None, until: date | None = None) -> DataFrame:
         """Payment batches per account, day and rail; the bounds are compared on the raw ship time, so they
         reach the scan of the line items."""
-        shipped = F.col("l_shipdate")
         lines = self._read("lineitem")
         if since is not None:
-            lines = lines.where(shipped >= F.lit(since).cast("timestamp_ntz"))
+            lines = lines.where(f"l_shipdate >= TIMESTAMP_NTZ'{since}'")
         if until is not None:
-            lines = lines.where(shipped < F.lit(until + timedelta(days=1)).cast("timestamp_ntz"))
-        rail = (
-            F.when(F.col("l_returnflag") == "A", "Credit Card")
-            .when(F.col("l_returnflag") == "N", "ACH Direct Debit")
-            .when(F.col("l_returnflag") == "R", "Wire Transfer")
-        )
-        failed = F.when(
-            F.col("l_linestatus") == "F", F.floor(F.col("l_quantity") * F.col("l_discount")).cast("int")
-        ).otherwise(0)
+            lines = lines.where(f"l_shipdate < TIMESTAMP_NTZ'{until + timedelta(days=1)}'")
         batches = (
-            lines.join(self._read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .groupBy("o_custkey", shipped.cast("date").alias("transaction_date"), rail.alias("payment_method"))
+            lines.join(self._read("orders"), F.expr("l_orderkey = o_orderkey"))
+            .selectExpr(
+                "o_custkey AS customer",
+                "date(l_shipdate) AS transaction_date",
+                "CASE l_returnflag WHEN 'A' THEN 'Credit Card' WHEN 'N' THEN 'ACH Direct Debit' "
+                "WHEN 'R' THEN 'Wire Transfer' END AS payment_method",
+                "int(l_quantity) AS quantity",
+                "if(l_linestatus = 'F', int(floor(l_quantity * l_discount)), 0) AS failed",
+                "CAST(round(l_extendedprice * 100) AS BIGINT) AS price",
+            )
+            .groupBy("customer", "transaction_date", "payment_method")
             .agg(
-                F.sum(F.col("l_quantity").cast("int")).cast("int").alias("total_tx_count"),
-                F.sum(failed).cast("int").alias("failed_tx_count"),
-                _amount(F.sum(cents_of_double(F.col("l_extendedprice")))).alias("gross_payment_volume_usd"),
+                F.expr("int(sum(quantity)) AS total_tx_count"),
+                F.expr("int(sum(failed)) AS failed_tx_count"),
+                F.expr(_amount("sum(price)", "gross_payment_volume_usd")),
             )
-            .withColumn("plan_id", _plan_of(F.col("o_custkey")))
+            .selectExpr("*", _plan_of("customer", "plan_id"))
         )
-        return with_fees(batches, self.plans).select(
-            _account_id(F.col("o_custkey")).alias("account_id"),
+        return with_fees(batches, self.plans).selectExpr(
+            _account_id("customer"),
             "transaction_date",
             "payment_method",
             "total_tx_count",
@@ -166,10 +160,9 @@ class SampleWarehouse:
 
     def _event_days(self) -> DataFrame:
         """Events with their account and a day stretched threefold over the look-back season."""
-        elapsed = F.datediff(F.col("ts").cast("date"), F.lit(_EVENTS_START))
-        return self._read("events").select(
-            (F.col("user_id") * 10 + F.col("event_id") % 10).alias("account_key"),
-            F.date_add(F.lit(_BALANCES_START), elapsed * 3).alias("day"),
+        return self._read("events").selectExpr(
+            "user_id * 10 + event_id % 10 AS account_key",
+            f"date_add(DATE'{_BALANCES_START}', datediff(date(ts), DATE'{_EVENTS_START}') * 3) AS day",
             "event_id",
             "event_type",
             "value",
@@ -180,31 +173,22 @@ class SampleWarehouse:
         return (
             self._event_days()
             .groupBy("account_key", "day")
-            .agg(F.max_by("value", "event_id").cast(_CENTS).alias("closing_balance_usd"))
-            .select(
-                _account_id(F.col("account_key")).alias("account_id"),
-                F.col("day").alias("balance_date"),
-                "closing_balance_usd",
-            )
+            .agg(F.expr("CAST(max_by(value, event_id) AS DECIMAL(18,2)) AS closing_balance_usd"))
+            .selectExpr(_account_id("account_key"), "day AS balance_date", "closing_balance_usd")
         )
 
     @cached_property
     def telemetry(self) -> DataFrame:
-        kind = F.col("event_type")
         return (
             self._event_days()
             .groupBy("account_key", "day")
             .agg(
-                F.count_if(kind.isin("click", "view")).cast("int").alias("api_call_count"),
-                F.count_if(kind == "signup").cast("int").alias("dashboard_logins"),
-                F.count_if(kind == "purchase").cast("int").alias("exports_count"),
+                F.expr("int(count_if(event_type IN ('click', 'view'))) AS api_call_count"),
+                F.expr("int(count_if(event_type = 'signup')) AS dashboard_logins"),
+                F.expr("int(count_if(event_type = 'purchase')) AS exports_count"),
             )
-            .select(
-                _account_id(F.col("account_key")).alias("account_id"),
-                F.col("day").alias("log_date"),
-                "api_call_count",
-                "dashboard_logins",
-                "exports_count",
+            .selectExpr(
+                _account_id("account_key"), "day AS log_date", "api_call_count", "dashboard_logins", "exports_count"
             )
         )
 

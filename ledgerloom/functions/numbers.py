@@ -30,6 +30,18 @@ def cents(amount: Column) -> Column:
     return (amount.cast("decimal(18,2)") * 100).cast("long")
 
 
+# The same in SQL text, for the long lists of aggregates.
+DOLLARS = "/ 100.0D"
+
+
+def cents_sql(name: str) -> str:
+    return f"CAST(CAST({name} AS DECIMAL(18,2)) * 100 AS BIGINT)"
+
+
+def ratio_sql(numerator: str, denominator: str, otherwise: float, digits: int = 4) -> str:
+    return f"if({denominator} > 0, round(double({numerator}) / double({denominator}), {digits}), {otherwise}D)"
+
+
 def cents_of_double(amount: Column) -> Column:
     """A double that holds an amount to the cent, as whole cents."""
     return F.round(amount * 100).cast("long")

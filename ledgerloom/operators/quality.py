@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import TABLES, Table
@@ -17,23 +17,19 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _conditions(table: Table, present: set[str], kinds: Sequence[str]) -> list[tuple[str, str, Column]]:
-    """(check, column, condition that marks a bad value) for the columns at hand."""
-    found = []
-    if "not_null" in kinds:
-        found += [("not_null", c, F.col(c).isNull()) for c in table.required]
-    if "domain" in kinds:
-        found += [("domain", c, ~F.col(c).isin(*values)) for c, values in table.domains.items()]
-    if "non_negative" in kinds:
-        found += [("non_negative", c, F.col(c) < 0) for c in table.non_negative]
-    if "text_length" in kinds:
-        found += [("text_length", c, F.length(c) > limit) for c, limit in table.text_limits.items()]
-    if "decimal_range" in kinds:
-        found += [
-            ("decimal_range", c, F.abs(F.col(c)) >= F.lit(10 ** (precision - scale)))
-            for c, (precision, scale) in table.decimal_limits.items()
-        ]
-    return [entry for entry in found if entry[1] in present]
+def _conditions(table: Table, present: set[str], kinds: Sequence[str]) -> list[tuple[str, str, str]]:
+    """(check, column, SQL condition that marks a bad value) for the columns at hand."""
+    found = [("not_null", c, f"{c} IS NULL") for c in table.required]
+    for c, values in table.domains.items():
+        listed = ", ".join(f"'{v}'" for v in values)
+        found.append(("domain", c, f"{c} NOT IN ({listed})"))
+    found += [("non_negative", c, f"{c} < 0") for c in table.non_negative]
+    found += [("text_length", c, f"length({c}) > {limit}") for c, limit in table.text_limits.items()]
+    found += [
+        ("decimal_range", c, f"abs({c}) >= {10 ** (precision - scale)}")
+        for c, (precision, scale) in table.decimal_limits.items()
+    ]
+    return [entry for entry in found if entry[0] in kinds and entry[1] in present]
 
 
 def column_checks(tables: dict[str, DataFrame], kinds: Sequence[str] = COLUMN_CHECKS) -> DataFrame:
@@ -43,15 +39,12 @@ def column_checks(tables: dict[str, DataFrame], kinds: Sequence[str] = COLUMN_CH
         conditions = _conditions(TABLES[name], set(df.columns), kinds)
         if not conditions:
             continue
-        counts = df.agg(*(F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(conditions)))
-        rows = F.explode(F.array(*(
-            F.struct(
-                F.lit(check).alias("check"), F.lit(name).alias("table_name"),
-                F.lit(column).alias("column_name"), F.col(f"n{i}").alias("violations"),
-            )
+        counts = df.agg(*(F.expr(f"count_if({bad}) AS n{i}") for i, (_, _, bad) in enumerate(conditions)))
+        rows = ", ".join(
+            f"named_struct('check', '{check}', 'table_name', '{name}', 'column_name', '{column}', 'violations', n{i})"
             for i, (check, column, _) in enumerate(conditions)
-        )))
-        parts.append(counts.select(rows.alias("r")).select("r.*"))
+        )
+        parts.append(counts.selectExpr(f"inline(array({rows}))"))
     return _union(parts)
 
 
@@ -112,8 +105,8 @@ def foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
 
 def feature_matrix(features: DataFrame, active: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: rows, distinct accounts, active accounts without a row, and NULLs over all feature columns."""
-    nulls = reduce(lambda a, b: a + b, (F.col(c).isNull().cast("int") for c in columns))
-    per_account = features.groupBy("account_id").agg(F.count(F.lit(1)).alias("n"), F.sum(nulls).alias("nulls"))
+    nulls = " + ".join(f"int({c} IS NULL)" for c in columns)
+    per_account = features.groupBy("account_id").agg(F.expr("count(1) AS n"), F.expr(f"sum({nulls}) AS nulls"))
     both = active.select("account_id").join(per_account, "account_id", "full")
     return both.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),

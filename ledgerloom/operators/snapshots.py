@@ -11,11 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_date
-from ledgerloom.functions.numbers import as_double, cents, dollars, mean_of, sum_when
+from ledgerloom.functions.numbers import DOLLARS, cents_sql
 
 LONG_WINDOW = 90
 SHORT_WINDOW = 30
@@ -46,14 +46,21 @@ def _expand(df: DataFrame, days: list[date], holds) -> DataFrame:
 
 def in_lookback(facts: DataFrame, day: str, days: list[date], window: int = LONG_WINDOW) -> DataFrame:
     """Rows dated within ``window`` days up to and including a cutoff."""
-    span = F.col(day).between(as_date(days[0] - timedelta(days=window)), as_date(days[-1]))
-    return _expand(
-        facts.where(span), days, lambda c: F.col(day).between(F.date_sub(c, window), c)
+    span = facts.where(f"{day} BETWEEN DATE'{days[0] - timedelta(days=window)}' AND DATE'{days[-1]}'")
+    if len(days) == 1:  # the span is the look-back
+        return span.withColumn("cutoff_date", as_date(days[0]))
+    return _expand(span, days, lambda c: F.col(day).between(F.date_sub(c, window), c))
+
+
+def _prepared(facts: DataFrame, day: str, days: list[date], *columns: str) -> DataFrame:
+    """Look-back rows with their key, the columns asked for, and whether they fall into the short window."""
+    return in_lookback(facts, day, days).selectExpr(
+        "account_id", "cutoff_date", *columns, f"{day} >= date_sub(cutoff_date, {SHORT_WINDOW}) AS recent"
     )
 
 
-def _recent(day: str, window: int = SHORT_WINDOW) -> Column:
-    return F.col(day) >= F.date_sub(F.col("cutoff_date"), window)
+def _aggregate(prepared: DataFrame, days: list[date], aggregates: list[str]) -> DataFrame:
+    return prepared.groupBy(*snapshot_key(days)).agg(*map(F.expr, aggregates))
 
 
 def active_accounts(
@@ -61,100 +68,95 @@ def active_accounts(
 ) -> DataFrame:
     """Accounts signed up by the cutoff and not yet churned, with tenure, plan terms and the label."""
     days = cutoff_days(cutoffs)
-    churn, cutoff = F.col("churn_date"), F.col("cutoff_date")
-    label = F.when((churn > cutoff) & (churn <= F.date_add(cutoff, horizon)), 1).otherwise(0)
     active = _expand(
         accounts.where(F.col("signup_date") <= as_date(days[-1])),
         days,
         lambda c: (F.col("signup_date") <= c) & (F.col("churn_date").isNull() | (F.col("churn_date") > c)),
     )
-    terms = plans.select(F.col("plan_id").alias("current_plan_id"), "monthly_fee", "take_rate_pct")
-    return active.join(terms, "current_plan_id").select(
+    terms = plans.selectExpr("plan_id AS current_plan_id", "monthly_fee", "take_rate_pct")
+    return active.join(terms, "current_plan_id").selectExpr(
         "account_id",
         "cutoff_date",
         "industry",
         "company_size",
         "country",
         "current_plan_id",
-        as_double(F.col("monthly_fee")).alias("current_mrr"),
-        as_double(F.col("take_rate_pct")).alias("take_rate_pct"),
+        "double(monthly_fee) AS current_mrr",
+        "double(take_rate_pct) AS take_rate_pct",
         "signup_date",
-        as_double(F.col("initial_deposit_usd")).alias("initial_deposit_usd"),
+        "double(initial_deposit_usd) AS initial_deposit_usd",
         "churn_date",
-        F.datediff(cutoff, "signup_date").alias("tenure_days"),
-        label.alias("churn_next_60d"),
+        "datediff(cutoff_date, signup_date) AS tenure_days",
+        f"if(churn_date > cutoff_date AND churn_date <= date_add(cutoff_date, {horizon}), 1, 0) AS churn_next_60d",
     )
 
 
 def transaction_features(transactions: DataFrame, cutoffs: Cutoffs) -> DataFrame:
     """Volumes, counts, failures and fees per account, overall and per payment rail."""
     days = cutoff_days(cutoffs)
-    volume, fees = cents(F.col("gross_payment_volume_usd")), cents(F.col("fees_collected_usd"))
-    total, failed = F.col("total_tx_count"), F.col("failed_tx_count")
-    recent = _recent("transaction_date")
-    rail_sums = []
-    for prefix, rail in RAIL_PREFIXES.items():
-        on_rail = recent & (F.col("payment_method") == rail)
-        rail_sums += [
-            dollars(sum_when(on_rail, volume)).alias(f"{prefix}_vol_30d"),
-            sum_when(on_rail, failed).alias(f"{prefix}_failed_30d"),
-            sum_when(on_rail, total).alias(f"{prefix}_total_30d"),
-        ]
-    return (
-        in_lookback(transactions, "transaction_date", days)
-        .groupBy(*snapshot_key(days))
-        .agg(
-            dollars(sum_when(recent, volume)).alias("tx_volume_30d"),
-            sum_when(recent, total).alias("tx_count_30d"),
-            sum_when(recent, failed).alias("failed_tx_count_30d"),
-            dollars(sum_when(recent, fees)).alias("fees_collected_30d"),
-            dollars(F.sum(volume)).alias("tx_volume_90d"),
-            F.sum(total).alias("tx_count_90d"),
-            F.sum(failed).alias("failed_tx_count_90d"),
-            dollars(F.sum(fees)).alias("fees_collected_90d"),
-            *rail_sums,
-        )
+    prepared = _prepared(
+        transactions,
+        "transaction_date",
+        days,
+        "payment_method",
+        "total_tx_count AS total",
+        "failed_tx_count AS failed",
+        cents_sql("gross_payment_volume_usd") + " AS volume",
+        cents_sql("fees_collected_usd") + " AS fees",
     )
+    sums = []
+    for column, name, unit in (
+        ("volume", "tx_volume", DOLLARS),
+        ("total", "tx_count", ""),
+        ("failed", "failed_tx_count", ""),
+        ("fees", "fees_collected", DOLLARS),
+    ):
+        sums.append(f"sum(if(recent, {column}, 0)) {unit} AS {name}_30d")
+        sums.append(f"sum({column}) {unit} AS {name}_90d")
+    for prefix, rail in RAIL_PREFIXES.items():
+        on_rail = f"recent AND payment_method = '{rail}'"
+        sums.append(f"sum(if({on_rail}, volume, 0)) {DOLLARS} AS {prefix}_vol_30d")
+        sums.append(f"sum(if({on_rail}, failed, 0)) AS {prefix}_failed_30d")
+        sums.append(f"sum(if({on_rail}, total, 0)) AS {prefix}_total_30d")
+    return _aggregate(prepared, days, sums)
 
 
 def balance_features(balances: DataFrame, cutoffs: Cutoffs) -> DataFrame:
     """Balance on the cutoff day, 30- and 90-day means, and the 30-day sample deviation."""
     days = cutoff_days(cutoffs)
-    balance, day = F.col("closing_balance_usd"), F.col("balance_date")
-    recent = F.when(_recent("balance_date"), balance)
-    recent_cents, all_cents = F.when(_recent("balance_date"), cents(balance)), cents(balance)
-    return (
-        in_lookback(balances, "balance_date", days)
-        .groupBy(*snapshot_key(days))
-        .agg(
-            as_double(F.max(F.when(day == F.col("cutoff_date"), balance))).alias("current_balance_usd"),
-            mean_of(F.sum(recent_cents), F.count(recent_cents)).alias("avg_balance_30d"),
-            F.stddev_samp(as_double(recent)).alias("balance_volatility_30d"),
-            mean_of(F.sum(all_cents), F.count(all_cents)).alias("avg_balance_90d"),
-        )
+    prepared = _prepared(
+        balances,
+        "balance_date",
+        days,
+        cents_sql("closing_balance_usd") + " AS balance",
+        "balance_date = cutoff_date AS at_cutoff",
     )
+    return _aggregate(prepared, days, [
+        f"max(if(at_cutoff, balance, NULL)) {DOLLARS} AS current_balance_usd",
+        f"sum(if(recent, balance, NULL)) {DOLLARS} / nullif(count(if(recent, balance, NULL)), 0) AS avg_balance_30d",
+        f"stddev_samp(if(recent, balance {DOLLARS}, NULL)) AS balance_volatility_30d",
+        f"sum(balance) {DOLLARS} / nullif(count(balance), 0) AS avg_balance_90d",
+    ])
 
 
 def telemetry_features(telemetry: DataFrame, cutoffs: Cutoffs) -> DataFrame:
     """Usage counts and days since the last API call and the last login."""
     days = cutoff_days(cutoffs)
-    calls, logins, exports = F.col("api_call_count"), F.col("dashboard_logins"), F.col("exports_count")
-    recent = _recent("log_date")
-
-    def days_since(activity: Column) -> Column:
-        last_day = F.max(F.when(activity > 0, F.col("log_date")))
-        return F.datediff(F.max("cutoff_date"), last_day)
-
-    return (
-        in_lookback(telemetry, "log_date", days)
-        .groupBy(*snapshot_key(days))
-        .agg(
-            sum_when(recent, calls).alias("api_calls_30d"),
-            sum_when(recent, logins).alias("logins_30d"),
-            sum_when(recent, exports).alias("exports_30d"),
-            F.sum(calls).alias("api_calls_90d"),
-            F.sum(logins).alias("logins_90d"),
-            days_since(calls).alias("days_since_last_api_call"),
-            days_since(logins).alias("days_since_last_login"),
-        )
+    prepared = _prepared(
+        telemetry,
+        "log_date",
+        days,
+        "api_call_count AS calls",
+        "dashboard_logins AS logins",
+        "exports_count AS exports",
+        "datediff(cutoff_date, log_date) AS age",
     )
+    return _aggregate(prepared, days, [
+        "sum(if(recent, calls, 0)) AS api_calls_30d",
+        "sum(if(recent, logins, 0)) AS logins_30d",
+        "sum(if(recent, exports, 0)) AS exports_30d",
+        "sum(calls) AS api_calls_90d",
+        "sum(logins) AS logins_90d",
+        "min(if(calls > 0, age, NULL)) AS days_since_last_api_call",
+        "min(if(logins > 0, age, NULL)) AS days_since_last_login",
+    ])

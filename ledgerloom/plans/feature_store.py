@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ledgerloom.functions.numbers import ratio
+from ledgerloom.functions.numbers import ratio_sql
 from ledgerloom.operators.snapshots import (
     LONG_WINDOW,
     RAIL_PREFIXES,
@@ -29,27 +28,22 @@ _RECENCIES = ("days_since_last_api_call", "days_since_last_login")
 _BALANCES = ("current_balance_usd", "avg_balance_30d", "avg_balance_90d")
 
 
-def _or(name: str, default) -> Column:
-    return F.coalesce(F.col(name), default if isinstance(default, Column) else F.lit(default))
-
-
-def _ratios() -> dict[str, Column]:
-    rails = {}
-    for prefix in RAIL_PREFIXES:
-        rails[f"{prefix}_vol_share_30d"] = ratio(F.col(f"{prefix}_vol_30d"), F.col("tx_volume_30d"), 0.0)
-        rails[f"{prefix}_failure_rate_30d"] = ratio(
-            F.col(f"{prefix}_failed_30d"), F.col(f"{prefix}_total_30d"), 0.0
-        )
-    third = lambda name: F.col(name).cast("double") / 3.0
-    decay = F.round(
-        (_or("avg_balance_30d", 0.0) - F.col("avg_balance_90d")) / F.col("avg_balance_90d"), 4
-    )
-    return rails | {
-        "tx_volume_velocity_ratio": ratio(F.col("tx_volume_30d"), third("tx_volume_90d"), 1.0),
-        "failed_tx_rate_30d": ratio(F.col("failed_tx_count_30d"), F.col("tx_count_30d"), 0.0),
-        "balance_decay_pct": F.when(F.col("avg_balance_90d") > 0, decay).otherwise(0.0),
-        "telemetry_velocity_ratio": ratio(F.col("api_calls_30d"), third("api_calls_90d"), 1.0),
+def _expressions() -> dict[str, str]:
+    """SQL text of every feature that is not taken over as it stands."""
+    decay = "round((coalesce(avg_balance_30d, 0.0D) - avg_balance_90d) / avg_balance_90d, 4)"
+    found = {
+        "tx_volume_velocity_ratio": ratio_sql("tx_volume_30d", "tx_volume_90d / 3.0D", 1.0),
+        "telemetry_velocity_ratio": ratio_sql("api_calls_30d", "api_calls_90d / 3.0D", 1.0),
+        "failed_tx_rate_30d": ratio_sql("failed_tx_count_30d", "tx_count_30d", 0.0),
+        "balance_decay_pct": f"if(avg_balance_90d > 0, {decay}, 0.0D)",
     }
+    for rail in RAIL_PREFIXES:
+        found[f"{rail}_vol_share_30d"] = ratio_sql(f"{rail}_vol_30d", "tx_volume_30d", 0.0)
+        found[f"{rail}_failure_rate_30d"] = ratio_sql(f"{rail}_failed_30d", f"{rail}_total_30d", 0.0)
+    found |= {name: f"coalesce({name}, 0.0D)" for name in _ZERO_AMOUNTS}
+    found |= {name: f"coalesce({name}, 0L)" for name in _ZERO_COUNTS}
+    found |= {name: f"coalesce({name}, {LONG_WINDOW})" for name in _RECENCIES}
+    return found | {name: f"coalesce({name}, initial_deposit_usd)" for name in _BALANCES}
 
 
 def feature_store(
@@ -69,14 +63,7 @@ def feature_store(
     """
     days = cutoff_days(cutoffs)
     key = snapshot_key(days)
-    deposit = F.col("initial_deposit_usd")
-    filled = (
-        {name: _or(name, 0.0) for name in _ZERO_AMOUNTS}
-        | {name: _or(name, 0).cast("long") for name in _ZERO_COUNTS}
-        | {name: _or(name, LONG_WINDOW) for name in _RECENCIES}
-        | {name: _or(name, deposit) for name in _BALANCES}
-    )
-    columns = filled | _ratios()
+    columns = _expressions()
     joined = (
         active_accounts(accounts, plans, days)
         .join(transaction_features(transactions, days), key, "left")
@@ -84,5 +71,5 @@ def feature_store(
         .join(telemetry_features(telemetry, days), key, "left")
     )
     identity = ["account_id"] + (["cutoff_date"] if keep_cutoff or len(days) > 1 else [])
-    numeric = [columns.get(name, F.col(name)).alias(name) for name in NUMERIC_FEATURES]
-    return joined.select(*identity, *CATEGORICAL_FEATURES, *numeric, LABEL)
+    numeric = [f"{columns.get(name, name)} AS {name}" for name in NUMERIC_FEATURES]
+    return joined.selectExpr(*identity, *CATEGORICAL_FEATURES, *numeric, LABEL)

@@ -89,57 +89,53 @@ def feature_label_correlation(features: DataFrame) -> DataFrame:
     Numeric features take one aggregation; dummies need only counts per category. The first category in
     alphabetical order is the base level and has no dummy. A constant column has no correlation (NULL).
     """
-    y = as_double(F.col(LABEL))
-    numeric = features.agg(*(
-        F.struct(
-            F.covar_pop(as_double(F.col(n)), y).alias("c"),
-            F.stddev_pop(as_double(F.col(n))).alias("sx"),
-            F.stddev_pop(y).alias("sy"),
-        ).alias(n)
+    moments = features.agg(*(
+        F.expr(
+            f"named_struct('feature', '{n}', 'c', covar_pop({n}, {LABEL}), "
+            f"'spread', stddev_pop({n}) * stddev_pop({LABEL})) AS {n}"
+        )
         for n in NUMERIC_FEATURES
     ))
-    entries = F.explode(F.array(*(F.struct(F.lit(n).alias("feature"), F.col(n).alias("m")) for n in NUMERIC_FEATURES)))
-    spread = F.col("e.m.sx") * F.col("e.m.sy")
-    numeric = numeric.select(entries.alias("e")).select(
-        "e.feature", F.when(spread > 0, F.col("e.m.c") / spread).alias("corr")
+    numeric = moments.selectExpr(f"inline(array({', '.join(NUMERIC_FEATURES)}))").selectExpr(
+        "feature", "if(spread > 0, c / spread, NULL) AS corr"
     )
-    return numeric.unionByName(_dummy_correlation(features)).select(
-        "feature", F.round("corr", 4).alias("corr")
+    return numeric.unionByName(_dummy_correlation(features)).selectExpr(
+        "feature", "round(corr, 4) AS corr"
     ).orderBy("corr", "feature")
 
 
 def _dummy_correlation(features: DataFrame) -> DataFrame:
     """Phi coefficient of each category level with the label, from whole-number counts."""
-    pairs = F.explode(F.array(*(
-        F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in CATEGORICAL_FEATURES
-    )))
     levels = (
-        features.select(pairs.alias("p"), LABEL)
-        .groupBy("p.name", "p.level")
-        .agg(F.count(F.lit(1)).alias("n1"), F.sum(LABEL).alias("n11"))
+        _levels(features, LABEL)
+        .groupBy("name", "level")
+        .agg(F.expr("count(1) AS n1"), F.expr(f"sum({LABEL}) AS n11"))
     )
     # Levels are few, so their totals and the base level come from a second small aggregation.
     totals = levels.groupBy("name").agg(
-        F.sum("n1").alias("n"), F.sum("n11").alias("positives"), F.min("level").alias("base")
+        F.expr("double(sum(n1)) AS n"), F.expr("double(sum(n11)) AS y1"), F.expr("min(level) AS base")
     )
-    n, n1, y1, n11 = (as_double(F.col(c)) for c in ("n", "n1", "positives", "n11"))
-    spread = F.sqrt(n1 * (n - n1)) * F.sqrt(y1 * (n - y1))
     return (
         levels.join(totals, "name")
-        .where(F.col("level") != F.col("base"))
-        .select(
-            F.concat_ws("_", "name", "level").alias("feature"),
-            F.when(spread > 0, (n * n11 - n1 * y1) / spread).alias("corr"),
+        .where("level <> base")
+        .selectExpr(
+            "concat(name, '_', level) AS feature",
+            "n * n11 - n1 * y1 AS c",
+            "sqrt(n1 * (n - n1)) * sqrt(y1 * (n - y1)) AS spread",
         )
+        .selectExpr("feature", "if(spread > 0, c / spread, NULL) AS corr")
     )
 
 
+def _levels(features: DataFrame, *keep: str) -> DataFrame:
+    """One row per account and category column: its name and level."""
+    pairs = ", ".join(f"named_struct('name', '{c}', 'level', {c})" for c in CATEGORICAL_FEATURES)
+    return features.selectExpr(*keep, f"inline(array({pairs}))")
+
+
 def one_hot_categories(features: DataFrame) -> DataFrame:
     """Each account's non-base categories as dummy names, long form: (account_id, dummy)."""
-    pairs = F.explode(F.array(*(
-        F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in CATEGORICAL_FEATURES
-    )))
-    long = features.select("account_id", pairs.alias("p")).select("account_id", "p.name", "p.level")
+    long = _levels(features, "account_id")
     # One row per category column.
     bases = long.groupBy("name").agg(F.min("level").alias("base"))
     return (
