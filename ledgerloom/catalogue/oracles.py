@@ -561,7 +561,7 @@ QUERIES |= {
         SELECT account_id, transaction_date, CAST(gross_payment_volume_usd AS DOUBLE) AS gross_payment_volume_usd,
                failed_tx_count, total_tx_count
         FROM fact_transactions ORDER BY account_id, transaction_date""",
-    "account_lookup": """
+    "account_history": """
         SELECT balance_date, CAST(closing_balance_usd AS DOUBLE) AS closing_balance_usd
         FROM fact_daily_balances WHERE account_id = 'ACC-000000007' ORDER BY balance_date""",
     "account_demographics": """
@@ -694,6 +694,37 @@ QUERIES |= {
         SELECT count(s.account_id) AS row_count, count(DISTINCT s.account_id) AS accounts,
                count(*) FILTER (s.account_id IS NULL) AS missing_accounts, CAST(0 AS BIGINT) AS null_values
         FROM active a LEFT JOIN (SELECT * FROM store WHERE COLUMNS(*) IS NOT NULL) s USING (account_id)""",
+    "dq_serving_columns": _all(
+        [
+            f"""SELECT 'not_null' AS "check", 'analytics_account_risk_scores' AS table_name, '{c}' AS column_name,
+                count(*) FILTER ({c} IS NULL) AS violations FROM served"""
+            for c in (
+                "account_id", "score_timestamp", "churn_probability", "risk_tier", "predicted_12m_clv_usd",
+                "primary_churn_driver", "secondary_churn_driver", "recommended_action",
+            )
+        ]
+        + ["""SELECT 'domain', 'analytics_account_risk_scores', 'risk_tier',
+              count(*) FILTER (risk_tier NOT IN ('Low', 'Medium', 'High', 'Critical')) FROM served"""]
+        + [
+            f"SELECT 'text_length', 'analytics_account_risk_scores', '{c}', count(*) FILTER (length({c}) > {n}) FROM served"
+            for c, n in (
+                ("account_id", 20), ("risk_tier", 20), ("primary_churn_driver", 100),
+                ("secondary_churn_driver", 100), ("recommended_action", 255),
+            )
+        ]
+        + [
+            f"SELECT 'decimal_range', 'analytics_account_risk_scores', '{c}', count(*) FILTER (abs({c}) >= {n}) FROM served"
+            for c, n in (("churn_probability", "100"), ("predicted_12m_clv_usd", "1e16"))
+        ]
+    ),
+    "dq_serving_keys": """
+        SELECT 'analytics_account_risk_scores' AS table_name, 'account_id,score_timestamp' AS key_columns,
+               count(*) AS violations, CAST(coalesce(sum(n), 0) AS BIGINT) AS row_count
+        FROM (SELECT count(*) AS n FROM served GROUP BY account_id, score_timestamp HAVING count(*) > 1) g""",
+    "dq_serving_references": """
+        SELECT 'analytics_account_risk_scores' AS table_name, 'account_id' AS column_name,
+               'dim_accounts' AS parent_table, count(DISTINCT account_id) AS violations, count(*) AS row_count
+        FROM served WHERE account_id NOT IN (SELECT account_id FROM dim_accounts)""",
     "dq_scores": """
         SELECT count(*) AS row_count, min(churn_probability) AS min_probability,
                max(churn_probability) AS max_probability,

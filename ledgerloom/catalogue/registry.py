@@ -189,7 +189,7 @@ def transaction_history(w):
 
 
 @query
-def account_lookup(w):
+def account_history(w):
     """Balances of the one account a user looks up."""
     return plain(reporting.balance_history(w.balances, "ACC-000000007"))
 
@@ -406,6 +406,21 @@ def dq_feature_matrix(w):
     return quality.feature_matrix(store(w), labelled(w), NUMERIC_FEATURES)
 
 
+@query
+def dq_serving_columns(w):
+    return quality.column_checks({RISK_SCORES.name: served(w)})
+
+
+@query
+def dq_serving_keys(w):
+    return quality.primary_keys({RISK_SCORES.name: served(w)})
+
+
+@query
+def dq_serving_references(w):
+    return quality.foreign_keys({RISK_SCORES.name: served(w)}, {"dim_accounts": w.accounts})
+
+
 @query
 def dq_scores(w):
     return quality.scores(served(w))

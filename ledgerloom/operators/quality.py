@@ -83,17 +83,19 @@ def primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
-def foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    """Values without a parent, and the rows that hold them.
+def foreign_keys(tables: dict[str, DataFrame], parents: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Values without a parent, and the rows that hold them; parents are looked up among the tables themselves
+    unless given.
 
     Child rows are counted per value before the join, so a parent with very many rows costs one row in it.
     """
     parts = []
+    known = tables if parents is None else parents
     for name, df in tables.items():
         for column, parent, parent_column in TABLES[name].references:
             children = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v"))
             orphans = children.agg(F.count(F.lit(1)).alias("n")).join(
-                tables[parent].select(F.col(parent_column).alias("v")), "v", "left_anti"
+                known[parent].select(F.col(parent_column).alias("v")), "v", "left_anti"
             )
             parts.append(
                 orphans.agg(F.count(F.lit(1)).alias("violations"), F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"))
