@@ -40,8 +40,9 @@ def _expand(df: DataFrame, days: list[date], holds) -> DataFrame:
     """One row per cutoff for which ``holds(cutoff)`` is true."""
     if len(days) == 1:
         return df.where(holds(as_date(days[0]))).withColumn("cutoff_date", as_date(days[0]))
-    matching = F.filter(F.array(*(as_date(d) for d in days)), holds)
-    return df.withColumn("cutoff_date", F.explode(matching))
+    # Plain conditions stay in generated code, which a higher-order filter of the list would leave.
+    candidates = F.array(*(F.when(holds(as_date(d)), as_date(d)) for d in days))
+    return df.withColumn("cutoff_date", F.explode(candidates)).where("cutoff_date IS NOT NULL")
 
 
 def in_lookback(facts: DataFrame, day: str, days: list[date], window: int = LONG_WINDOW) -> DataFrame:

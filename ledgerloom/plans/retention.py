@@ -16,19 +16,20 @@ def _cohorts(accounts: DataFrame) -> DataFrame:
 def _cohort_activity(accounts: DataFrame, subscriptions: DataFrame) -> DataFrame:
     """Active accounts and paid cents per (cohort, month number).
 
-    Paid rows are first folded to one row per account and month, before they are shuffled, so an
-    account brings at most one row per billed month into the join, and counting its rows afterwards
-    is counting distinct accounts.
+    The panel is shuffled once, by account for the join. The fold to one row per account and month needs no
+    further shuffle, and counting its rows is counting distinct accounts. An account holds one row per billed
+    month; should one break that grain, adaptive execution splits its share of the join.
     """
-    paid = (
-        subscriptions.where((F.col("mrr_amount") > 0) & (F.col("billing_status") == "Paid"))
-        .groupBy("account_id", "billing_month")
-        .agg(F.sum(cents(F.col("mrr_amount"))).alias("mrr"))
+    paid = subscriptions.where((F.col("mrr_amount") > 0) & (F.col("billing_status") == "Paid")).select(
+        "account_id", "billing_month", cents(F.col("mrr_amount")).alias("mrr")
     )
+    month_number = months_crossed(F.col("cohort_month"), F.col("billing_month"))
     return (
         paid.join(_cohorts(accounts), "account_id")
         .where(F.col("cohort_month").isNotNull())
-        .groupBy("cohort_month", months_crossed(F.col("cohort_month"), F.col("billing_month")).alias("month_number"))
+        .groupBy("account_id", "cohort_month", month_number.alias("month_number"))
+        .agg(F.sum("mrr").alias("mrr"))
+        .groupBy("cohort_month", "month_number")
         .agg(F.count(F.lit(1)).alias("active_accounts"), F.sum("mrr").alias("retained"))
     )
 

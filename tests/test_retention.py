@@ -55,3 +55,17 @@ def test_repeated_months_count_an_account_once(spark):
     subs = subscriptions(spark, [("a", "2024-01", 5, "Paid"), ("a", "2024-01", 7, "Paid")])
     row = retention.cohort_retention(who, subs).first()
     assert (row.active_accounts, row.retained_mrr) == (1, 12)
+
+
+def test_the_panel_is_shuffled_once(spark):
+    """After the join by account, the fold per account and month needs no exchange of its own."""
+    from frames import plan_of
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(retention.cohort_retention(*_data(spark))).split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning(account_id") == 2  # the panel and the accounts
+    assert plan.count("Exchange hashpartitioning(") == 4  # and the small cohort sums, twice
