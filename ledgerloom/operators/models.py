@@ -98,7 +98,6 @@ def _classifier(settings: ChurnSettings, rounds: int) -> GBTClassifier:
         subsamplingRate=settings.row_share,
         featureSubsetStrategy=str(settings.feature_share),
         seed=settings.seed,
-        cacheNodeIds=True,
         checkpointInterval=10,
     )
 
