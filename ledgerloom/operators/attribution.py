@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,10 +39,10 @@ class Condition:
     high: float = math.inf
     categories: frozenset[float] | None = None
 
-    def met(self, values: np.ndarray) -> np.ndarray:
+    def met(self, value: float) -> bool:
         if self.categories is not None:
-            return np.isin(values, list(self.categories))
-        return (values > self.low) & (values <= self.high)
+            return value in self.categories
+        return self.low < value <= self.high
 
 
 @dataclass(frozen=True)
@@ -126,16 +126,43 @@ def pattern_table(leaf: Leaf) -> np.ndarray:
     return table
 
 
-def shapley_values(x: np.ndarray, leaves: Sequence[Leaf], tables: Sequence[np.ndarray] | None = None) -> np.ndarray:
-    """Contributions of a block of rows: same shape as ``x``. ``tables`` saves building them for every block."""
-    result = np.zeros_like(x, dtype=float)
-    for leaf, table in zip(leaves, tables or map(pattern_table, leaves)):
-        pattern = np.zeros(len(x), dtype=np.int64)
-        for j, condition in enumerate(leaf.conditions):
-            pattern |= condition.met(x[:, condition.feature]).astype(np.int64) << j
-        for condition, shares in zip(leaf.conditions, table.T):
-            result[:, condition.feature] += shares[pattern]
-    return result
+def _plain_form(leaves: Sequence[Leaf]) -> list[tuple]:
+    """Leaves as numbers and arrays only: ([(feature, low, high, categories)], pattern table).
+
+    Tasks get this form, at most rounds x 2^depth entries, so that executors need numpy and pandas but not
+    this package.
+    """
+    return [
+        (
+            [(c.feature, c.low, c.high, None if c.categories is None else sorted(c.categories))
+             for c in leaf.conditions],
+            pattern_table(leaf),
+        )
+        for leaf in leaves
+    ]
+
+
+def _block_function():
+    """The function that explains a block of rows; made inside a function, so it travels by value."""
+
+    def block_values(x, plain):
+        result = np.zeros_like(x, dtype=float)
+        for conditions, table in plain:
+            pattern = np.zeros(len(x), dtype=np.int64)
+            for j, (feature, low, high, categories) in enumerate(conditions):
+                values = x[:, feature]
+                met = (values > low) & (values <= high) if categories is None else np.isin(values, categories)
+                pattern |= met.astype(np.int64) << j
+            for (feature, *_), shares in zip(conditions, table.T):
+                result[:, feature] += shares[pattern]
+        return result
+
+    return block_values
+
+
+def shapley_values(x: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
+    """Contributions of a block of rows: same shape as ``x``."""
+    return _block_function()(x, _plain_form(leaves))
 
 
 def _array(vector: str) -> Column:
@@ -151,15 +178,15 @@ def with_contributions(
     """
     values = _array(vector) if wanted is None else F.when(wanted, _array(vector))
     prepared = assembled.withColumn("contributions", values).drop(vector)
-    shared = assembled.sparkSession.sparkContext.broadcast(list(leaves))
+    shared = assembled.sparkSession.sparkContext.broadcast(_plain_form(leaves))
+    block_values = _block_function()
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = [pattern_table(leaf) for leaf in shared.value]
+    def explain(batches):
         for batch in batches:
             hit = batch["contributions"].notna()
             explained = pd.Series([None] * len(batch), index=batch.index, dtype=object)
             if hit.any():
-                block = shapley_values(np.stack(batch.loc[hit, "contributions"].to_numpy()), shared.value, tables)
+                block = block_values(np.stack(batch.loc[hit, "contributions"].to_numpy()), shared.value)
                 explained.loc[hit] = pd.Series(list(block), index=batch.index[hit])
             yield batch.assign(contributions=explained)
 
@@ -181,14 +208,14 @@ def global_attribution(
 
     Each batch is summed where it is computed, so a batch sends one number per feature into the shuffle.
     """
-    shared = assembled.sparkSession.sparkContext.broadcast(list(leaves))
+    shared = assembled.sparkSession.sparkContext.broadcast(_plain_form(leaves))
     labels = list(names)
+    block_values = _block_function()
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = [pattern_table(leaf) for leaf in shared.value]
+    def fold(batches):
         for batch in batches:
             if len(batch):
-                block = np.abs(shapley_values(np.stack(batch["x"].to_numpy()), shared.value, tables))
+                block = np.abs(block_values(np.stack(batch["x"].to_numpy()), shared.value))
                 yield pd.DataFrame({"feature": labels, "total": block.sum(axis=0), "n": len(batch)})
 
     sums = assembled.select(_array(vector).alias("x")).mapInPandas(fold, "feature string, total double, n long")

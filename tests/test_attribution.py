@@ -19,7 +19,7 @@ def _expectation(leaves, x, known):
     for leaf in leaves:
         part = leaf.value
         for c in leaf.conditions:
-            part *= float(c.met(np.array([x[c.feature]]))[0]) if c.feature in known else c.share
+            part *= float(c.met(x[c.feature])) if c.feature in known else c.share
         total += part
     return total
 
@@ -108,3 +108,31 @@ def test_global_ranking_is_the_mean_of_the_local_values(spark, fitted):
     assert ranking[0].feature == "a"
     values = [r.mean_abs_contribution for r in ranking]
     assert values == sorted(values, reverse=True)
+
+
+def test_tasks_do_not_need_the_package(tmp_path):
+    """Executors have numpy and pandas; the package lives on the driver only, away from their path."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    repo = Path(__file__).resolve().parent.parent
+    script = tmp_path / "away.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {str(repo)!r})
+from ledgerloom.session import build_session
+from ledgerloom.operators.attribution import Condition, Leaf, global_attribution, with_contributions
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+spark = build_session("away", "local[2]", **{{"spark.ui.enabled": "false"}})
+rows = spark.range(100).select(F.col("id").alias("account_id"), array_to_vector(F.array(F.rand(1), F.rand(2))).alias("features"))
+leaves = [Leaf(1.0, (Condition(0, 0.5, high=0.5), Condition(1, 0.5, high=0.5)))]
+assert with_contributions(rows, leaves).count() == 100
+assert global_attribution(rows, leaves, ["a", "b"]).count() == 2
+print("explained")
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
+    assert "explained" in done.stdout, done.stderr[-2000:]
