@@ -84,20 +84,20 @@ class Pieces:
         if found is not None:
             return found
         table, n = self.table, len(self.unknown)
-        forward, shift = [(1.0,) * n], 0.0
+        forward, shift = [[1.0] * n], [0.0] * n
         for end, own in enumerate(self.edges(word), 1):
             sums = [0.0] * n
             for at, piece in own:
                 sums = [s + a * p for s, a, p in zip(sums, forward[at], table[piece])]
-            if min(sums) < TINY:  # one scale for all languages and places that are still needed
-                scale = max(sums)
+            if min(sums, default=1.0) < TINY:  # each language gets a scale of its own, for the places that are still needed
                 for at in range(max(0, end - self.longest), end):
-                    forward[at] = tuple([a / scale for a in forward[at]])
-                sums, shift = [max(s / scale, 1e-300) for s in sums], shift + math.log(scale)
+                    forward[at] = [a / s for a, s in zip(forward[at], sums)]
+                shift = [x + math.log(s) for x, s in zip(shift, sums)]
+                sums = [1.0] * n
             forward.append(sums)
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        found = self.known[word] = tuple([math.log(s) + shift for s in forward[-1]])
+        found = self.known[word] = tuple([math.log(s) + x for s, x in zip(forward[-1], shift)])
         return found
 
     def uses(self, word: str, language: int) -> dict[str, float]:
@@ -214,9 +214,9 @@ def identify(docs: DataFrame, model: tuple[list[str], dict[str, tuple[float, ...
                 own = column.slice(begin, stop - begin)
                 lists = words_of(own)
                 coded = lists.flatten().dictionary_encode()
-                logs = np.array(
-                    [pieces.score(w) if w else (0.0,) * len(langs) for w in coded.dictionary.to_pylist()]
-                ).reshape(-1, len(langs))
+                distinct = coded.dictionary.to_pylist()
+                logs = np.array([pieces.score(w) if w else (0.0,) * len(langs) for w in distinct])
+                logs = logs.reshape(len(distinct), len(langs))
                 bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
                 found, sure = [], []
                 codes = coded.indices.to_numpy(zero_copy_only=False)
