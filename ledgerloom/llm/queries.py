@@ -20,6 +20,7 @@ from ledgerloom.llm import (
     topk,
 )
 from ledgerloom.llm.common import all_finite, fold, table
+from ledgerloom.llm.oracles import ORACLES as ORACLES  # the entry point takes both from here
 from ledgerloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,5 +111,3 @@ def op10_token_files(spark, folder):
     read = token_files.read_token_files(spark, data_set)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
-
-ORACLES: dict[str, str] = {}
