@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,24 +36,28 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Where it is unset, a folder below the session's warehouse, which a cluster shares as well.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(folder)
-        return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
-    return context.getCheckpointDir()
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table below the shared folder."""
-    return f"{shared_folder(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
+    """A fresh path for an intermediate table, below the shared folder and this application's name."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/ledgerloom/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application; results that still read them end here."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
