@@ -1,43 +1,50 @@
-"""Model quality from score histograms: bounded work after one aggregation, whatever the number of rows."""
+"""Model quality from counts by score: whatever the number of rows, no step gathers them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import materialise
+
 
 def classification_metrics(
-    scored: DataFrame, label: str = "churn_next_60d", probability: str = "churn_probability", digits: int = 4
+    scored: DataFrame, label: str = "churn_next_60d", probability: str = "churn_probability"
 ) -> DataFrame:
-    """One row: ROC-AUC, PR-AUC (trapezoid) and Brier score.
+    """One row: ROC-AUC, PR-AUC (trapezoid) and Brier score, on the scores as they are.
 
-    Scores are compared at ``digits`` decimals (the serving precision), so the curve has at most
-    ``10 ** digits + 1`` points and the running sums over it stay small.
+    Rows are folded to one point a score. The points are cut into ranges of scores and written; a range's running sums start
+    from the totals of the ranges above it, of which there is one row each.
     """
     y, p = F.col(label), F.col(probability)
-    points = scored.groupBy(F.round(p, digits).alias("score")).agg(
+    points = scored.groupBy(p.alias("score")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(y).alias("positives"),
         F.sum((p - y) * (p - y)).alias("squares"),
     )
-    down = Window.orderBy(F.desc("score"))
-    running = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    curve = points.select(
+    ranges = points.repartitionByRange(F.desc("score")).withColumn("range", F.spark_partition_id())
+    ranges = materialise(ranges, "score-ranges")
+    totals = ranges.groupBy("range").agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"))
+    above = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums_above = totals.select(
+        "range",
+        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
+        F.coalesce(F.sum("positives").over(above), F.lit(0)).alias("positives_above"),
+    )
+    down = Window.partitionBy("range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    curve = ranges.join(sums_above, "range").select(
         "n",
         "positives",
         "squares",
-        F.sum("positives").over(running).alias("tp"),
-        F.sum("n").over(running).alias("predicted"),
-        F.sum("positives").over(whole).alias("all_positives"),
-        F.row_number().over(down).alias("at"),
-    ).withColumn("precision", F.col("tp") / F.col("predicted"))
-    first = F.col("at") == 1
-    previous_precision = F.when(first, F.lit(1.0)).otherwise(F.lag("precision").over(Window.orderBy("at")))
-    curve = curve.withColumn("previous_precision", previous_precision)
+        (F.col("positives_above") + F.sum("positives").over(down)).alias("tp"),
+        (F.col("n_above") + F.sum("n").over(down)).alias("predicted"),
+    )
+    before = F.col("predicted") - F.col("n")
+    precision = F.col("tp") / F.col("predicted")
+    previous_precision = F.when(before > 0, (F.col("tp") - F.col("positives")) / before).otherwise(1.0)
     # Twice the area under ROC in units of one positive-negative pair: whole numbers, so exact.
     twice_pairs = (F.col("n") - F.col("positives")).cast("decimal(19,0)") * (2 * F.col("tp") - F.col("positives"))
-    step = F.col("positives") * (F.col("precision") + F.col("previous_precision")) / 2
+    step = F.col("positives") * (precision + previous_precision) / 2
     positives, negatives = F.sum("positives"), F.sum(F.col("n") - F.col("positives"))
     both = (positives > 0) & (negatives > 0)
     pairs = positives.cast("double") * negatives

@@ -100,3 +100,23 @@ def test_value_label(spark):
         F.lit(0.0).alias("tx_volume_90d"), F.lit(0.01).alias("take_rate_pct"), F.lit(1.0).alias("tx_volume_velocity_ratio"))
     stats = with_twelve_month_value(big, noise_seed=5).agg(F.avg("value_12m").alias("m"), F.stddev("value_12m").alias("s")).first()
     assert stats.m / 12000 == pytest.approx(1.0, abs=0.01) and stats.s / 12000 == pytest.approx(0.08, abs=0.006)
+
+
+def test_classification_metrics_of_scores_that_differ_late(spark):
+    """Scores that four decimals would tie, cut into several ranges."""
+    import random
+
+    rng = random.Random(4)
+    rows = [(0.5 + rng.randrange(4000) / 1e8, int(rng.random() < 0.3)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "p double, y int").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = metrics.classification_metrics(df, "y", "p").first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    positives = sorted(p for p, y in rows if y)
+    negatives = sorted(p for p, y in rows if not y)
+    from bisect import bisect_left, bisect_right
+
+    wins = sum(bisect_left(negatives, p) + (bisect_right(negatives, p) - bisect_left(negatives, p)) / 2 for p in positives)
+    assert found.roc_auc == round(wins / (len(positives) * len(negatives)), 6)
