@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.models import FEATURES
+from ledgerloom.operators.models import FEATURES, feature_names
 from ledgerloom.session import scratch_path
 
 
@@ -54,7 +54,7 @@ class Leaf:
 def read_leaves(spark: SparkSession, model: PipelineModel) -> list[Leaf]:
     """Leaves with their path conditions, from the saved form of the classifier (the pipeline's last stage).
 
-    The result is bounded by rounds x 2^depth and is what the tasks receive.
+    The result is bounded by rounds x 2^depth and is what the tasks receive. Read it once for each model.
     """
     path = scratch_path(spark, "trees")
     model.stages[-1].write().save(path)
@@ -103,40 +103,17 @@ def base_margin(leaves: Sequence[Leaf]) -> float:
     return sum(leaf.value * math.prod(c.share for c in leaf.conditions) for leaf in leaves)
 
 
-def pattern_table(leaf: Leaf) -> np.ndarray:
-    """The leaf's contributions for every pattern of met conditions: 2^d rows, one column per condition.
-
-    Bit j of the row number tells whether condition j is met.
-    """
-    d = len(leaf.conditions)
-    patterns = np.arange(2**d)
-    passes = [((patterns >> j) & 1).astype(float) for j in range(d)]
-    orders = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)]
-    table = np.empty((2**d, d))
-    for i, own in enumerate(leaf.conditions):
-        # coefficients[k]: sum over coalitions of k other features.
-        coefficients = [np.ones(2**d)]
-        for j, other in enumerate(leaf.conditions):
-            if j != i:
-                stay = [c * other.share for c in coefficients] + [0.0]
-                join = [0.0] + [c * passes[j] for c in coefficients]
-                coefficients = [a + b for a, b in zip(stay, join)]
-        weighted = sum(w * c for w, c in zip(orders, coefficients))
-        table[:, i] = leaf.value * (passes[i] - own.share) * weighted
-    return table
-
-
 def _plain_form(leaves: Sequence[Leaf]) -> list[tuple]:
-    """Leaves as numbers and arrays only: ([(feature, low, high, categories)], pattern table).
+    """Leaves as numbers and lists only: ([(feature, share, low, high, categories)], value).
 
-    Tasks get this form, at most rounds x 2^depth entries, so that executors need numpy and pandas but not
-    this package.
+    Tasks get this form, rounds x 2^depth leaves of at most ``depth`` conditions, so that executors need numpy and pandas
+    but not this package.
     """
     return [
         (
-            [(c.feature, c.low, c.high, None if c.categories is None else sorted(c.categories))
+            [(c.feature, c.share, c.low, c.high, None if c.categories is None else sorted(c.categories))
              for c in leaf.conditions],
-            pattern_table(leaf),
+            leaf.value,
         )
         for leaf in leaves
     ]
@@ -145,16 +122,36 @@ def _plain_form(leaves: Sequence[Leaf]) -> list[tuple]:
 def _block_function():
     """The function that explains a block of rows; made inside a function, so it travels by value."""
 
+    def pattern_values(passes, shares):
+        """For patterns of met conditions (one row each) what every condition contributes to a leaf of value 1."""
+        d = len(shares)
+        orders = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)]
+        values = np.empty_like(passes)
+        for i in range(d):
+            # coefficients[k]: sum over coalitions of k other features.
+            coefficients = [np.ones(len(passes))]
+            for j in range(d):
+                if j != i:
+                    stay = [c * shares[j] for c in coefficients] + [0.0]
+                    join = [0.0] + [c * passes[:, j] for c in coefficients]
+                    coefficients = [a + b for a, b in zip(stay, join)]
+            values[:, i] = (passes[:, i] - shares[i]) * sum(w * c for w, c in zip(orders, coefficients))
+        return values
+
     def block_values(x, plain):
         result = np.zeros_like(x, dtype=float)
-        for conditions, table in plain:
+        for conditions, value in plain:
             pattern = np.zeros(len(x), dtype=np.int64)
-            for j, (feature, low, high, categories) in enumerate(conditions):
+            for j, (feature, _, low, high, categories) in enumerate(conditions):
                 values = x[:, feature]
                 met = (values > low) & (values <= high) if categories is None else np.isin(values, categories)
                 pattern |= met.astype(np.int64) << j
+            # Only the patterns that occur in the block are worked out, so memory follows the block.
+            kinds, place = np.unique(pattern, return_inverse=True)
+            passes = ((kinds[:, None] >> np.arange(len(conditions))) & 1).astype(float)
+            table = value * pattern_values(passes, [share for _, share, *_ in conditions])
             for (feature, *_), shares in zip(conditions, table.T):
-                result[:, feature] += shares[pattern]
+                result[:, feature] += shares[place]
         return result
 
     return block_values
@@ -193,6 +190,13 @@ def with_contributions(
     return prepared.mapInPandas(explain, prepared.schema)
 
 
+def long_form(assembled: DataFrame, vector: str = FEATURES) -> DataFrame:
+    """The assembled vector by slot name: (account_id, slot, value)."""
+    labels = F.array(*map(F.lit, feature_names(assembled, vector)))
+    slots = assembled.select("account_id", F.posexplode(_array(vector)).alias("at", "value"))
+    return slots.select("account_id", F.element_at(labels, F.col("at") + 1).alias("slot"), "value")
+
+
 def local_attribution(contributed: DataFrame, names: Sequence[str]) -> DataFrame:
     """Long form: (account_id, feature, contribution)."""
     labels = F.array(*map(F.lit, names))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,26 +18,31 @@ from ledgerloom.operators.splits import BUCKETS, hash_bucket, positive_weight
 from ledgerloom.operators.threshold import threshold_value_added
 from ledgerloom.operators.value import PREDICTION_FLOOR
 from ledgerloom.schemas import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
-from ledgerloom.session import shared_folder
+from ledgerloom.session import materialise, shared_folder
 from ledgerloom.sources.sinks import write_json
 
 FEATURES = "features"
 VALUE_FEATURES = "value_features"
-VALIDATION_SHARE = 0.15
 VALIDATION_SEED = 43
 
 
 @dataclass(frozen=True)
 class ChurnSettings:
-    """Boosting parameters; the share of features applies to every split."""
+    """Boosting parameters; the share of features applies to every split.
 
-    rounds: int = 100
+    ``rounds`` is an upper limit: boosting ends at the first round that lowers the loss on the validation share by less
+    than ``tolerance``. ``validation_share`` of the training accounts, chosen by hash, only decides that and is not fitted.
+    """
+
+    rounds: int = 500
     depth: int = 6
     learning_rate: float = 0.05
     min_leaf: int = 20
-    row_share: float = 0.8
+    max_bins: int = 32
+    row_share: float = 1.0
     feature_share: float = 0.8
-    patience: int = 30
+    validation_share: float = 0.15
+    tolerance: float = 0.0
     seed: int = 42
 
 
@@ -86,60 +90,55 @@ def positive_probability(probability: str = "probability") -> Column:
     return vector_to_array(F.col(probability))[1]
 
 
-def _classifier(settings: ChurnSettings, rounds: int) -> GBTClassifier:
-    return GBTClassifier(
+def fit_churn_model(train: DataFrame, settings: ChurnSettings = ChurnSettings(), unseen: str = "error") -> PipelineModel:
+    """Fit encoder and classifier, once. Positives are weighted up to balance the classes."""
+    counts = train.agg(F.sum(LABEL).alias("p"), F.count(F.lit(1)).alias("n"))
+    weight = counts.select(positive_weight(F.col("p"), F.col("n"))).first()[0]  # one number
+    ready = train.withColumns({
+        "label": F.col(LABEL).cast("double"),
+        "weight": F.when(F.col(LABEL) == 1, float(weight)).otherwise(1.0),
+    })
+    held_back = hash_bucket(F.col("account_id"), VALIDATION_SEED) < int(settings.validation_share * BUCKETS)
+    encoder = Pipeline(stages=feature_stages(unseen)).fit(ready)
+    assembled = encoder.transform(ready).select(FEATURES, "label", "weight", held_back.alias("held_back"))
+    shared_folder(train.sparkSession)  # boosting cuts its lineage there every few rounds
+    classifier = GBTClassifier(
         featuresCol=FEATURES,
         labelCol="label",
         weightCol="weight",
-        maxIter=rounds,
+        validationIndicatorCol="held_back",
+        validationTol=settings.tolerance,
+        maxIter=settings.rounds,
         maxDepth=settings.depth,
+        maxBins=settings.max_bins,
         stepSize=settings.learning_rate,
         minInstancesPerNode=settings.min_leaf,
         subsamplingRate=settings.row_share,
         featureSubsetStrategy=str(settings.feature_share),
         seed=settings.seed,
         checkpointInterval=10,
-    )
-
-
-def best_round(losses: Sequence[float], patience: int) -> int:
-    """The round (from 1) with the lowest loss before ``patience`` rounds brought nothing better."""
-    best = 0
-    for at, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = at
-        elif at - best >= patience:
-            break
-    return best + 1
+    ).fit(assembled)
+    return PipelineModel(stages=[*encoder.stages, classifier])
 
 
-def fit_churn_model(train: DataFrame, settings: ChurnSettings = ChurnSettings(), unseen: str = "error") -> PipelineModel:
-    """Fit encoder and classifier. Positives are weighted up to balance the classes.
+def transformed(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """Run a fitted pipeline; a category it was not fitted on counts as the base level, which has no dummy.
 
-    A validation share of the training accounts, chosen by hash, is left out of the fit and decides how many
-    rounds are kept. Boosting is a function of data and seed, so the shorter fit repeats the first rounds.
+    ``unseen_levels`` lists such categories. The category columns themselves stay as they are.
     """
-    counts = train.agg(F.sum(LABEL).alias("p"), F.count(F.lit(1)).alias("n"))
-    weight = counts.select(positive_weight(F.col("p"), F.col("n"))).first()[0]  # one number
-    ready = train.withColumns({
-        "label": F.col(LABEL).cast("double"),
-        "weight": F.when(F.col(LABEL) == 1, float(weight)).otherwise(1.0),
-    })
-    held_back = hash_bucket(F.col("account_id"), VALIDATION_SEED) < int(VALIDATION_SHARE * BUCKETS)
-    encoder = Pipeline(stages=feature_stages(unseen)).fit(ready)
-    assembled = encoder.transform(ready).select(FEATURES, "label", "weight", held_back.alias("held_back"))
-    fitting, validation = assembled.where(~F.col("held_back")), assembled.where("held_back")
-    shared_folder(train.sparkSession)  # boosting cuts its lineage there every few rounds
-    classifier = _classifier(settings, settings.rounds).fit(fitting)
-    kept = best_round(classifier.evaluateEachIteration(validation), settings.patience)
-    if kept < settings.rounds:
-        classifier = _classifier(settings, kept).fit(fitting)
-    return PipelineModel(stages=[*encoder.stages, classifier])
+    indexer = model.stages[0]
+    known = {
+        c: F.when(F.col(c).isin(*labels), F.col(c)).otherwise(labels[-1])
+        for c, labels in zip(indexer.getInputCols(), indexer.labelsArray)
+    }
+    own = {f"_own_{c}": F.col(c) for c in known}
+    result = model.transform(features.withColumns(own).withColumns(known))
+    return result.withColumns({c: F.col(f"_own_{c}") for c in known}).drop(*own)
 
 
 def churn_predictions(model: PipelineModel, features: DataFrame) -> DataFrame:
     """The features with the assembled vector and ``churn_probability``."""
-    return model.transform(features).withColumn("churn_probability", positive_probability())
+    return transformed(model, features).withColumn("churn_probability", positive_probability())
 
 
 def log_scaled(features: DataFrame) -> DataFrame:
@@ -164,13 +163,14 @@ def fit_value_model(train: DataFrame, target: str = "value_12m", unseen: str = "
 
 def value_predictions(model: PipelineModel, features: DataFrame) -> DataFrame:
     """The rows with ``predicted_value``: the regressor's forecast, at least the floor."""
-    forecast = model.transform(log_scaled(features))
+    forecast = transformed(model, log_scaled(features))
     scratch = [c for c in forecast.columns if c not in features.columns]
     return forecast.withColumn(
         "predicted_value", F.greatest(F.col("value_forecast"), F.lit(PREDICTION_FLOOR))
     ).drop(*scratch)
 
 
+# The fields of a model's notes.
 METADATA_SCHEMA = T.StructType([
     T.StructField("model_type", T.StringType()),
     T.StructField("best_iteration", T.IntegerType()),
@@ -190,8 +190,9 @@ METADATA_SCHEMA = T.StructType([
 
 def churn_metadata(model: PipelineModel, tested: DataFrame) -> DataFrame:
     """One row on a fitted classifier: rounds, hold-out metrics, the best threshold and its worth, slot names."""
-    quality = classification_metrics(tested, LABEL, "churn_probability").first()
-    money = threshold_value_added(tested, "churn_probability", LABEL, "current_mrr").first()
+    read = materialise(tested.select(LABEL, "churn_probability", "current_mrr"), "tested")
+    quality = classification_metrics(read, LABEL, "churn_probability").first()
+    money = threshold_value_added(read, "churn_probability", LABEL, "current_mrr").first()
     row = (
         "Gradient-boosted tree classifier",
         model.stages[-1].getNumTrees,

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ledgerloom.schemas import TABLES, Table
 
 COLUMN_CHECKS = ("not_null", "domain", "non_negative", "text_length", "decimal_range")
+# Digits after the point; only columns that are no decimals can break it.
+SCALE_CHECK = "decimal_scale"
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -29,6 +31,7 @@ def _conditions(table: Table, present: set[str], kinds: Sequence[str]) -> list[t
         ("decimal_range", c, f"abs({c}) >= {10 ** (precision - scale)}")
         for c, (precision, scale) in table.decimal_limits.items()
     ]
+    found += [("decimal_scale", c, f"{c} <> round({c}, {scale})") for c, (_, scale) in table.decimal_limits.items()]
     return [entry for entry in found if entry[0] in kinds and entry[1] in present]
 
 
@@ -87,21 +90,33 @@ def foreign_keys(tables: dict[str, DataFrame], parents: dict[str, DataFrame] | N
     """Values without a parent, and the rows that hold them; parents are looked up among the tables themselves
     unless given.
 
-    Child rows are counted per value before the join, so a parent with very many rows costs one row in it.
+    Child rows are counted per value before the join, so a parent with very many rows costs one row in it. The values of
+    all children of one parent go through one join.
     """
-    parts = []
     known = tables if parents is None else parents
-    for name, df in tables.items():
+    relations: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for name in tables:
         for column, parent, parent_column in TABLES[name].references:
-            children = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v"))
-            orphans = children.agg(F.count(F.lit(1)).alias("n")).join(
-                known[parent].select(F.col(parent_column).alias("v")), "v", "left_anti"
-            )
-            parts.append(
-                orphans.agg(F.count(F.lit(1)).alias("violations"), F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"))
-                .select(F.lit(name).alias("table_name"), F.lit(column).alias("column_name"),
-                        F.lit(parent).alias("parent_table"), "violations", "row_count")
-            )
+            relations.setdefault((parent, parent_column), []).append((name, column))
+    parts = []
+    for (parent, parent_column), children in relations.items():
+        values = _union([
+            tables[name].where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v"))
+            .agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("child"), "v", "n")
+            for k, (name, column) in enumerate(children)
+        ])
+        orphans = values.join(known[parent].select(F.col(parent_column).alias("v")), "v", "left_anti")
+        counts = orphans.agg(*(
+            F.expr(f"{f} AS {kind}{k}")
+            for k in range(len(children))
+            for kind, f in (("v", f"count_if(child = {k})"), ("n", f"coalesce(sum(if(child = {k}, n, 0)), 0L)"))
+        ))
+        rows = ", ".join(
+            f"named_struct('table_name', '{name}', 'column_name', '{column}', 'parent_table', '{parent}', "
+            f"'violations', v{k}, 'row_count', n{k})"
+            for k, (name, column) in enumerate(children)
+        )
+        parts.append(counts.selectExpr(f"inline(array({rows}))"))
     return _union(parts)
 
 

@@ -24,6 +24,7 @@ class ChurnTraining:
     model: PipelineModel
     metadata: DataFrame
     tested: DataFrame
+    leaves: Sequence[attribution.Leaf]
 
 
 def train_churn(features: DataFrame, settings: models.ChurnSettings = models.ChurnSettings()) -> ChurnTraining:
@@ -34,7 +35,8 @@ def train_churn(features: DataFrame, settings: models.ChurnSettings = models.Chu
     split = materialise(stratified_split(features, LABEL), "split")
     model = models.fit_churn_model(split.where(~F.col("is_test")), settings)
     tested = models.churn_predictions(model, split.where("is_test"))
-    return ChurnTraining(model, models.churn_metadata(model, tested), tested)
+    leaves = attribution.read_leaves(features.sparkSession, model)
+    return ChurnTraining(model, models.churn_metadata(model, tested), tested, leaves)
 
 
 @dataclass(frozen=True)
@@ -80,8 +82,10 @@ def batch_scores(
     )
 
 
-def feature_ranking(features: DataFrame, churn_model: PipelineModel) -> DataFrame:
+def feature_ranking(
+    features: DataFrame, churn_model: PipelineModel, leaves: Sequence[attribution.Leaf] | None = None
+) -> DataFrame:
     """Mean absolute attribution per feature over a snapshot."""
     assembled = models.churn_predictions(churn_model, features)
-    leaves = attribution.read_leaves(features.sparkSession, churn_model)
+    leaves = leaves if leaves is not None else attribution.read_leaves(features.sparkSession, churn_model)
     return attribution.global_attribution(assembled, leaves, models.feature_names(assembled))

@@ -53,6 +53,19 @@ def test_closed_form_equals_the_definition():
             _expectation(leaves, row, {0, 1, 2}), abs=1e-12)
 
 
+def test_deep_paths_need_no_pattern_table():
+    rng = np.random.default_rng(0)
+    leaves = [
+        Leaf(float(rng.normal()), tuple(Condition(j, float(rng.uniform(0.1, 0.9)), high=float(rng.uniform(-1, 1))) for j in range(10)))
+        for _ in range(3)
+    ]
+    rows = rng.uniform(-1, 1, (4, 10))
+    for row, values in zip(rows, attribution.shapley_values(rows, leaves)):
+        assert values == pytest.approx(_shapley(leaves, row), abs=1e-12)
+    sent = attribution._plain_form(leaves)
+    assert sum(len(conditions) + 1 for conditions, _ in sent) == 3 * 11
+
+
 @pytest.fixture(scope="module")
 def fitted(spark):
     df = spark.range(500).select(

@@ -9,7 +9,7 @@ from ledgerloom.schemas import NUMERIC_FEATURES, RISK_SCORES
 from ledgerloom.session import materialise, scratch_path
 from pyspark.sql import functions as F
 
-SETTINGS = models.ChurnSettings(rounds=6, depth=3, patience=3, learning_rate=0.3, min_leaf=5)
+SETTINGS = models.ChurnSettings(rounds=6, depth=3, learning_rate=0.3, min_leaf=5)
 
 
 @pytest.fixture(scope="module")
@@ -30,10 +30,16 @@ def value(snapshot):
     return jobs.train_value(snapshot)
 
 
-def test_best_round_waits_for_its_patience():
-    assert models.best_round([3.0, 2.0, 2.5, 2.4, 1.0], patience=3) == 5
-    assert models.best_round([3.0, 2.0, 2.5, 2.4, 1.0], patience=2) == 2
-    assert models.best_round([1.0, 2.0], patience=30) == 1
+def test_boosting_stops_and_keeps_the_first_rounds(snapshot):
+    """A label without a signal ends the boosting early; what is kept equals a fit of that many rounds."""
+    noise = snapshot.withColumn("churn_next_60d", (F.crc32(F.col("account_id")) % 3 == 0).cast("int"))
+    settings = models.ChurnSettings(rounds=40, depth=3, learning_rate=0.5, min_leaf=5)
+    stopped = models.fit_churn_model(noise, settings)
+    kept = stopped.stages[-1].getNumTrees
+    assert kept < 40
+    shorter = models.fit_churn_model(noise, models.ChurnSettings(rounds=kept, depth=3, learning_rate=0.5, min_leaf=5))
+    pick = lambda m: {r.account_id: r.churn_probability for r in models.churn_predictions(m, snapshot).select("account_id", "churn_probability").collect()}
+    assert pick(shorter) == pytest.approx(pick(stopped))
 
 
 def test_classifier_finds_the_planted_signal(churn):
