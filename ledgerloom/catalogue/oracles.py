@@ -6,7 +6,7 @@ sums) and shares no code with the Spark side.
 
 from __future__ import annotations
 
-# The star schema over the sample tables.
+# The star schema over the sample tables; the three plans are fixed values.
 VIEWS = {
     "dim_plans": """
         SELECT * FROM (VALUES
@@ -435,23 +435,66 @@ QUERIES = {
     "feature_store_panel": _store("account_id, cutoff_date", "active_p", "tx_p", "bal_p", "tel_p"),
 }
 
-# The table contracts again, for the integrity checks: column -> (limit or None, may be NULL).
+# The table contracts again, for the integrity checks. For each table its source and key, and for each column
+# the longest text, or the (precision, scale) of a decimal, or None; then whether it may be NULL.
 _CONTRACT = {
-    "dim_plans": ("dim_plans", "plan_id", "plan_id:i plan_name:50 monthly_fee:8d take_rate_pct:2d included_seats:i "
-                  "api_rate_limit_per_min:i"),
-    "dim_accounts": ("c_accounts", "account_id", "account_id:20 company_name:100 industry:50 company_size:50 "
-                     "country:50 initial_plan_id:i current_plan_id:i signup_date:i initial_deposit_usd:16d "
-                     "churn_date:n is_churned:i latent_archetype:n"),
-    "fact_subscriptions": ("c_subscriptions", "subscription_id", "subscription_id:50 account_id:20 billing_month:i "
-                           "plan_id:i mrr_amount:8d billing_status:20 mrr_change_type:20 mrr_change_amount:8d"),
-    "fact_transactions": ("c_transactions", "transaction_batch_id", "transaction_batch_id:i account_id:20 "
-                          "transaction_date:i payment_method:30 total_tx_count:i successful_tx_count:i "
-                          "failed_tx_count:i primary_failure_reason:50 gross_payment_volume_usd:16d "
-                          "fees_collected_usd:16d"),
-    "fact_daily_balances": ("fact_daily_balances", "account_id,balance_date", "account_id:20 balance_date:i "
-                            "closing_balance_usd:16d"),
-    "fact_telemetry": ("c_telemetry", "telemetry_id", "telemetry_id:i account_id:20 log_date:i api_call_count:i "
-                       "dashboard_logins:i exports_count:i"),
+    "dim_plans": ("dim_plans", "plan_id", (
+        ("plan_id", None, False),
+        ("plan_name", 50, False),
+        ("monthly_fee", (10, 2), False),
+        ("take_rate_pct", (6, 4), False),
+        ("included_seats", None, False),
+        ("api_rate_limit_per_min", None, False),
+    )),
+    "dim_accounts": ("c_accounts", "account_id", (
+        ("account_id", 20, False),
+        ("company_name", 100, False),
+        ("industry", 50, False),
+        ("company_size", 50, False),
+        ("country", 50, False),
+        ("initial_plan_id", None, False),
+        ("current_plan_id", None, False),
+        ("signup_date", None, False),
+        ("initial_deposit_usd", (18, 2), False),
+        ("churn_date", None, True),
+        ("is_churned", None, False),
+        ("latent_archetype", None, True),
+    )),
+    "fact_subscriptions": ("c_subscriptions", "subscription_id", (
+        ("subscription_id", 50, False),
+        ("account_id", 20, False),
+        ("billing_month", None, False),
+        ("plan_id", None, False),
+        ("mrr_amount", (10, 2), False),
+        ("billing_status", 20, False),
+        ("mrr_change_type", 20, False),
+        ("mrr_change_amount", (10, 2), False),
+    )),
+    "fact_transactions": ("c_transactions", "transaction_batch_id", (
+        ("transaction_batch_id", None, False),
+        ("account_id", 20, False),
+        ("transaction_date", None, False),
+        ("payment_method", 30, False),
+        ("total_tx_count", None, False),
+        ("successful_tx_count", None, False),
+        ("failed_tx_count", None, False),
+        ("primary_failure_reason", 50, False),
+        ("gross_payment_volume_usd", (18, 2), False),
+        ("fees_collected_usd", (18, 2), False),
+    )),
+    "fact_daily_balances": ("fact_daily_balances", "account_id,balance_date", (
+        ("account_id", 20, False),
+        ("balance_date", None, False),
+        ("closing_balance_usd", (18, 2), False),
+    )),
+    "fact_telemetry": ("c_telemetry", "telemetry_id", (
+        ("telemetry_id", None, False),
+        ("account_id", 20, False),
+        ("log_date", None, False),
+        ("api_call_count", None, False),
+        ("dashboard_logins", None, False),
+        ("exports_count", None, False),
+    )),
 }
 _DOMAINS = (
     ("fact_subscriptions", "billing_status", "'Paid', 'Failed', 'Churned'"),
@@ -478,21 +521,30 @@ def _check(kind: str, table: str, column: str, condition: str) -> str:
 
 
 def _columns():
-    for table, (_, _, spec) in _CONTRACT.items():
-        for entry in spec.split():
-            column, limit = entry.split(":")
-            yield table, column, limit
+    for table, (_, _, columns) in _CONTRACT.items():
+        for column, limit, may_be_null in columns:
+            yield table, column, limit, may_be_null
 
 
 def _not_null() -> list[str]:
-    return [_check("not_null", t, c, f"{c} IS NULL") for t, c, limit in _columns() if limit != "n"]
+    return [_check("not_null", t, c, f"{c} IS NULL") for t, c, _, may_be_null in _columns() if not may_be_null]
 
 
 def _lengths() -> list[str]:
-    texts = [_check("text_length", t, c, f"length({c}) > {n}") for t, c, n in _columns() if n.isdigit()]
+    texts = [_check("text_length", t, c, f"length({c}) > {n}") for t, c, n, _ in _columns() if isinstance(n, int)]
     return texts + [
-        _check("decimal_range", t, c, f"abs({c}) >= 1{'0' * int(n[:-1])}::HUGEINT")
-        for t, c, n in _columns() if n.endswith("d")
+        _check("decimal_range", t, c, f"abs({c}) >= 1{'0' * (n[0] - n[1])}::HUGEINT")
+        for t, c, n, _ in _columns() if isinstance(n, tuple)
+    ]
+
+
+def _scales() -> list[str]:
+    return [
+        _check("decimal_scale", t, c, f"{c} <> round({c}, {n[1]})") for t, c, n, _ in _columns() if isinstance(n, tuple)
+    ] + [
+        f"""SELECT 'decimal_scale' AS "check", 'analytics_account_risk_scores' AS table_name, '{c}' AS column_name,
+            count(*) FILTER ({c} <> round({c}, {scale})) AS violations FROM served"""
+        for c, scale in (("churn_probability", 4), ("predicted_12m_clv_usd", 2))
     ]
 
 
@@ -508,19 +560,48 @@ def _all(parts: list[str]) -> str:
     return " UNION ALL ".join(f"({part})" for part in parts)
 
 
+# The numeric features.
+_NUMERIC = (
+    "tenure_days",
+    "current_plan_id",
+    "current_mrr",
+    "take_rate_pct",
+    "initial_deposit_usd",
+    "tx_volume_30d",
+    "tx_volume_90d",
+    "tx_count_30d",
+    "tx_count_90d",
+    "fees_collected_30d",
+    "fees_collected_90d",
+    "tx_volume_velocity_ratio",
+    "failed_tx_rate_30d",
+    "card_vol_share_30d",
+    "ach_vol_share_30d",
+    "wire_vol_share_30d",
+    "card_failure_rate_30d",
+    "ach_failure_rate_30d",
+    "wire_failure_rate_30d",
+    "current_balance_usd",
+    "avg_balance_30d",
+    "avg_balance_90d",
+    "balance_volatility_30d",
+    "balance_decay_pct",
+    "api_calls_30d",
+    "api_calls_90d",
+    "logins_30d",
+    "logins_90d",
+    "exports_30d",
+    "days_since_last_api_call",
+    "days_since_last_login",
+    "telemetry_velocity_ratio",
+)
+
+
 def _numeric_correlations() -> str:
-    names = (
-        "tenure_days current_plan_id current_mrr take_rate_pct initial_deposit_usd tx_volume_30d tx_volume_90d "
-        "tx_count_30d tx_count_90d fees_collected_30d fees_collected_90d tx_volume_velocity_ratio "
-        "failed_tx_rate_30d card_vol_share_30d ach_vol_share_30d wire_vol_share_30d card_failure_rate_30d "
-        "ach_failure_rate_30d wire_failure_rate_30d current_balance_usd avg_balance_30d avg_balance_90d "
-        "balance_volatility_30d balance_decay_pct api_calls_30d api_calls_90d logins_30d logins_90d exports_30d "
-        "days_since_last_api_call days_since_last_login telemetry_velocity_ratio"
-    ).split()
     return _all([
         f"""SELECT '{n}' AS feature, CASE WHEN stddev_pop({n}) > 0 AND stddev_pop(churn_next_60d) > 0
             THEN corr({n}, churn_next_60d) END AS c FROM store"""
-        for n in names
+        for n in _NUMERIC
     ])
 
 
@@ -564,6 +645,13 @@ QUERIES |= {
     "account_history": """
         SELECT balance_date, CAST(closing_balance_usd AS DOUBLE) AS closing_balance_usd
         FROM fact_daily_balances WHERE account_id = 'ACC-000000007' ORDER BY balance_date""",
+    "account_balance_history": """
+        SELECT balance_date, CAST(closing_balance_usd AS DOUBLE) AS closing_balance_usd
+        FROM fact_daily_balances WHERE account_id = 'ACC-000000007' ORDER BY balance_date""",
+    "account_transaction_history": """
+        SELECT transaction_date, CAST(gross_payment_volume_usd AS DOUBLE) AS gross_payment_volume_usd,
+               failed_tx_count, total_tx_count
+        FROM fact_transactions WHERE account_id = 'ACC-000000007' ORDER BY transaction_date""",
     "account_demographics": """
         SELECT account_id, industry, company_size, country, plan_name, CAST(monthly_fee AS DOUBLE) AS mrr,
                is_churned, CAST(initial_deposit_usd AS DOUBLE) AS initial_deposit_usd
@@ -679,6 +767,7 @@ QUERIES |= {
     "dq_not_null": _all(_not_null()),
     "dq_domains": _all(_domains()),
     "dq_lengths": _all(_lengths()),
+    "dq_decimal_scale": _all(_scales()),
     "dq_columns_one_scan": _all(_not_null() + _domains() + _ranges() + _lengths()),
     "dq_ranges": _all([
         f"""SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS minimum,
@@ -690,10 +779,12 @@ QUERIES |= {
             FROM {source}"""
         for t, (source, _, _) in _CONTRACT.items()
     ]),
-    "dq_feature_matrix": """
+    "dq_feature_matrix": f"""
         SELECT count(s.account_id) AS row_count, count(DISTINCT s.account_id) AS accounts,
-               count(*) FILTER (s.account_id IS NULL) AS missing_accounts, CAST(0 AS BIGINT) AS null_values
-        FROM active a LEFT JOIN (SELECT * FROM store WHERE COLUMNS(*) IS NOT NULL) s USING (account_id)""",
+               count(*) FILTER (s.account_id IS NULL) AS missing_accounts,
+               CAST(coalesce(sum({' + '.join(f'(CASE WHEN s.account_id IS NOT NULL AND s.{n} IS NULL THEN 1 ELSE 0 END)' for n in _NUMERIC)}), 0)
+                    AS BIGINT) AS null_values
+        FROM active a LEFT JOIN store s USING (account_id)""",
     "dq_serving_columns": _all(
         [
             f"""SELECT 'not_null' AS "check", 'analytics_account_risk_scores' AS table_name, '{c}' AS column_name,
@@ -735,6 +826,32 @@ QUERIES |= {
         FROM served""",
 }
 
+_FINE = """(SELECT * REPLACE (churn_probability / 3 + (CAST(substr(account_id, 5, 9) AS BIGINT) % 9973) / 1e9
+            AS churn_probability) FROM scored)"""
+
+# Queries on the models' results: what must hold of every account, from the accounts and features as they are.
+QUERIES |= {
+    "classification_metrics_exact": QUERIES["classification_metrics"].replace("FROM scored", f"FROM {_FINE} f"),
+    "feature_matrix": _all(
+        [f"SELECT account_id, '{n}' AS slot, CAST({n} AS DOUBLE) AS value FROM store" for n in _NUMERIC]
+        + [
+            f"""SELECT account_id, '{c}_' || level AS slot, CASE WHEN {c} = level THEN 1::DOUBLE ELSE 0::DOUBLE END AS value
+                FROM store CROSS JOIN (SELECT DISTINCT {c} AS level FROM store
+                                       WHERE {c} <> (SELECT min({c}) FROM store)) d"""
+            for c in ("industry", "company_size", "country")
+        ]
+    ),
+    "model_score_checks": """
+        SELECT account_id, current_plan_id, true AS in_range, true AS served_as_predicted, true AS contributions_add_up,
+               true AS margin_gives_probability, true AS tier_follows, true AS reason_follows,
+               true AS value_at_least_floor
+        FROM store""",
+    "model_serving_kpis": """
+        SELECT CAST(sum(CAST(current_mrr AS DECIMAL(18,2))) AS DOUBLE) AS total_mrr, count(*) AS total_accounts,
+               count(*) AS in_tiers, CAST(0 AS BIGINT) AS violations, true AS critical_are_at_risk
+        FROM store""",
+}
+
 # What is written must be read back.
 QUERIES |= {
     "mrr_waterfall_head": QUERIES["mrr_waterfall"] + " LIMIT 10",

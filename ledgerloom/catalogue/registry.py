@@ -6,6 +6,8 @@ from collections.abc import Callable
 from datetime import date, timedelta
 from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,11 +56,16 @@ def rounded(df: DataFrame, *names: str, digits: int = 4) -> DataFrame:
 
 
 def store(w: SampleWarehouse, cutoffs=CUTOFF) -> DataFrame:
-    """The feature store; the look-back span also bounds the scan below the transaction view."""
+    """The feature store; the look-back span also bounds the scans below the views of the facts."""
     days = snapshots.cutoff_days(cutoffs)
     since = days[0] - timedelta(days=snapshots.LONG_WINDOW)
     built = features.feature_store(
-        w.accounts, w.plans, w.transactions_between(since, days[-1]), w.balances, w.telemetry, cutoffs
+        w.accounts,
+        w.plans,
+        w.transactions_between(since, days[-1]),
+        w.balances_between(since, days[-1]),
+        w.telemetry_between(since, days[-1]),
+        cutoffs,
     )
     return rounded(built, "balance_volatility_30d")
 
@@ -139,21 +146,25 @@ def active_accounts_at_cutoff(w):
     return snapshots.active_accounts(w.accounts, w.plans, CUTOFF).drop("cutoff_date")
 
 
+def look_back() -> tuple[date, date]:
+    """First and last day that the features of the cutoff read."""
+    until = date.fromisoformat(CUTOFF)
+    return until - timedelta(days=snapshots.LONG_WINDOW), until
+
+
 @query
 def transaction_features(w):
-    until = date.fromisoformat(CUTOFF)
-    since = until - timedelta(days=snapshots.LONG_WINDOW)
-    return snapshots.transaction_features(w.transactions_between(since, until), CUTOFF)
+    return snapshots.transaction_features(w.transactions_between(*look_back()), CUTOFF)
 
 
 @query
 def balance_features(w):
-    return rounded(snapshots.balance_features(w.balances, CUTOFF), "balance_volatility_30d")
+    return rounded(snapshots.balance_features(w.balances_between(*look_back()), CUTOFF), "balance_volatility_30d")
 
 
 @query
 def telemetry_features(w):
-    return snapshots.telemetry_features(w.telemetry, CUTOFF)
+    return snapshots.telemetry_features(w.telemetry_between(*look_back()), CUTOFF)
 
 
 @query
@@ -194,6 +205,23 @@ def account_history(w):
     return plain(reporting.balance_history(w.balances, "ACC-000000007"))
 
 
+def lookup(w: SampleWarehouse, name: str) -> DataFrame:
+    """A fact of the written warehouse, whose files are sorted by account, for lookups of one account."""
+    folder = scratch_path(w.spark, "facts")
+    sinks.write_parquet(w.contract_tables()[name], folder, TABLES[name])
+    return readers.read_parquet(w.spark, folder, TABLES[name])
+
+
+@query
+def account_balance_history(w):
+    return plain(reporting.balance_history(lookup(w, "fact_daily_balances"), "ACC-000000007"))
+
+
+@query
+def account_transaction_history(w):
+    return plain(reporting.transaction_history(lookup(w, "fact_transactions"), "ACC-000000007"))
+
+
 @query
 def account_demographics(w):
     return reporting.account_demographics(w.accounts, w.plans)
@@ -292,6 +320,13 @@ def classification_metrics(w):
     return metrics.classification_metrics(scored(w))
 
 
+@query
+def classification_metrics_exact(w):
+    """The same on a score that nothing rounds, with few ties."""
+    spread = F.substring("account_id", 5, 9).cast("long") % 9973
+    return metrics.classification_metrics(scored(w).withColumn("fine", F.col("churn_probability") / 3 + spread / 1e9), probability="fine")
+
+
 @query
 def regression_metrics(w):
     """A steady-pace estimate (no velocity) against the twelve-month value."""
@@ -391,6 +426,11 @@ def dq_columns_one_scan(w):
     return quality.column_checks(w.contract_tables())
 
 
+@query
+def dq_decimal_scale(w):
+    return quality.column_checks(w.contract_tables() | {RISK_SCORES.name: served(w)}, [quality.SCALE_CHECK])
+
+
 @query
 def dq_ranges(w):
     return quality.minimum_values(w.contract_tables())
@@ -465,8 +505,7 @@ def csv_round_trip(w):
 def warehouse_feature_store(w):
     """The feature store over the Parquet warehouse, whose month folders are pruned to the look-back."""
     _, folder = ingested(w)
-    until = date.fromisoformat(CUTOFF)
-    since = until - timedelta(days=snapshots.LONG_WINDOW)
+    since, until = look_back()
     fact = lambda name: readers.read_parquet(w.spark, folder, TABLES[name], since, until)
     built = features.feature_store(
         readers.table(w.spark, folder, "dim_accounts"),
@@ -497,7 +536,6 @@ def serving_table(w):
 
 # Models. One training per session and folder serves all queries that need a model.
 
-ROUNDS = 20
 _trained: dict[tuple, tuple] = {}
 
 
@@ -505,17 +543,25 @@ def trained(w: SampleWarehouse) -> tuple[DataFrame, jobs.ChurnTraining]:
     key = ("churn", w.spark.sparkContext.applicationId, w.folder)
     if key not in _trained:
         snapshot = materialise(store(w), "features")
-        _trained[key] = snapshot, jobs.train_churn(snapshot, models.ChurnSettings(rounds=ROUNDS))
+        _trained[key] = snapshot, jobs.train_churn(snapshot)
     return _trained[key]
 
 
 def trained_value(w: SampleWarehouse) -> jobs.ValueTraining:
     key = ("value", w.spark.sparkContext.applicationId, w.folder)
     if key not in _trained:
-        _trained[key] = jobs.train_value(materialise(store(w), "features"))
+        _trained[key] = jobs.train_value(trained(w)[0])
     return _trained[key]
 
 
+@query
+def feature_matrix(w):
+    """What the models' encoder makes of the features, long form: (account_id, slot, value)."""
+    features = store(w)
+    encoder = Pipeline(stages=models.feature_stages()).fit(features)
+    return attribution.long_form(encoder.transform(features))
+
+
 @query
 def churn_predictions(w):
     """Probabilities of a saved and reloaded model."""
@@ -542,7 +588,9 @@ def model_threshold_curve(w):
 
 @query
 def clv_predictions(w):
-    return trained_value(w).tested
+    """The forecast of every account."""
+    rows = value.with_twelve_month_value(trained(w)[0])
+    return models.value_predictions(trained_value(w).model, rows).select("account_id", "value_12m", "predicted_value")
 
 
 @query
@@ -553,9 +601,8 @@ def clv_model_metrics(w):
 def contributed(w: SampleWarehouse) -> tuple[DataFrame, list[str]]:
     snapshot, training = trained(w)
     assembled = models.churn_predictions(training.model, snapshot)
-    leaves = attribution.read_leaves(w.spark, training.model)
     rows = assembled.select("account_id", models.FEATURES)
-    return attribution.with_contributions(rows, leaves), models.feature_names(assembled)
+    return attribution.with_contributions(rows, training.leaves), models.feature_names(assembled)
 
 
 @query
@@ -575,7 +622,7 @@ def reason_codes(w):
 def global_attribution(w):
     """The ranking written as JSON and read back."""
     snapshot, training = trained(w)
-    ranking, path = jobs.feature_ranking(snapshot, training.model), scratch_path(w.spark, "ranking")
+    ranking, path = jobs.feature_ranking(snapshot, training.model, training.leaves), scratch_path(w.spark, "ranking")
     sinks.write_json(ranking, path)
     return w.spark.read.schema(ranking.schema).json(path).orderBy(F.desc("mean_abs_contribution"), "feature")
 
@@ -586,6 +633,58 @@ def batch_risk_scores(w):
     snapshot, training = trained(w)
     path = scratch_path(w.spark, "churn-metadata")
     models.save_metadata(training.metadata, path)
-    return jobs.batch_scores(
-        snapshot, training.model, trained_value(w).model, models.load_threshold(w.spark, path), f"{CUTOFF} 00:00:00"
+    threshold_kept = models.load_threshold(w.spark, path)
+    value_model = trained_value(w).model
+    return jobs.batch_scores(snapshot, training.model, value_model, threshold_kept, f"{CUTOFF} 00:00:00", training.leaves)
+
+
+@query
+def model_score_checks(w):
+    """What must hold of every account that the models score, whatever they have learned."""
+    snapshot, training = trained(w)
+    cut = training.metadata.first().optimal_threshold
+    assembled = models.churn_predictions(training.model, snapshot)
+    rows = assembled.select(
+        "account_id",
+        "current_plan_id",
+        F.col("churn_probability").alias("p"),
+        vector_to_array("rawPrediction")[1].alias("margin"),
+        models.FEATURES,
+    )
+    explained = attribution.with_contributions(rows, training.leaves)
+    total = F.aggregate("contributions", F.lit(attribution.base_margin(training.leaves)), lambda a, x: a + x)
+    texts = reasons.reason_codes(reasons.top_drivers(F.col("contributions"), models.feature_names(assembled)))
+    risky = F.col("risk_tier").isin("Critical", "High")
+    expected = (
+        F.when((F.col("p") >= 0.65) | ((F.col("p") >= cut) & (F.col("current_plan_id") == 3)), "Critical")
+        .when(F.col("p") >= cut, "High").when(F.col("p") >= 0.15, "Medium").otherwise("Low")
+    )
+    return explained.join(batch_risk_scores(w), "account_id").select(
+        "account_id",
+        "current_plan_id",
+        F.col("p").between(0.0, 1.0).alias("in_range"),
+        (F.abs(F.round("p", 4) - F.col("churn_probability")) < 1e-9).alias("served_as_predicted"),
+        (F.abs(total - F.col("margin")) < 1e-9).alias("contributions_add_up"),
+        (F.abs(1 / (1 + F.exp(-2 * F.col("margin"))) - F.col("p")) < 1e-9).alias("margin_gives_probability"),
+        (F.col("risk_tier") == expected).alias("tier_follows"),
+        F.when(risky, F.col("primary_churn_driver") == texts["primary_churn_driver"])
+        .otherwise(F.col("primary_churn_driver") == "Stable Usage Patterns").alias("reason_follows"),
+        (F.col("predicted_12m_clv_usd") >= 50).alias("value_at_least_floor"),
+    )
+
+
+@query
+def model_serving_kpis(w):
+    """The models' scores written to the serving table, read back, checked and summed up."""
+    folder = scratch_path(w.spark, "model-serving")
+    sinks.write_scores(batch_risk_scores(w), RISK_SCORES, folder)
+    read = readers.table(w.spark, folder, RISK_SCORES.name)
+    enriched_rows = reporting.scored_accounts_enriched(plain(read), w.accounts, w.plans)
+    kpis = reporting.executive_kpis(enriched_rows).select("total_mrr", "total_accounts", "critical_accounts", "at_risk_accounts")
+    tiers_found = reporting.tier_distribution(read).agg(F.sum("account_count").alias("in_tiers"))
+    bad = quality.column_checks({RISK_SCORES.name: read}).agg(F.sum("violations").alias("violations"))
+    found = kpis.withColumns({"in_tiers": tiers_found.scalar(), "violations": bad.scalar()})
+    return found.select(
+        "total_mrr", "total_accounts", "in_tiers", "violations",
+        (F.col("critical_accounts") <= F.col("at_risk_accounts")).alias("critical_are_at_risk"),
     )

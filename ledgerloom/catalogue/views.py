@@ -158,9 +158,19 @@ class SampleWarehouse:
             "fees_collected_usd",
         )
 
-    def _event_days(self) -> DataFrame:
-        """Events with their account and a day stretched threefold over the look-back season."""
-        return self._read("events").selectExpr(
+    def _event_days(self, since: date | None = None, until: date | None = None) -> DataFrame:
+        """Events with their account and a day stretched threefold over the look-back season.
+
+        Bounds on the day are turned into bounds on the raw time, so they reach the scan.
+        """
+        events = self._read("events")
+        if since is not None:
+            first = _EVENTS_START + timedelta(days=-(-(since - _BALANCES_START).days // 3))
+            events = events.where(f"ts >= TIMESTAMP_NTZ'{first}'")
+        if until is not None:
+            end = _EVENTS_START + timedelta(days=(until - _BALANCES_START).days // 3 + 1)
+            events = events.where(f"ts < TIMESTAMP_NTZ'{end}'")
+        return events.selectExpr(
             "user_id * 10 + event_id % 10 AS account_key",
             f"date_add(DATE'{_BALANCES_START}', datediff(date(ts), DATE'{_EVENTS_START}') * 3) AS day",
             "event_id",
@@ -170,8 +180,12 @@ class SampleWarehouse:
 
     @cached_property
     def balances(self) -> DataFrame:
+        return self.balances_between()
+
+    def balances_between(self, since: date | None = None, until: date | None = None) -> DataFrame:
+        """The last value of each account and day."""
         return (
-            self._event_days()
+            self._event_days(since, until)
             .groupBy("account_key", "day")
             .agg(F.expr("CAST(max_by(value, event_id) AS DECIMAL(18,2)) AS closing_balance_usd"))
             .selectExpr(_account_id("account_key"), "day AS balance_date", "closing_balance_usd")
@@ -179,8 +193,12 @@ class SampleWarehouse:
 
     @cached_property
     def telemetry(self) -> DataFrame:
+        return self.telemetry_between()
+
+    def telemetry_between(self, since: date | None = None, until: date | None = None) -> DataFrame:
+        """Counts of event types per account and day."""
         return (
-            self._event_days()
+            self._event_days(since, until)
             .groupBy("account_key", "day")
             .agg(
                 F.expr("int(count_if(event_type IN ('click', 'view'))) AS api_call_count"),

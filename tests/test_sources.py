@@ -140,3 +140,51 @@ def test_jdbc_options():
         "format": "jdbc", "url": "jdbc:some:url", "dbtable": "dim_plans", "batchsize": "10000", "user": "u",
         "mode": "overwrite", "saved": True, "columns": Frame.columns,
     }
+
+
+def test_look_back_reaches_the_event_scan(spark, sample):
+    from ledgerloom.catalogue import registry
+
+    for name in ("balance_features", "telemetry_features", "feature_store", "feature_store_panel"):
+        scans = [x for x in plan_of(registry.QUERIES[name](spark, sample)).splitlines() if "FileScan" in x and "ts#" in x]
+        assert scans and all("GreaterThanOrEqual(ts," in x and "LessThan(ts," in x for x in scans), name
+
+
+def test_bounded_event_views_equal_filtered_ones(spark, sample):
+    from datetime import date, timedelta
+
+    w = SampleWarehouse(spark, sample)
+    for shift in range(5):  # every remainder of the day formula
+        since, until = date(1996, 8, 10) + timedelta(days=shift), date(1996, 10, 20) + timedelta(days=shift)
+        for bounded, whole, day in (
+            (w.balances_between(since, until), w.balances, "balance_date"),
+            (w.telemetry_between(since, until), w.telemetry, "log_date"),
+        ):
+            kept = whole.where(f"{day} BETWEEN DATE'{since}' AND DATE'{until}'")
+            inside = bounded.where(f"{day} BETWEEN DATE'{since}' AND DATE'{until}'")
+            assert sorted(map(tuple, inside.collect())) == sorted(map(tuple, kept.collect()))
+
+
+def test_account_lookups_are_pushed_to_the_scan(spark, sample):
+    from ledgerloom.catalogue import registry
+
+    for name in ("account_balance_history", "account_transaction_history"):
+        text = plan_of(registry.QUERIES[name](spark, sample))
+        assert "EqualTo(account_id,ACC-000000007)" in text, name
+
+
+def test_folder_without_a_setting_lies_in_the_warehouse(spark, monkeypatch):
+    from ledgerloom import session
+
+    class Settings:
+        def get(self, key, default=None):
+            return {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return "already set"
+
+    class Session:
+        conf, sparkContext = Settings(), Context()
+
+    assert session.shared_folder(Session()) == "hdfs://shared/warehouse/checkpoints"
