@@ -6,6 +6,9 @@ sums) and shares no code with the Spark side.
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import factorial
+
 # The star schema over the sample tables; the three plans are fixed values.
 VIEWS = {
     "dim_plans": """
@@ -829,6 +832,42 @@ QUERIES |= {
 _FINE = """(SELECT * REPLACE (churn_probability / 3 + (CAST(substr(account_id, 5, 9) AS BIGINT) % 9973) / 1e9
             AS churn_probability) FROM scored)"""
 
+# The hand-made trees of the attribution check: (worth, conditions), a condition as (feature, share, SQL that it is met).
+_LEAVES = (
+    (1.0, (("tenure_days", 0.6, "tenure_days <= 500"), ("failed_tx_rate_30d", 0.5, "failed_tx_rate_30d <= 0.05::DOUBLE"))),
+    (-2.0, (("tenure_days", 0.6, "tenure_days <= 500"), ("failed_tx_rate_30d", 0.5, "failed_tx_rate_30d > 0.05::DOUBLE"))),
+    (4.0, (("tenure_days", 0.1, "tenure_days > 500 AND tenure_days <= 900"),)),
+    (8.0, (("tenure_days", 0.3, "tenure_days > 900"), ("current_plan_id", 0.25, "current_plan_id = 2"))),
+    (16.0, (("tenure_days", 0.3, "tenure_days > 900"), ("current_plan_id", 0.75, "current_plan_id IN (1, 3)"))),
+    (0.5, (("failed_tx_rate_30d", 0.4, "failed_tx_rate_30d > 0.02::DOUBLE"), ("current_plan_id", 0.5, "current_plan_id = 1"),
+           ("logins_30d", 0.7, "logins_30d <= 2"))),
+)
+_TREE_FEATURES = ("tenure_days", "failed_tx_rate_30d", "current_plan_id", "logins_30d")
+
+
+def _margin(coalition: frozenset[str]) -> str:
+    """The expected margin when the features of the coalition are known and the others are averaged out."""
+    return " + ".join(
+        "(" + " * ".join([f"({worth}::DOUBLE)", *(
+            f"(CASE WHEN {met} THEN 1::DOUBLE ELSE 0::DOUBLE END)" if feature in coalition else f"{share}::DOUBLE"
+            for feature, share, met in conditions
+        )]) + ")"
+        for worth, conditions in _LEAVES
+    )
+
+
+def _shapley(feature: str) -> str:
+    """The definition: the weighted mean, over all coalitions of the others, of what the feature adds to the margin."""
+    others = [f for f in _TREE_FEATURES if f != feature]
+    terms = []
+    for size in range(len(others) + 1):
+        weight = factorial(size) * factorial(len(others) - size) / factorial(len(others) + 1)
+        for group in combinations(others, size):
+            known = frozenset(group)
+            terms.append(f"{weight!r}::DOUBLE * (({_margin(known | {feature})}) - ({_margin(known)}))")
+    return " + ".join(terms)
+
+
 # Queries on the models' results: what must hold of every account, from the accounts and features as they are.
 QUERIES |= {
     "classification_metrics_exact": QUERIES["classification_metrics"].replace("FROM scored", f"FROM {_FINE} f"),
@@ -841,6 +880,9 @@ QUERIES |= {
             for c in ("industry", "company_size", "country")
         ]
     ),
+    "attribution_fixed_trees": _all([
+        f"SELECT account_id, '{f}' AS feature, round({_shapley(f)}, 9) AS contribution FROM store" for f in _TREE_FEATURES
+    ]),
     "model_score_checks": """
         SELECT account_id, current_plan_id, true AS in_range, true AS served_as_predicted, true AS contributions_add_up,
                true AS margin_gives_probability, true AS tier_follows, true AS reason_follows,

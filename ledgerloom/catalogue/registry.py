@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -688,3 +688,34 @@ def model_serving_kpis(w):
         "total_mrr", "total_accounts", "in_tiers", "violations",
         (F.col("critical_accounts") <= F.col("at_risk_accounts")).alias("critical_are_at_risk"),
     )
+
+
+def fixed_trees() -> list[attribution.Leaf]:
+    """A small hand-made ensemble over the features, with intervals, a repeated feature and category sets."""
+    at = {name: k for k, name in enumerate(TREE_FEATURES)}
+
+    def leaf(worth, *conditions):
+        return attribution.Leaf(worth, tuple(attribution.Condition(at[name], share, **rest) for name, share, rest in conditions))
+
+    return [
+        leaf(1.0, ("tenure_days", 0.6, {"high": 500.0}), ("failed_tx_rate_30d", 0.5, {"high": 0.05})),
+        leaf(-2.0, ("tenure_days", 0.6, {"high": 500.0}), ("failed_tx_rate_30d", 0.5, {"low": 0.05})),
+        leaf(4.0, ("tenure_days", 0.1, {"low": 500.0, "high": 900.0})),
+        leaf(8.0, ("tenure_days", 0.3, {"low": 900.0}), ("current_plan_id", 0.25, {"categories": frozenset({2.0})})),
+        leaf(16.0, ("tenure_days", 0.3, {"low": 900.0}), ("current_plan_id", 0.75, {"categories": frozenset({1.0, 3.0})})),
+        leaf(0.5, ("failed_tx_rate_30d", 0.4, {"low": 0.02}), ("current_plan_id", 0.5, {"categories": frozenset({1.0})}),
+             ("logins_30d", 0.7, {"high": 2.0})),
+    ]
+
+
+TREE_FEATURES = ("tenure_days", "failed_tx_rate_30d", "current_plan_id", "logins_30d")
+
+
+@query
+def attribution_fixed_trees(w):
+    """The attribution code over the feature store with known trees, so that SQL can work out the definition."""
+    vector = array_to_vector(F.array(*(F.col(name).cast("double") for name in TREE_FEATURES)))
+    rows = store(w).select("account_id", vector.alias(models.FEATURES))
+    contributed_rows = attribution.with_contributions(rows, fixed_trees())
+    long = attribution.local_attribution(contributed_rows, TREE_FEATURES)
+    return rounded(long, "contribution", digits=9)

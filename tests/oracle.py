@@ -9,6 +9,7 @@ import datetime as dt
 import decimal
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -71,14 +72,15 @@ def differences(df, con, sql: str) -> list[str]:
 
 def main() -> int:
     import __spark_entry__ as contract
-    from ledgerloom.session import build_session
+    from ledgerloom.session import build_session, clear_scratch
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:]
     spark = build_session(
         "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
                                  "spark.ui.showConsoleProgress": "false",
-                                 "spark.driver.memory": "8g"}
+                                 "spark.driver.memory": "8g",
+                                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-")}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
@@ -100,6 +102,7 @@ def main() -> int:
         print(f"{name:32s} {state:20s} {time.time() - start:6.1f}s", flush=True)
         for line in found:
             print("    ", line[:600], flush=True)
+    clear_scratch(spark)
     spark.stop()
     return bad
 
