@@ -117,7 +117,7 @@ def candidate_clusters(classes: DataFrame) -> DataFrame:
     # Folded before the shuffle and written, so that a signature many classes share can be split in the join.
     shared = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("first")).where("size > 1")
     shared = materialise(shared.select("sig", "first"), "shared-signatures")
-    edges = signed.join(shared, "sig").select(F.col("cid").alias("a"), F.col("first").alias("b"))
+    edges = signed.join(shared.hint("merge"), "sig").select(F.col("cid").alias("a"), F.col("first").alias("b"))
     return components(edges).select(F.col("node").alias("cid"), F.col("component").alias("cluster"))
 
 
@@ -178,6 +178,13 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
     clusters = materialise(candidate_clusters(classes), "clusters")
     members = materialise(known.join(clusters, "cid"), "members")
 
+    # A class is compared in as many tasks as its cluster has blocks of similar size.
+    tasks = block_pairs(members.select("cid", "n", "cluster"), percent).groupBy("cid").agg(
+        F.collect_list(F.struct("task", "is_left", "same")).alias("tasks")
+    )
+    tasks = materialise(members.select("doc_id", "cid", "weight", "d1", "d2").join(tasks, "cid"), "tasks")
+    kind = tasks.schema["tasks"].dataType.simpleString()
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = texts(batch.column("text"))
@@ -188,21 +195,18 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
                 wanted = list(zip(part.column("d1").to_pylist(), part.column("d2").to_pylist()))
                 # Another row with the same doc_id may have another text.
                 keep = [k for k, s in enumerate(own) if digest(s) == wanted[k]]
+                part = part.take(pa.array(keep, pa.int64()))
+                grams = pa.array([own[k].view(np.int64) for k in keep], pa.list_(pa.int64()))
                 yield pa.record_batch(
-                    [
-                        part.column("cid").take(pa.array(keep, pa.int64())),
-                        part.column("weight").take(pa.array(keep, pa.int64())),
-                        pa.array([own[k].view(np.int64) for k in keep], pa.list_(pa.int64())),
-                    ],
-                    names=["cid", "weight", "grams"],
+                    [part.column("cid"), part.column("weight"), part.column("tasks"), grams],
+                    names=["cid", "weight", "tasks", "grams"],
                 )
 
+    # Texts are shuffled by id: the tasks grow with the corpus, so they are never broadcast.
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sampled = source.join(members.select("doc_id", "cid", "weight", "d1", "d2"), "doc_id")
-    grams = materialise(
-        sampled.select("cid", "weight", "d1", "d2", "text").mapInArrow(read, "cid long, weight long, grams array<long>"),
-        "member-sets",
-    )
+    read_again = source.join(tasks.hint("merge"), "doc_id").select("cid", "weight", "d1", "d2", "tasks", "text")
+    grams = read_again.mapInArrow(read, f"cid long, weight long, tasks {kind}, grams array<long>")
+    assigned = grams.select("cid", "weight", "grams", F.inline("tasks"))
 
     def search(found: pa.Table) -> pa.Table:
         found = found.combine_chunks()
@@ -214,8 +218,7 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
         hit = np.flatnonzero(links.counts)
         return pa.table({"cid": cid[hit], "links": links.counts[hit], "near": cid[links.root[hit]]})
 
-    assigned = block_pairs(members.select("cid", "n", "cluster"), percent)
-    result = assigned.join(grams, "cid").groupBy("task").applyInArrow(search, "cid long, links long, near long")
+    result = assigned.groupBy("task").applyInArrow(search, "cid long, links long, near long")
     result = materialise(result, "links")
     counts = result.groupBy("cid").agg(F.sum("links").alias("links"))
     named = known.select("cid", F.col("doc_id").alias("a"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 
@@ -102,17 +104,17 @@ def size_bands(largest: int = 1 << 40) -> np.ndarray:
 
 
 BANDS = size_bands()
-# One fragment more than has to agree, so that a fragment that is empty in both sets cannot be the only one.
-SPARE = 1
+# Share of its fragments, the smallest ones, that a set does not sign: a few members in common say little.
+UNSIGNED = 0.3
 
 
 def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     """Numbers of which two different sets with a Jaccard similarity of ``percent`` or more share at least one.
 
     Sets x and y that similar differ in at most d = (|x| + |y|) (100 - percent) / (100 + percent) members. If the order of
-    all members is cut into d + 1 + SPARE fragments, more than SPARE of them hold the same members in both. d depends on
-    the larger set's size band; a set close to the next band also signs for that one. Empty fragments are signed only by a set
-    with more than SPARE of them.
+    all members is cut into d + 1 + u fragments, at least u + 1 of them hold the same members in both. A set signs all but its
+    u smallest fragments (ties by place): the largest fragment in common is not among the u smallest of either set, so both
+    sign it. d depends on the larger set's size band; a set close to the next band also signs for that one.
     """
     n = len(own)
     if not n:
@@ -125,13 +127,16 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
         differing = 2 * (int(BANDS[b + 1]) - 1) * (100 - percent) // (100 + percent)
         if not differing:
             continue
-        count = differing + 1 + SPARE
+        count = math.ceil((differing + 1) / (1 - UNSIGNED))
         place = fragment(own, count)
-        first = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1])
-        sums = np.add.reduceat(scrambled, first)
-        places = place[first]
-        if count - len(first) > SPARE:
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        sums, places = np.add.reduceat(scrambled, first), place[first]
+        held = np.diff(np.append(first, n))
+        if len(first) < differing + 1:  # fewer fragments have members than must be signed: empty ones count as well
             empty = np.setdiff1d(np.arange(count), places)
             places, sums = np.concatenate([places, empty]), np.concatenate([sums, np.zeros(len(empty), np.uint64)])
+            held = np.concatenate([held, np.zeros(len(empty), held.dtype)])
+        signed = np.lexsort((places, held))[len(held) - differing - 1 :]
+        sums, places = sums[signed], places[signed]
         found.append(mixed(sums + mixed(places.astype(np.uint64) * MIX + np.uint64(b))))
     return np.concatenate(found) if found else own[:0]
