@@ -547,10 +547,10 @@ def trained(w: SampleWarehouse) -> tuple[DataFrame, jobs.ChurnTraining]:
     return _trained[key]
 
 
-def trained_value(w: SampleWarehouse) -> jobs.ValueTraining:
-    key = ("value", w.spark.sparkContext.applicationId, w.folder)
+def trained_value(w: SampleWarehouse, fit=models.fit_value_model) -> jobs.ValueTraining:
+    key = (fit.__name__, w.spark.sparkContext.applicationId, w.folder)
     if key not in _trained:
-        _trained[key] = jobs.train_value(trained(w)[0])
+        _trained[key] = jobs.train_value(trained(w)[0], fit=fit)
     return _trained[key]
 
 
@@ -595,7 +595,15 @@ def clv_predictions(w):
 
 @query
 def clv_model_metrics(w):
-    return metrics.regression_metrics(trained_value(w).tested, "value_12m", "predicted_value")
+    """Both value models on the same hold-out."""
+    fits = {"tweedie": models.fit_value_model, "boosted": models.fit_boosted_value_model}
+    rows = [
+        metrics.regression_metrics(trained_value(w, fit).tested, "value_12m", "predicted_value").select(
+            F.lit(name).alias("model"), "*"
+        )
+        for name, fit in fits.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def contributed(w: SampleWarehouse) -> tuple[DataFrame, list[str]]:

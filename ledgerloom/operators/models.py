@@ -1,4 +1,4 @@
-"""The two models on Spark ML: a boosted-tree churn classifier and a Tweedie value regressor."""
+"""The models on Spark ML: a boosted-tree churn classifier, and a Tweedie or boosted-tree value regressor."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,13 +161,41 @@ def fit_value_model(train: DataFrame, target: str = "value_12m", unseen: str = "
     return Pipeline(stages=[*stages, scaler, regression]).fit(log_scaled(train))
 
 
+LOG_FORECAST = "log_value_forecast"
+
+
+def fit_boosted_value_model(
+    train: DataFrame, target: str = "value_12m", settings: ChurnSettings = ChurnSettings(), unseen: str = "error"
+) -> PipelineModel:
+    """Boosted trees on log(1 + value), with the churn model's parameters and its way to stop early."""
+    held_back = hash_bucket(F.col("account_id"), VALIDATION_SEED) < int(settings.validation_share * BUCKETS)
+    ready = log_scaled(train).withColumns({"log_value": F.log1p(F.col(target)), "held_back": held_back})
+    shared_folder(train.sparkSession)
+    regressor = GBTRegressor(
+        featuresCol=VALUE_FEATURES,
+        labelCol="log_value",
+        predictionCol=LOG_FORECAST,
+        validationIndicatorCol="held_back",
+        validationTol=settings.tolerance,
+        maxIter=settings.rounds,
+        maxDepth=settings.depth,
+        maxBins=settings.max_bins,
+        stepSize=settings.learning_rate,
+        minInstancesPerNode=settings.min_leaf,
+        subsamplingRate=settings.row_share,
+        featureSubsetStrategy=str(settings.feature_share),
+        seed=settings.seed,
+        checkpointInterval=10,
+    )
+    return Pipeline(stages=[*feature_stages(unseen, VALUE_FEATURES, log_scale=True), regressor]).fit(ready)
+
+
 def value_predictions(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """The rows with ``predicted_value``: the regressor's forecast, at least the floor."""
+    """The rows with ``predicted_value``: the forecast of either value model, at least the floor."""
     forecast = transformed(model, log_scaled(features))
     scratch = [c for c in forecast.columns if c not in features.columns]
-    return forecast.withColumn(
-        "predicted_value", F.greatest(F.col("value_forecast"), F.lit(PREDICTION_FLOOR))
-    ).drop(*scratch)
+    value = F.expm1(LOG_FORECAST) if LOG_FORECAST in forecast.columns else F.col("value_forecast")
+    return forecast.withColumn("predicted_value", F.greatest(value, F.lit(PREDICTION_FLOOR))).drop(*scratch)
 
 
 # The fields of a model's notes.

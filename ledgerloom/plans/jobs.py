@@ -45,10 +45,13 @@ class ValueTraining:
     tested: DataFrame
 
 
-def train_value(features: DataFrame, noise_seed: int | None = None) -> ValueTraining:
-    """Random hold-out, fit on the rest; ``tested`` holds label and forecast of the hold-out."""
+def train_value(features: DataFrame, noise_seed: int | None = None, fit=models.fit_value_model) -> ValueTraining:
+    """Random hold-out, fit on the rest; ``tested`` holds label and forecast of the hold-out.
+
+    ``fit`` is ``models.fit_value_model`` or ``models.fit_boosted_value_model``; the hold-out is the same.
+    """
     split = materialise(random_split(with_twelve_month_value(features, noise_seed)), "valued")
-    model = models.fit_value_model(split.where(~F.col("is_test")))
+    model = fit(split.where(~F.col("is_test")))
     tested = models.value_predictions(model, split.where("is_test"))
     return ValueTraining(model, tested.select("account_id", "value_12m", "predicted_value"))
 

@@ -82,6 +82,23 @@ def test_value_model(value):
     assert value.tested.agg(F.min("predicted_value")).first()[0] >= 50.0
 
 
+def test_boosted_value_model(snapshot, value):
+    boosted = jobs.train_value(snapshot, fit=lambda rows: models.fit_boosted_value_model(rows, settings=SETTINGS))
+    found = metrics.regression_metrics(boosted.tested, "value_12m", "predicted_value").first()
+    assert found.r2 > 0.1 and boosted.tested.agg(F.min("predicted_value")).first()[0] >= 50.0
+    held = lambda t: sorted(r.account_id for r in t.tested.select("account_id").collect())
+    assert held(boosted) == held(value)
+
+
+def test_new_category_scores_as_the_base_level(snapshot, churn, value):
+    base = churn.model.stages[0].labelsArray[0][-1]
+    name = churn.model.stages[0].getInputCols()[0]
+    score = lambda level: models.churn_predictions(churn.model, snapshot.limit(20).withColumn(name, F.lit(level))).select("account_id", name, "churn_probability").collect()
+    new, old = score("NOBODY KNOWS"), score(base)
+    assert {r.account_id: r.churn_probability for r in new} == {r.account_id: r.churn_probability for r in old}
+    assert {r[name] for r in new} == {"NOBODY KNOWS"}
+
+
 def test_batch_scores(spark, snapshot, churn, value):
     scored = jobs.batch_scores(snapshot, churn.model, value.model, 0.3, f"{CUTOFF} 00:00:00")
     assert scored.columns == RISK_SCORES.schema.names
