@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_start, months_crossed
@@ -13,6 +13,17 @@ def _cohorts(accounts: DataFrame) -> DataFrame:
     return accounts.select("account_id", month_start(F.col("signup_date")).alias("cohort_month"))
 
 
+def _paid(subscriptions: DataFrame) -> DataFrame:
+    """Months that were paid: (account_id, billing_month, mrr in cents)."""
+    return subscriptions.where((F.col("mrr_amount") > 0) & (F.col("billing_status") == "Paid")).select(
+        "account_id", "billing_month", cents(F.col("mrr_amount")).alias("mrr")
+    )
+
+
+def _month_number() -> Column:
+    return months_crossed(F.col("cohort_month"), F.col("billing_month"))
+
+
 def _cohort_activity(accounts: DataFrame, subscriptions: DataFrame) -> DataFrame:
     """Active accounts and paid cents per (cohort, month number).
 
@@ -20,14 +31,10 @@ def _cohort_activity(accounts: DataFrame, subscriptions: DataFrame) -> DataFrame
     further shuffle, and counting its rows is counting distinct accounts. An account holds one row per billed
     month; should one break that grain, adaptive execution splits its share of the join.
     """
-    paid = subscriptions.where((F.col("mrr_amount") > 0) & (F.col("billing_status") == "Paid")).select(
-        "account_id", "billing_month", cents(F.col("mrr_amount")).alias("mrr")
-    )
-    month_number = months_crossed(F.col("cohort_month"), F.col("billing_month"))
     return (
-        paid.join(_cohorts(accounts), "account_id")
+        _paid(subscriptions).join(_cohorts(accounts), "account_id")
         .where(F.col("cohort_month").isNotNull())
-        .groupBy("account_id", "cohort_month", month_number.alias("month_number"))
+        .groupBy("account_id", "cohort_month", _month_number().alias("month_number"))
         .agg(F.sum("mrr").alias("mrr"))
         .groupBy("cohort_month", "month_number")
         .agg(F.count(F.lit(1)).alias("active_accounts"), F.sum("mrr").alias("retained"))
@@ -61,17 +68,28 @@ def cohort_retention(accounts: DataFrame, subscriptions: DataFrame) -> DataFrame
 
 
 def cohort_logo_retention(accounts: DataFrame, subscriptions: DataFrame, last_month: int = 12) -> DataFrame:
-    """Share of all signed-up accounts that paid, for the first months after signup."""
-    sizes = _cohorts(accounts).groupBy("cohort_month").agg(F.count_distinct("account_id").alias("signed_up"))
-    share = F.round(as_double(F.col("active_accounts")) * 100.0 / F.col("signed_up"), 1)
+    """Share of all signed-up accounts that paid, for the first months after signup.
+
+    Accounts are read once: each brings its paid months and one row without a month, which counts the signups.
+    """
+    first_months = F.when(_month_number() <= last_month, _month_number())
+    months = (
+        _cohorts(accounts).where(F.col("cohort_month").isNotNull())
+        .join(_paid(subscriptions), "account_id", "left")
+        .groupBy("account_id", "cohort_month")
+        .agg(F.collect_set(first_months).alias("months"))
+        .select("cohort_month", F.explode(F.concat(F.array(F.lit(None).cast("int")), "months")).alias("month_idx"))
+        .groupBy("cohort_month", "month_idx")
+        .agg(F.count(F.lit(1)).alias("accounts"))
+    )
+    cohort = Window.partitionBy("cohort_month")  # one row for each month number
+    signed_up = F.max(F.when(F.col("month_idx").isNull(), F.col("accounts"))).over(cohort)
+    share = F.round(as_double(F.col("accounts")) * 100.0 / F.col("signed_up"), 1)
     return (
-        _cohort_activity(accounts, subscriptions)
-        .where(F.col("month_number") <= last_month)
-        .join(sizes, "cohort_month")
+        months.withColumn("signed_up", signed_up)
+        .where(F.col("month_idx").isNotNull())
         .select(
-            F.date_format("cohort_month", "yyyy-MM-dd").alias("cohort_month"),
-            F.col("month_number").alias("month_idx"),
-            share.alias("retention_pct"),
+            F.date_format("cohort_month", "yyyy-MM-dd").alias("cohort_month"), "month_idx", share.alias("retention_pct")
         )
         .orderBy("cohort_month", "month_idx")
     )
