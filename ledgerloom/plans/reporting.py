@@ -86,18 +86,16 @@ def churn_rate_by(accounts: DataFrame, *segments: str) -> DataFrame:
 def feature_label_correlation(features: DataFrame) -> DataFrame:
     """Pearson correlation of every numeric feature and category dummy with the label, ascending.
 
-    Numeric features take one aggregation; dummies need only counts per category. The first category in
-    alphabetical order is the base level and has no dummy. A constant column has no correlation (NULL).
+    Every account is expanded to one row per numeric feature, and the moments are folded before the shuffle, one row a feature and
+    task; dummies need only counts per category. The first category in alphabetical order is the base level and has no dummy.
+    A constant column has no correlation (NULL).
     """
-    moments = features.agg(*(
-        F.expr(
-            f"named_struct('feature', '{n}', 'c', covar_pop({n}, {LABEL}), "
-            f"'spread', stddev_pop({n}) * stddev_pop({LABEL})) AS {n}"
-        )
-        for n in NUMERIC_FEATURES
-    ))
-    numeric = moments.selectExpr(f"inline(array({', '.join(NUMERIC_FEATURES)}))").selectExpr(
-        "feature", "if(spread > 0, c / spread, NULL) AS corr"
+    values = ", ".join(f"named_struct('feature', '{n}', 'x', double({n}))" for n in NUMERIC_FEATURES)
+    numeric = (
+        features.selectExpr(f"double({LABEL}) AS y", f"inline(array({values}))")
+        .groupBy("feature")
+        .agg(F.covar_pop("x", "y").alias("c"), (F.stddev_pop("x") * F.stddev_pop("y")).alias("spread"))
+        .selectExpr("feature", "if(spread > 0, c / spread, NULL) AS corr")
     )
     return numeric.unionByName(_dummy_correlation(features)).selectExpr(
         "feature", "round(corr, 4) AS corr"
