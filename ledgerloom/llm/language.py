@@ -15,9 +15,8 @@ to the first language in alphabetical order. Every row is scored, also rows that
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,18 +27,22 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from ledgerloom.llm.common import PIECES, prepared, slices, texts
+from ledgerloom.llm.shingles import mixed
 from ledgerloom.session import materialise
 
 SAMPLE_DOCS = 3000
 ROUNDS = 2
+# The sample's words are few for Spark and costly to cut up, so they are dealt out to so many tasks.
+EXPECTATION_TASKS = 64
 # Added to every expected count.
 SMOOTHING = 0.1
-UNKNOWN = "<unknown>"
 REMEMBERED = 400_000
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 SPACE = "▁"  # stands before a word in the vocabulary
 TINY = 1e-200
+# Characters of a word that is handled together with others; longer ones are scored on their own and not learned from.
+LONG = 64
 
 
 def vocabulary_pieces(path: str) -> list[str]:
@@ -58,73 +61,161 @@ def words_of(column: pa.Array) -> pa.Array:
     return pc.utf8_split_whitespace(pc.utf8_lower(column))
 
 
-class Pieces:
-    """Piece probabilities for a fixed list of languages; a piece maps to one probability for each language."""
-
-    def __init__(self, table: dict[str, tuple[float, ...]]):
-        self.unknown = table[UNKNOWN]
-        self.table = table
-        self.longest = max((len(p) for p in table if p != UNKNOWN), default=1)
-        self.known: dict[str, tuple[float, ...]] = {}
-
-    def edges(self, word: str) -> list[list[tuple[int, str]]]:
-        """For each end in the word, the pieces that end there: (start, piece); a lone character always counts."""
-        word, table, longest = SPACE + word, self.table, self.longest
-        found = []
-        for end in range(1, len(word) + 1):
-            own = [(at, word[at:end]) for at in range(max(0, end - longest), end) if word[at:end] in table]
-            if not own or own[-1][0] != end - 1:
-                own.append((end - 1, UNKNOWN))
-            found.append(own)
-        return found
+class Vocabulary:
+    """The pieces by number, the last number being a lone character that is no piece, and a search for them in many words."""
+
+    def __init__(self, pieces: list[str]):
+        self.pieces = pieces
+        self.number = {piece: k for k, piece in enumerate(pieces)}
+        self.longest = max(map(len, pieces), default=1)
+        # Every beginning of a piece by its hash, with the piece's number or -1: a search ends where none goes on.
+        begun = {piece[:k]: -1 for piece in pieces for k in range(1, len(piece))} | self.number
+        self.begun = begun
+        points, starts = _points(list(begun))
+        hashes = _Hashes(points).of(starts[:-1], starts[1:])
+        order = np.argsort(hashes)
+        self.hashes, self.numbers = hashes[order], np.fromiter(begun.values(), np.int64, len(begun))[order]
+
+    def find(self, points: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces in a run of characters, none beyond ``limit`` (the end of a character's word): start, end, number."""
+        hashes, alive, found = _Hashes(points), np.arange(len(points)), []
+        for k in range(1, self.longest + 1):
+            alive = alive[alive + k <= limit[alive]]
+            own = hashes.of(alive, alive + k)
+            at = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
+            number = np.where(self.hashes[at] == own, self.numbers[at], -2)
+            if k == 1:
+                number = np.where(number < 0, np.where(number == -2, -3, len(self.pieces)), number)
+                lone = np.where(number == -3, len(self.pieces), number)
+                found.append((alive, alive + 1, lone))
+                alive = alive[number != -3]
+                continue
+            hit = number >= 0
+            found.append((alive[hit], alive[hit] + k, number[hit]))
+            alive = alive[number != -2]
+        return tuple(np.concatenate(column) for column in zip(*found))
+
+
+def _points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of all words one after the other, and the place where each begins (one entry more)."""
+    points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    return points, np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))])
+
+
+class _Hashes:
+    """Hashes of any stretches of a run of characters that do not depend on where they stand."""
+
+    BASE = 0x9E3779B97F4A7C15
+    INVERSE = pow(BASE, -1, 1 << 64)
+
+    def __init__(self, points: np.ndarray):
+        powers = np.full(len(points) + 1, self.BASE, np.uint64)
+        back = np.full(len(points) + 1, self.INVERSE, np.uint64)
+        powers[0] = back[0] = 1
+        self.back = np.cumprod(back)
+        self.sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum((points + np.uint64(1)) * np.cumprod(powers)[:-1], out=self.sums[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[end] - self.sums[start]) * self.back[start])
+
+
+class Lattice:
+    """All segmentations of many words: steps between the places of a word, by the place where they start.
+
+    Place 0 of a word stands before its first character, its last place after the last one.
+    """
 
-    def score(self, word: str) -> tuple[float, ...]:
-        """The logarithm of a word's probability in each language, summed over all segmentations."""
-        found = self.known.get(word)
-        if found is not None:
-            return found
-        table, n = self.table, len(self.unknown)
-        forward, shift = [[1.0] * n], [0.0] * n
-        for end, own in enumerate(self.edges(word), 1):
-            sums = [0.0] * n
-            for at, piece in own:
-                sums = [s + a * p for s, a, p in zip(sums, forward[at], table[piece])]
-            if min(sums, default=1.0) < TINY:  # each language gets a scale of its own, for the places that are still needed
-                for at in range(max(0, end - self.longest), end):
-                    forward[at] = [a / s for a, s in zip(forward[at], sums)]
-                shift = [x + math.log(s) for x, s in zip(shift, sums)]
-                sums = [1.0] * n
-            forward.append(sums)
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        found = self.known[word] = tuple([math.log(s) + x for s, x in zip(forward[-1], shift)])
-        return found
+    def __init__(self, words: list[str], vocabulary: Vocabulary):
+        points, starts = _points([SPACE + word for word in words])
+        sizes = np.diff(starts)
+        word = np.repeat(np.arange(len(words)), sizes)
+        begin, end, number = vocabulary.find(points, np.repeat(starts[1:], sizes))
+        depth = begin - starts[word[begin]]
+        order = np.lexsort((begin, depth))
+        begin, end, self.number = begin[order], end[order], number[order]
+        self.word = word[begin]
+        self.start, self.end = begin + self.word, end + self.word
+        self.first = starts[:-1] + np.arange(len(words))
+        self.last = starts[1:] + np.arange(len(words))
+        self.size = len(points) + len(words)
+        self.cuts = np.searchsorted(depth[order], np.arange(int(sizes.max(initial=0)) + 1))
+
+    def forward(self, shares: np.ndarray) -> np.ndarray:
+        """For each place the summed probability of the ways to it; shares has one row for each step."""
+        sums = np.zeros((self.size, shares.shape[1]))
+        sums[self.first] = 1
+        for a, b in zip(self.cuts[:-1], self.cuts[1:]):  # steps from one depth end in different places
+            sums[self.end[a:b]] += sums[self.start[a:b]] * shares[a:b]
+        return sums
+
+    def backward(self, shares: np.ndarray) -> np.ndarray:
+        """For each place the summed probability of the ways from it to the end; shares has one number for each step."""
+        sums = np.zeros(self.size)
+        sums[self.last] = 1
+        for a, b in zip(self.cuts[-2::-1], self.cuts[:0:-1]):
+            if a < b:
+                own = self.start[a:b]
+                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                sums[own[first]] = np.add.reduceat(sums[self.end[a:b]] * shares[a:b], first)
+        return sums
 
-    def uses(self, word: str, language: int) -> dict[str, float]:
-        """The expected number of uses of each piece in a word of one language, by forward and backward sums of logarithms."""
-        steps = [[(at, piece, math.log(self.table[piece][language])) for at, piece in own] for own in self.edges(word)]
-        n = len(steps)
-        forward = [0.0]
-        for own in steps:
-            forward.append(_log_sum([forward[at] + step for at, _, step in own]))
-        onward: list[list[float]] = [[] for _ in range(n)] + [[0.0]]
-        for end in range(n, 0, -1):
-            rest = _log_sum(onward[end])
-            for at, _, step in steps[end - 1]:
-                onward[at].append(rest + step)
-        backward = [_log_sum(o) if o else -math.inf for o in onward]
-        found: dict[str, float] = defaultdict(float)
-        for end, own in enumerate(steps, 1):
-            for at, piece, step in own:
-                found[piece] += math.exp(forward[at] + step + backward[end] - forward[n])
-        return found
 
+class Pieces:
+    """Piece probabilities for a fixed list of languages: one row for each piece and one for a lone character."""
+
+    def __init__(self, vocabulary: Vocabulary, shares: np.ndarray):
+        self.vocabulary, self.shares = vocabulary, shares
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """The logarithm of each word's probability in each language, summed over all segmentations."""
+        found = np.zeros((len(words), self.shares.shape[1]))
+        short = [k for k, word in enumerate(words) if len(word) <= LONG]
+        if short and self.shares.shape[1]:
+            with np.errstate(over="ignore", divide="ignore"):
+                lattice = Lattice([words[k] for k in short], self.vocabulary)
+                found[short] = np.log(lattice.forward(self.shares[lattice.number])[lattice.last])
+        for k, word in enumerate(words):
+            if len(word) > LONG or np.isneginf(found[k]).any():
+                found[k] = self.score(word)
+        return found
 
-def _log_sum(values: list[float]) -> float:
-    if not values:
-        return -math.inf
-    top = max(values)
-    return top + math.log(sum([math.exp(v - top) for v in values])) if top > -math.inf else top
+    def score(self, word: str) -> np.ndarray:
+        """The same for one word of any length: sums are scaled before they get too small."""
+        word, begun, longest = SPACE + word, self.vocabulary.begun, self.vocabulary.longest
+        shares, shift = self.shares, np.zeros(self.shares.shape[1])
+        window = [np.ones(self.shares.shape[1])]  # the sums at this place and the next ones
+        for at in range(len(word)):
+            window += [np.zeros(len(shift)) for _ in range(longest + 1 - len(window))]
+            here = window[0]
+            if here.min(initial=1.0) < TINY:  # each language gets a scale of its own
+                window, shift = [sums / here for sums in window], shift + np.log(here)
+                here = window[0]
+            for k in range(1, min(longest, len(word) - at) + 1):
+                number = begun.get(word[at : at + k])
+                if k == 1 and (number is None or number < 0):
+                    window[1] = window[1] + here * shares[-1]
+                if number is None:
+                    break
+                if number >= 0:
+                    window[k] = window[k] + here * shares[number]
+            window.pop(0)
+        return np.log(window[0]) + shift
+
+    def uses(self, words: list[str], languages: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The expected number of uses of each piece in each language, summed over words with a language and a count.
+
+        Nothing for a word whose probability is too small for a number.
+        """
+        with np.errstate(over="ignore"):
+            lattice = Lattice(words, self.vocabulary)
+        shares = self.shares[lattice.number, languages[lattice.word]]
+        forward, backward = lattice.forward(shares[:, None])[:, 0], lattice.backward(shares)
+        whole = forward[lattice.last]
+        weight = np.where(whole > TINY, counts / np.maximum(whole, TINY), 0.0)
+        parts = forward[lattice.start] * shares * backward[lattice.end] * weight[lattice.word]
+        cell = lattice.number * self.shares.shape[1] + languages[lattice.word]
+        return np.bincount(cell, parts, self.shares.size).reshape(self.shares.shape)
 
 
 def training_words(docs: DataFrame, sample_docs: int) -> DataFrame:
@@ -162,61 +253,77 @@ def training_words(docs: DataFrame, sample_docs: int) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def train(
-    docs: DataFrame, vocabulary: str = PIECES, sample_docs: int = SAMPLE_DOCS
-) -> tuple[list[str], dict[str, tuple[float, ...]]]:
-    """The languages of ``docs`` (text, lang) and their piece probabilities.
+class Scores:
+    """The scores of the words a task has met."""
+
+    def __init__(self, languages: int):
+        self.languages = languages
+        self.place: dict[str, int] = {}
+        self.rows = np.zeros((0, languages))
+
+    def of(self, words: list[str], pieces: Pieces) -> np.ndarray:
+        """One row of scores for each of some distinct words; the empty word has none."""
+        if len(self.place) + len(words) > REMEMBERED:
+            self.place, self.rows = {}, np.zeros((0, self.languages))
+        new = [word for word in words if word not in self.place]
+        scores = pieces.scores(new)
+        scores[[k for k, word in enumerate(new) if not word]] = 0
+        self.place.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
+        self.rows = np.concatenate([self.rows, scores])
+        return self.rows[[self.place[word] for word in words]] if words else self.rows[:0]
+
+
+Model = tuple[list[str], list[str], np.ndarray]
+
+
+def train(docs: DataFrame, vocabulary: str = PIECES, sample_docs: int = SAMPLE_DOCS) -> Model:
+    """The languages of ``docs`` (text, lang), the pieces, and the pieces' probabilities by language.
 
     What reaches the driver is one number for each language and piece.
     """
     spark = prepared(docs.sparkSession)
-    words = materialise(training_words(docs.select("lang", "text"), sample_docs), "training-words")
+    words = training_words(docs.select("lang", "text"), sample_docs)
+    words = materialise(words.repartition(EXPECTATION_TASKS, "lang", "word"), "training-words")
     langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
-    names = [*vocabulary_pieces(vocabulary), UNKNOWN]
-    table = {name: (1 / len(names),) * len(langs) for name in names}
-    index = {lang: k for k, lang in enumerate(langs)}
+    pieces = vocabulary_pieces(vocabulary)
+    shares = np.full((len(pieces) + 1, len(langs)), 1 / (len(pieces) + 1))
     for _ in range(ROUNDS if langs else 0):
-        shared = spark.sparkContext.broadcast(table)
+        shared = spark.sparkContext.broadcast((pieces, shares))
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pieces, sums = Pieces(shared.value), defaultdict(float)
+            own, sums = Pieces(Vocabulary(shared.value[0]), shared.value[1]), np.zeros(shared.value[1].shape)
             for batch in batches:
-                for lang, word, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                    for piece, uses in pieces.uses(word, index[lang]).items():
-                        sums[lang, piece] += n * uses
-            if sums:
-                own, piece = zip(*sums)
-                yield pa.record_batch([pa.array(own), pa.array(piece), pa.array(sums.values())], names=["lang", "piece", "uses"])
-
-        expected = words.mapInArrow(expect, "lang string, piece string, uses double")
-        used = expected.groupBy("lang", "piece").agg(F.sum("uses").alias("uses")).toPandas()
+                batch = batch.filter(pc.less_equal(pc.utf8_length(batch.column(1)), LONG))
+                spoken = np.array([langs.index(lang) for lang in batch.column(0).to_pylist()], np.int64)
+                sums += own.uses(batch.column(1).to_pylist(), spoken, batch.column(2).to_numpy())
+            piece, lang = np.nonzero(sums)
+            yield pa.record_batch([pa.array(piece), pa.array(lang), pa.array(sums[piece, lang])], names=["piece", "lang", "uses"])
+
+        expected = words.mapInArrow(expect, "piece long, lang long, uses double")
+        used = expected.groupBy("piece", "lang").agg(F.sum("uses").alias("uses")).toPandas()
         shared.unpersist()
-        counts = np.full((len(names), len(langs)), SMOOTHING)
-        place = {name: k for k, name in enumerate(names)}
-        np.add.at(counts, (used["piece"].map(place).to_numpy(int), used["lang"].map(index).to_numpy(int)), used["uses"])
+        counts = np.full(shares.shape, SMOOTHING)
+        np.add.at(counts, (used["piece"].to_numpy(), used["lang"].to_numpy()), used["uses"].to_numpy())
         shares = counts / counts.sum(axis=0)
         shares[-1] = (SMOOTHING / counts.sum(axis=0)).min()  # a character that is no piece says nothing about the language
-        table = dict(zip(names, map(tuple, shares.tolist())))
-    return langs, table
+    return langs, pieces, shares
 
 
-def identify(docs: DataFrame, model: tuple[list[str], dict[str, tuple[float, ...]]]) -> DataFrame:
+def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(row, lang_pred, score) for each row of ``docs`` (text); ``row`` is the input row as a struct. No shuffle."""
     spark = prepared(docs.sparkSession)
-    langs, table = model
-    shared = spark.sparkContext.broadcast(table)
+    langs, pieces, shares = model
+    shared = spark.sparkContext.broadcast((pieces, shares))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(shared.value)
+        own_pieces, known = Pieces(Vocabulary(shared.value[0]), shared.value[1]), Scores(len(langs))
         for batch in batches:
             column = texts(batch.column(1))
             for begin, stop in slices(column):
                 own = column.slice(begin, stop - begin)
                 lists = words_of(own)
                 coded = lists.flatten().dictionary_encode()
-                distinct = coded.dictionary.to_pylist()
-                logs = np.array([pieces.score(w) if w else (0.0,) * len(langs) for w in distinct])
-                logs = logs.reshape(len(distinct), len(langs))
+                logs = known.of(coded.dictionary.to_pylist(), own_pieces)
                 bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
                 found, sure = [], []
                 codes = coded.indices.to_numpy(zero_copy_only=False)
@@ -241,6 +348,6 @@ def identify(docs: DataFrame, model: tuple[list[str], dict[str, tuple[float, ...
     )
 
 
-def trained_on(docs: DataFrame, held_out: Column, **settings) -> tuple[list[str], dict[str, tuple[float, ...]]]:
+def trained_on(docs: DataFrame, held_out: Column, **settings) -> Model:
     """A model of the labelled rows that are not held out."""
     return train(docs.where(~held_out), **settings)

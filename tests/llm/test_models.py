@@ -21,42 +21,58 @@ def remainder(doc_id, parts):
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % parts
 
 
-def segmentations(word, table):
-    """Every way to cut a word into pieces and lone unknown characters."""
+NAMES = ["▁", "a", "b", "ab", "▁a", "aba", "▁ab", "ba", "▁zzx", "bcde"]
+
+
+def segmentations(word):
+    """Every way to cut a word into pieces and lone characters that are none, by piece number."""
     if not word:
         yield ()
     for k in range(1, len(word) + 1):
-        piece = word[:k]
-        if piece in table or k == 1:
-            for rest in segmentations(word[k:], table):
-                yield (piece if piece in table else language.UNKNOWN, *rest)
+        if word[:k] in NAMES or k == 1:
+            number = NAMES.index(word[:k]) if word[:k] in NAMES else len(NAMES)
+            for rest in segmentations(word[k:]):
+                yield (number, *rest)
 
 
 def pieces():
-    rng = np.random.default_rng(0)
-    names = ["▁", "a", "b", "ab", "▁a", "aba", "▁ab", "ba", language.UNKNOWN]
-    return language.Pieces({n: tuple(rng.random(2) / 5) for n in names})
+    shares = np.random.default_rng(0).random((len(NAMES) + 1, 2)) / 5
+    return language.Pieces(language.Vocabulary(NAMES), shares)
+
+
+WORDS = ["", "a", "abab", "xabay", "abababab", "zzz", "zzxa", "b", "bcd", "日本a"]
+
+
+def test_scores_sum_over_all_segmentations():
+    own = pieces()
+    together = own.scores(WORDS)
+    for word, found in zip(WORDS, together):
+        for k in range(2):
+            cuts = [math.prod(own.shares[p][k] for p in cut) for cut in segmentations(language.SPACE + word)]
+            assert math.isclose(found[k], math.log(sum(cuts)), rel_tol=1e-12)
+            assert math.isclose(own.score(word)[k], math.log(sum(cuts)), rel_tol=1e-12)
 
 
-@pytest.mark.parametrize("word", ["", "a", "abab", "xabay", "abababab", "zzz"])
-def test_scores_sum_over_all_segmentations(word):
+def test_uses_are_expected_over_all_segmentations():
     own = pieces()
-    for k in range(2):
-        cuts = [math.prod(own.table[p][k] for p in cut) for cut in segmentations(language.SPACE + word, own.table)]
-        assert math.isclose(own.score(word)[k], math.log(sum(cuts)), rel_tol=1e-12)
-        uses = Counter()
-        for cut, p in zip(segmentations(language.SPACE + word, own.table), cuts):
+    languages, counts = np.arange(len(WORDS)) % 2, np.arange(len(WORDS)) + 1
+    wanted = np.zeros(own.shares.shape)
+    for word, k, n in zip(WORDS, languages, counts):
+        cuts = {cut: math.prod(own.shares[p][k] for p in cut) for cut in segmentations(language.SPACE + word)}
+        for cut, p in cuts.items():
             for piece in cut:
-                uses[piece] += p / sum(cuts)
-        assert all(math.isclose(uses[p], n, rel_tol=1e-9) for p, n in own.uses(word, k).items())
+                wanted[piece, k] += n * p / sum(cuts.values())
+    assert np.allclose(own.uses(WORDS, languages, counts), wanted)
 
 
 def test_long_words_do_not_underflow():
     own = pieces()
     word = "abxab" * 4000
-    assert all(math.isfinite(s) and s < -1000 for s in own.score(word))
-    part = own.score("abxab" * 400)
-    assert all(math.isclose(w / 10, p, rel_tol=0.01) for w, p in zip(own.score(word), part))
+    assert all(math.isfinite(s) and s < -1000 for s in own.scores([word])[0])
+    part = own.scores(["abxab" * 400])[0]
+    assert np.allclose(own.scores([word])[0] / 10, part, rtol=0.01)
+    unlikely = language.Pieces(own.vocabulary, np.full(own.shares.shape, 1e-9))
+    assert np.isfinite(unlikely.scores(["x" * 60])).all() and not unlikely.uses(["x" * 60], np.zeros(1, int), np.ones(1)).any()
 
 
 def test_language_held_out(spark):
@@ -88,7 +104,8 @@ def test_language_reads_no_label_of_a_held_out_row(spark, sample):
     table = spark.read.parquet(f"{sample}/documents.parquet")
     held_out = fold(F.col("doc_id"), 4) == 2
     spoilt = table.withColumn("lang", F.when(held_out, F.lit("zz")).otherwise(F.col("lang")))
-    assert language.trained_on(spoilt, held_out) == language.trained_on(table, held_out)
+    (langs, names, shares), (others, same, again) = language.trained_on(spoilt, held_out), language.trained_on(table, held_out)
+    assert langs == others and names == same and np.allclose(shares, again, rtol=1e-9)
 
 
 def base_scores(rows):
