@@ -43,6 +43,8 @@ SPACE = "▁"  # stands before a word in the vocabulary
 TINY = 1e-200
 # Characters of a word that is handled together with others; longer ones are scored on their own and not learned from.
 LONG = 64
+# Words whose segmentations a task holds at once.
+TOGETHER = 20_000
 
 
 def vocabulary_pieces(path: str) -> list[str]:
@@ -170,11 +172,12 @@ class Pieces:
     def scores(self, words: list[str]) -> np.ndarray:
         """The logarithm of each word's probability in each language, summed over all segmentations."""
         found = np.zeros((len(words), self.shares.shape[1]))
-        short = [k for k, word in enumerate(words) if len(word) <= LONG]
-        if short and self.shares.shape[1]:
+        short = [k for k, word in enumerate(words) if len(word) <= LONG] if self.shares.shape[1] else []
+        for at in range(0, len(short), TOGETHER):
+            some = short[at : at + TOGETHER]
             with np.errstate(over="ignore", divide="ignore"):
-                lattice = Lattice([words[k] for k in short], self.vocabulary)
-                found[short] = np.log(lattice.forward(self.shares[lattice.number])[lattice.last])
+                lattice = Lattice([words[k] for k in some], self.vocabulary)
+                found[some] = np.log(lattice.forward(self.shares[lattice.number])[lattice.last])
         for k, word in enumerate(words):
             if len(word) > LONG or np.isneginf(found[k]).any():
                 found[k] = self.score(word)
