@@ -17,7 +17,7 @@ from ledgerloom.session import tuned
 
 # Rows of one Arrow batch, and bytes of text a task works on at once: they bound a Python worker's memory.
 BATCH_ROWS = 1000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")

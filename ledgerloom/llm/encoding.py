@@ -10,7 +10,7 @@ from ledgerloom.llm.common import kept_in_worker
 from ledgerloom.llm.pretokens import Gathered, Splitter, as_letters
 
 # Units whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 
 class ByteEncoder:

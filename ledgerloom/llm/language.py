@@ -36,7 +36,7 @@ ROUNDS = 2
 EXPECTATION_TASKS = 64
 # Added to every expected count.
 SMOOTHING = 0.1
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 SPACE = "▁"  # stands before a word in the vocabulary
