@@ -46,7 +46,7 @@ def test_stages_follow_brute_force(spark, sample):
 
     single = materialise(stages["near_duplicates"](spark, lined, sample), "single")
     before = sorted((tuple(r) for r in lined.collect()), key=lambda r: (r[0], r[1]))
-    pairs = brute.similar_pairs([(r[0], r[1]) for r in before])
+    pairs = brute.similar_pairs([(r[0], r[1]) for r in before], 80, 5)
     component = brute.connected({r[0] for r in before}, [(before[i][0], before[j][0]) for i, j in pairs])
     first = {}
     for r in before:
