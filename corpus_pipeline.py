@@ -16,8 +16,6 @@ from ledgerloom.session import materialise
 
 # A text whose best language is less likely than this is rejected.
 LEAST_SCORE = 0.5
-# Near duplicates have so much of their five-word shingles in common, in percent.
-SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +43,13 @@ def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group that shares 80% of its five-word shingles: the one with the smallest doc_id.
+    """Keep one document of each group of near duplicates: the one with the smallest doc_id.
+
+    Near duplicates are those of the n-gram join's contract: 90% of their three-word shingles in common.
 
     Of rows that share a doc_id the one with the smallest text stays. Rows without doc_id and texts without a word all stay.
     """
-    joined = ngram_join.ngram_join(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    first = joined.where("doc_id = component_id").select("doc_id").distinct()
+    first = ngram_join.ngram_join(docs).where("doc_id = component_id").select("doc_id").distinct()
     own = Window.partitionBy("doc_id").orderBy("text")
     rows = docs.where("doc_id IS NOT NULL").join(first, "doc_id").withColumn("_row", F.row_number().over(own))
     return rows.where("_row = 1").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
