@@ -3,8 +3,10 @@
 The global order of n-grams is the order of their 64-bit hashes. It is cut into fragments twice.
 
 Fine fragments find who may be similar: there are so many that two similar sets must agree on a whole fragment, whose
-members are signed with one number (``shingles.signatures``). Equal sets are one class first, so copies sign once. Classes
-that share a signature are connected, and what is connected is a cluster of candidates.
+members are signed with one number (``shingles.signatures``). Equal sets are one class first, so copies sign once. If few
+classes share a signature, each two of them are compared by size and by parities of their members, which rule out most pairs that
+share it by chance and never a similar one (``shingles.can_reach``); the rest are connected. If many share it, all are connected.
+What is connected is a cluster of candidates.
 
 Coarse fragments count: a task holds one or two blocks of a cluster, cuts their sets into fragments, counts the overlap of all
 pairs in each fragment on its own, sums the counts per pair, and compares with the threshold exactly. Blocks hold sets of
@@ -29,11 +31,13 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import prepared, slices, texts
 from ledgerloom.llm.graph import components
 from ledgerloom.llm.links import Links
-from ledgerloom.llm.shingles import digest, shingle_sets, signatures
-from ledgerloom.session import materialise
+from ledgerloom.llm.shingles import can_reach, digest, parities, shingle_sets, signatures
+from ledgerloom.session import discard, materialise
 
 WIDTH = 3
 PERCENT = 90
+# Classes that share a signature are compared two by two if there are no more than that.
+PAIRED = 16
 # Sets and n-grams of a block on average, and the factor between the sizes of a large cluster's bands.
 BLOCK_SETS = 1024
 BLOCK_GRAMS = 2 << 20
@@ -85,7 +89,7 @@ def similar(sets: list[np.ndarray], left: np.ndarray, same: bool, percent: int)
 
 
 def ngram_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, d1, d2, sigs): set size, digest and signatures of each document."""
+    """(doc_id, n, d1, d2, sigs, bits): set size, digest, signatures and parities of each document."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,6 +98,7 @@ def ngram_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 with np.errstate(over="ignore"):
                     sets = shingle_sets(column.slice(begin, stop - begin), width)
                     signed = [signatures(own, percent).view(np.int64) for own in sets]
+                    bits = [parities(own).tobytes() for own in sets]
                 digests = [digest(own) for own in sets]
                 offsets = np.cumsum([0, *map(len, signed)]).astype(np.int32)
                 yield pa.record_batch(
@@ -103,22 +108,44 @@ def ngram_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         pa.array([d[0] for d in digests], pa.int64()),
                         pa.array([d[1] for d in digests], pa.int64()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(signed))),
+                        pa.array(bits, pa.binary()),
                     ],
-                    names=["doc_id", "n", "d1", "d2", "sigs"],
+                    names=["doc_id", "n", "d1", "d2", "sigs", "bits"],
                 )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(read, "doc_id long, n long, d1 long, d2 long, sigs array<long>")
+    return source.mapInArrow(read, "doc_id long, n long, d1 long, d2 long, sigs array<long>, bits binary")
 
 
-def candidate_clusters(classes: DataFrame) -> DataFrame:
-    """Classes connected by shared signatures: (cid, cluster)."""
+def candidate_clusters(classes: DataFrame, percent: int) -> DataFrame:
+    """Classes (cid, n, sigs, bits) connected by shared signatures: (cid, cluster)."""
     signed = classes.select("cid", F.explode("sigs").alias("sig"))
     # Folded before the shuffle and written, so that a signature many classes share can be split in the join.
     shared = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("first")).where("size > 1")
-    shared = materialise(shared.select("sig", "first"), "shared-signatures")
-    edges = signed.join(shared.hint("merge"), "sig").select(F.col("cid").alias("a"), F.col("first").alias("b"))
-    return components(edges).select(F.col("node").alias("cid"), F.col("component").alias("cluster"))
+    shared = materialise(shared, "shared-signatures")
+    tied = materialise(signed.join(shared.hint("merge"), "sig"), "tied")
+    few = tied.where(F.col("size") <= PAIRED).groupBy("sig").agg(F.sort_array(F.collect_set("cid")).alias("cids"))
+    few = few.select("cids").distinct().select("cids", F.posexplode("cids").alias("at", "a"))
+    pairs = few.select("a", F.explode(F.slice("cids", F.col("at") + 2, PAIRED)).alias("b")).distinct()
+    many = tied.where(F.col("size") > PAIRED).select(F.col("cid").alias("a"), F.col("first").alias("b"))
+    return components(possible(pairs, classes, percent).unionByName(many.distinct())).select(
+        F.col("node").alias("cid"), F.col("component").alias("cluster")
+    )
+
+
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sizes and parities do not rule out the threshold."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [batch.column(name).to_pylist() for name in ("bits_a", "n_a", "bits_b", "n_b")]
+            keep = [can_reach(*pair, percent) for pair in zip(*sides)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    for side in ("a", "b"):
+        own = classes.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
+        pairs = pairs.join(own.hint("merge"), side)
+    return pairs.mapInArrow(choose, "a long, b long")
 
 
 def block_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -168,14 +195,17 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
     prepared(docs.sparkSession)
     sets = materialise(ngram_sets(docs, width, percent), "ngram-sets")
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(
-        F.min(F.struct("doc_id", "sigs")).alias("least"), F.count(F.lit(1)).alias("weight")
+        F.min(F.struct("doc_id", "sigs", "bits")).alias("least"), F.count(F.lit(1)).alias("weight")
     )
     classes = classes.select(
-        F.monotonically_increasing_id().alias("cid"), "n", "d1", "d2", "weight", "least.doc_id", "least.sigs"
+        F.monotonically_increasing_id().alias("cid"), "n", "d1", "d2", "weight", "least.doc_id", "least.sigs", "least.bits"
     )
     classes = materialise(classes, "ngram-classes")  # from here on the numbers are fixed
-    known = classes.drop("sigs")
-    clusters = materialise(candidate_clusters(classes), "clusters")
+    known = materialise(classes.drop("sigs", "bits"), "known-classes")
+    rows = materialise(sets.select("doc_id", "n", "d1", "d2"), "set-sizes")
+    discard(sets)
+    clusters = materialise(candidate_clusters(classes, percent), "clusters")
+    discard(classes)
     members = materialise(known.join(clusters, "cid"), "members")
 
     # A class is compared in as many tasks as its cluster has blocks of similar size.
@@ -232,7 +262,6 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
         (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
     )
     outcome = materialise(outcome, "classes-linked")
-    rows = sets.select("doc_id", "n", "d1", "d2")
     joined = rows.join(outcome, ["n", "d1", "d2"], "left")
     has_id = F.col("doc_id").isNotNull()
     return joined.select(

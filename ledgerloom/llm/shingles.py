@@ -140,3 +140,24 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
         sums, places = sums[signed], places[signed]
         found.append(mixed(sums + mixed(places.astype(np.uint64) * MIX + np.uint64(b))))
     return np.concatenate(found) if found else own[:0]
+
+
+def parities(own: np.ndarray) -> np.ndarray:
+    """One bit for each low end of a hash, set if an odd number of members has it: 2 to 4 bits a member, packed in bytes."""
+    width = 64
+    while width < 2 * len(own):
+        width *= 2
+    return np.packbits(np.bincount((own & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1)
+
+
+def can_reach(a: bytes, n_a: int, b: bytes, n_b: int, percent: int) -> bool:
+    """Whether sets of ``n_a`` and ``n_b`` members with these parities can have a Jaccard similarity of ``percent``.
+
+    Each bit that differs stands for a member of its own that only one of the sets has, so a similar pair is never ruled out.
+    """
+    if percent * max(n_a, n_b) > 100 * min(n_a, n_b):
+        return False
+    bits = [np.frombuffer(x, np.uint8) for x in (a, b)]
+    width = min(map(len, bits))
+    x, y = (np.bitwise_xor.reduce(own.reshape(-1, width)) for own in bits)
+    return int(np.bitwise_count(x ^ y).sum()) * (100 + percent) <= (n_a + n_b) * (100 - percent)

@@ -68,3 +68,11 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(written: DataFrame) -> None:
+    """Remove the folder of a table that ``materialise`` wrote and no later step reads."""
+    spark = written.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in written.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

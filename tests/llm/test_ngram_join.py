@@ -114,3 +114,35 @@ def test_components(spark):
     nodes = {n for a, b in links if a != b for n in (a, b)}
     assert {r.node: r.component for r in components(table).collect()} == brute.connected(nodes, links)
     assert components(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("paired", [0, 2, 16])
+def test_pairs_of_a_signature_are_ruled_out_without_loss(spark, monkeypatch, paired):
+    monkeypatch.setattr(ngram_join, "PAIRED", paired)
+    rows = planted(5)
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert rows_of(ngram_join.ngram_join(table, width=5, percent=80)) == brute.ngram_join(rows, 80, 5)
+
+
+def test_parities_rule_out_chance_and_no_similar_pair():
+    rng = np.random.default_rng(0)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    for n in (1, 3, 31, 32, 33, 70, 500, 3000):
+        for percent in (50, 80, 90):
+            base = draw(n)
+            for lost in range(0, n, max(1, n // 40)):
+                other = np.union1d(base[lost:], draw(rng.integers(0, n // 3 + 1)))
+                common, both = len(np.intersect1d(base, other)), len(np.union1d(base, other))
+                told = [(shingles.parities(s).tobytes(), len(s)) for s in (base, other)]
+                if 100 * common >= percent * both:
+                    assert shingles.can_reach(*told[0], *told[1], percent)
+        told = [(shingles.parities(s).tobytes(), len(s)) for s in (draw(n), draw(n))]
+        assert n < 31 or not shingles.can_reach(*told[0], *told[1], 80)
+
+
+def test_a_chance_tie_makes_no_cluster(spark):
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64)) for _ in range(2)]
+    rows = [(k, 400, [7], shingles.parities(s).tobytes()) for k, s in enumerate(sets)]
+    classes = spark.createDataFrame(rows, "cid long, n long, sigs array<long>, bits binary")
+    assert ngram_join.candidate_clusters(classes, 80).count() == 0

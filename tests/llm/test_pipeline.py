@@ -46,7 +46,7 @@ def test_stages_follow_brute_force(spark, sample):
 
     single = materialise(stages["near_duplicates"](spark, lined, sample), "single")
     before = sorted((tuple(r) for r in lined.collect()), key=lambda r: (r[0], r[1]))
-    pairs = brute.similar_pairs([(r[0], r[1]) for r in before])
+    pairs = brute.similar_pairs([(r[0], r[1]) for r in before], 80, 5)
     component = brute.connected({r[0] for r in before}, [(before[i][0], before[j][0]) for i, j in pairs])
     first = {}
     for r in before:
@@ -75,3 +75,14 @@ def test_special_cases_pass_every_stage(spark, sample):
 def test_run(spark, sample):
     rows = corpus_pipeline.run(spark, sample).collect()
     assert rows and {"doc_id", "sequence_id", "offset", "length"} <= set(rows[0].asDict())
+
+
+def test_near_duplicates_share_80_percent_of_five_words(spark, sample):
+    words = [f"w{k}" for k in range(200)]
+    replaced = [f"x{k}" if k in (20, 70, 120, 170) else w for k, w in enumerate(words)]  # 176 of 216, with three words 186 of 210
+    longer = words + [f"y{k}" for k in range(30)]  # 196 of 226
+    other = [f"x{k}" if k % 40 == 20 else w for k, w in enumerate(words)]  # 171 of 221: too few
+    rows = [(k, " ".join(text), "en", "s", None) for k, text in enumerate([words, replaced, longer, other])]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, table, sample)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 3]
