@@ -41,10 +41,11 @@ UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 SPACE = "▁"  # stands before a word in the vocabulary
 TINY = 1e-200
-# Characters of a word that is handled together with others; longer ones are scored on their own and not learned from.
+# Characters of a word whose sums are plain numbers; those of longer ones are scaled or logarithms.
 LONG = 64
-# Words whose segmentations a task holds at once.
+# Words whose segmentations a task holds at once, and characters of long ones; a longer word is held alone.
 TOGETHER = 20_000
+LONG_TOGETHER = 100_000
 
 
 def vocabulary_pieces(path: str) -> list[str]:
@@ -162,6 +163,25 @@ class Lattice:
                 sums[own[first]] = np.add.reduceat(sums[self.end[a:b]] * shares[a:b], first)
         return sums
 
+    def log_forward(self, logs: np.ndarray) -> np.ndarray:
+        """The logarithms of the sums that ``forward`` has; logs has one number for each step."""
+        sums = np.full(self.size, -np.inf)
+        sums[self.first] = 0
+        for a, b in zip(self.cuts[:-1], self.cuts[1:]):
+            sums[self.end[a:b]] = np.logaddexp(sums[self.end[a:b]], sums[self.start[a:b]] + logs[a:b])
+        return sums
+
+    def log_backward(self, logs: np.ndarray) -> np.ndarray:
+        """The logarithms of the sums that ``backward`` has."""
+        sums = np.full(self.size, -np.inf)
+        sums[self.last] = 0
+        for a, b in zip(self.cuts[-2::-1], self.cuts[:0:-1]):
+            if a < b:
+                own = self.start[a:b]
+                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                sums[own[first]] = np.logaddexp.reduceat(sums[self.end[a:b]] + logs[a:b], first)
+        return sums
+
 
 class Pieces:
     """Piece probabilities for a fixed list of languages: one row for each piece and one for a lone character."""
@@ -208,8 +228,27 @@ class Pieces:
     def uses(self, words: list[str], languages: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The expected number of uses of each piece in each language, summed over words with a language and a count.
 
-        Nothing for a word whose probability is too small for a number.
+        Nothing for a word whose probability is too small for a number; ``all_uses`` counts these as well.
         """
+        return self._uses(words, languages, counts)[0]
+
+    def all_uses(self, words: list[str], languages: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The same for every word.
+
+        Words that are long, or whose probability is too small for a number, are counted by logarithms.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        short = np.flatnonzero(sizes <= LONG)
+        total, left = self._uses([words[k] for k in short], languages[short], counts[short])
+        rest = np.concatenate([short[left], np.flatnonzero(sizes > LONG)])
+        rest = rest[np.argsort(sizes[rest], kind="stable")]
+        held = np.cumsum(sizes[rest] + 1)
+        for some in np.split(rest, np.flatnonzero(np.diff(held // LONG_TOGETHER)) + 1) if len(rest) else []:
+            total += self._log_uses([words[k] for k in some], languages[some], counts[some])
+        return total
+
+    def _uses(self, words: list[str], languages: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The expected uses by plain numbers, and the words for which they are too small."""
         with np.errstate(over="ignore"):
             lattice = Lattice(words, self.vocabulary)
         shares = self.shares[lattice.number, languages[lattice.word]]
@@ -217,8 +256,20 @@ class Pieces:
         whole = forward[lattice.last]
         weight = np.where(whole > TINY, counts / np.maximum(whole, TINY), 0.0)
         parts = forward[lattice.start] * shares * backward[lattice.end] * weight[lattice.word]
+        return self._by_piece(lattice, languages, parts), np.flatnonzero(whole <= TINY)
+
+    def _log_uses(self, words: list[str], languages: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            lattice = Lattice(words, self.vocabulary)
+        logs = np.log(self.shares[lattice.number, languages[lattice.word]])
+        forward, backward = lattice.log_forward(logs), lattice.log_backward(logs)
+        whole = forward[lattice.last][lattice.word]
+        parts = np.exp(forward[lattice.start] + logs + backward[lattice.end] - whole) * counts[lattice.word]
+        return self._by_piece(lattice, languages, parts)
+
+    def _by_piece(self, lattice: Lattice, languages: np.ndarray, parts: np.ndarray) -> np.ndarray:
         cell = lattice.number * self.shares.shape[1] + languages[lattice.word]
-        return np.bincount(cell, parts, self.shares.size).reshape(self.shares.shape)
+        return np.bincount(cell, parts, self.shares.size).reshape(self.shares.shape).astype(float)
 
 
 def training_words(docs: DataFrame, sample_docs: int) -> DataFrame:
@@ -296,9 +347,8 @@ def train(docs: DataFrame, vocabulary: str = PIECES, sample_docs: int = SAMPLE_D
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, sums = Pieces(Vocabulary(shared.value[0]), shared.value[1]), np.zeros(shared.value[1].shape)
             for batch in batches:
-                batch = batch.filter(pc.less_equal(pc.utf8_length(batch.column(1)), LONG))
                 spoken = np.array([langs.index(lang) for lang in batch.column(0).to_pylist()], np.int64)
-                sums += own.uses(batch.column(1).to_pylist(), spoken, batch.column(2).to_numpy())
+                sums += own.all_uses(batch.column(1).to_pylist(), spoken, batch.column(2).to_numpy())
             piece, lang = np.nonzero(sums)
             yield pa.record_batch([pa.array(piece), pa.array(lang), pa.array(sums[piece, lang])], names=["piece", "lang", "uses"])
 

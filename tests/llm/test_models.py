@@ -65,6 +65,32 @@ def test_uses_are_expected_over_all_segmentations():
     assert np.allclose(own.uses(WORDS, languages, counts), wanted)
 
 
+def test_uses_of_long_and_unlikely_words(monkeypatch):
+    own = pieces()
+    languages, counts = np.arange(len(WORDS)) % 2, np.arange(len(WORDS)) + 1
+    wanted = own.uses(WORDS, languages, counts)
+    assert np.allclose(own.all_uses(WORDS, languages, counts), wanted)
+    monkeypatch.setattr(language, "LONG", 2)
+    monkeypatch.setattr(language, "LONG_TOGETHER", 9)
+    assert np.allclose(own.all_uses(WORDS, languages, counts), wanted)
+    monkeypatch.undo()
+    unlikely = language.Pieces(own.vocabulary, own.shares * 1e-40)
+    lone = unlikely.all_uses(["zzzzzzz"], np.zeros(1, np.int64), np.array([3]))  # about 1e-320: no plain number
+    assert np.isclose(lone[len(NAMES), 0], 3 * 7) and np.isclose(lone[0, 0], 3)
+    long = own.all_uses(["zq" * 3000], np.ones(1, np.int64), np.array([2]))
+    assert np.isclose(long[len(NAMES), 1], 2 * 6000)
+
+
+def test_language_learns_from_texts_without_spaces(spark):
+    rng = np.random.default_rng(0)
+    letters = {"ja": list("のにはをたがでてとし"), "zh": list("的一是不了人我在有他")}
+    rows = [(k, "".join(rng.choice(letters[lang], 200)), lang) for lang in letters for k in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.trained_on(table, F.col("doc_id") % 4 == 0)
+    found = language.identify(table, model).collect()
+    assert all(r.lang_pred == r.row.lang and r.score > 0.99 for r in found)
+
+
 def test_long_words_do_not_underflow():
     own = pieces()
     word = "abxab" * 4000
