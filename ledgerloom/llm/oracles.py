@@ -86,4 +86,21 @@ ORACLES: dict[str, str] = {
         SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(s.k) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (s.k IS NULL), '')) AS kept_sha256
         FROM keyed LEFT JOIN shared s USING (k) GROUP BY r""",
+    "op11_fill_middle": """
+        WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+        drawn AS (
+            SELECT doc_id, t, length(t) AS n, ('0x' || d[1:8])::BIGINT % (length(t) + 1) AS a,
+                   ('0x' || d[9:16])::BIGINT % (length(t) + 1) AS b,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                             OR ('0x' || d[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+                        WHEN ('0x' || d[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM texts),
+        cut AS (SELECT *, t[:least(a, b)] AS prefix, t[least(a, b) + 1:greatest(a, b)] AS middle,
+                       t[greatest(a, b) + 1:] AS suffix FROM drawn)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN abs(a - b) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM cut""",
 }

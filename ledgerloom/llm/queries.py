@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import (
     bpe,
     chat,
+    fill_middle,
     language,
     lines,
     maxent,
     near_vectors,
     ngram_join,
     packing,
+    periodic,
+    pieces,
     token_files,
     topk,
 )
@@ -111,3 +114,34 @@ def op10_token_files(spark, folder):
     read = token_files.read_token_files(spark, data_set)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
+@query
+def op11_fill_middle(spark, folder):
+    made = fill_middle.fill_in_middle(table(spark, folder, "documents"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fill_middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+@query
+def op12_periodic_runs(spark, folder):
+    docs = table(spark, folder, "documents")
+    planted = docs.select("doc_id", periodic.with_planted_runs(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic.digests(periodic.periodic_runs(planted))
+
+
+@query
+def op13_sentence_pieces(spark, folder):
+    coded = pieces.encode_decode(table(spark, folder, "documents"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
