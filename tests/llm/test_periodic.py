@@ -26,9 +26,10 @@ def plain_runs(words):
             while j + q < n and words[j] == words[j + q]:
                 j += 1
             length = j - i + q
-            shorter = any(all(words[x] == words[x + r] for x in range(i, i + length - r)) for r in range(1, q))
-            if j > i and length >= max(6, 4 * q) and not shorter:
-                found.append((i, length, q))
+            if length >= max(6, 4 * q):
+                shorter = any(all(words[x] == words[x + r] for x in range(i, i + length - r)) for r in range(1, q))
+                if not shorter:
+                    found.append((i, length, q))
             i = j + 1
     return sorted(found, key=lambda run: (run[0], run[2]))
 
