@@ -363,11 +363,11 @@ def with_planted_runs(key: Column, text: Column) -> Column:
     h = F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))
     g = F.floor(h / 10)
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    n = F.size(words).cast("long")
-    a = g % n
-    period = 1 + F.floor((n - a) / (3 + g % 8))
-    places = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % period))
-    planted = F.array_join(F.transform(places, lambda i: F.get(words, i.cast("int"))), " ")
+    n = F.size(words)
+    a = (g % n).cast("int")
+    period = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice(words, a + 1, period), F.ceil((n - a) / period).cast("int")))
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(repeated, F.lit(1), n - a)), " ")
     return F.when((h % 10 != 0) | text.isNull() | (n < 1), text).otherwise(planted)
 
 
