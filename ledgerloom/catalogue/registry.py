@@ -8,14 +8,17 @@ from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.catalogue.proxy import PARTS, best_threshold, proxy_scores, with_proxy_score
-from ledgerloom.catalogue.views import CUTOFF, PANEL_CUTOFFS, SampleWarehouse
+from ledgerloom.catalogue.views import CUTOFF, PANEL_CUTOFFS, WEEKLY_CUTOFFS, SampleWarehouse
 from ledgerloom.operators import (
     attribution,
+    daily,
+    ensembles,
     metrics,
     models,
     payments,
@@ -25,6 +28,7 @@ from ledgerloom.operators import (
     splits,
     threshold,
     tiers,
+    tweedie,
     value,
 )
 from ledgerloom.plans import feature_store as features
@@ -177,6 +181,12 @@ def feature_store_panel(w):
     return store(w, PANEL_CUTOFFS)
 
 
+@query
+def feature_store_weekly(w):
+    """A training panel of 26 weekly cutoffs."""
+    return store(w, WEEKLY_CUTOFFS)
+
+
 @query
 def payment_rail_summary(w):
     return reporting.payment_rail_summary(w.transactions)
@@ -205,21 +215,51 @@ def account_history(w):
     return plain(reporting.balance_history(w.balances, "ACC-000000007"))
 
 
-def lookup(w: SampleWarehouse, name: str) -> DataFrame:
-    """A fact of the written warehouse, whose files are sorted by account, for lookups of one account."""
-    folder = scratch_path(w.spark, "facts")
-    sinks.write_parquet(w.contract_tables()[name], folder, TABLES[name])
-    return readers.read_parquet(w.spark, folder, TABLES[name])
+# Buckets of the sample warehouse; a large one takes some thousands.
+BUCKETS = 8
+_written: dict[tuple[str, str], str] = {}
+
+
+def stored(w: SampleWarehouse) -> str:
+    """The bucketed warehouse of the sample, written once a session: accounts, facts, and the facts folded to account-days."""
+    key = (w.spark.sparkContext.applicationId, w.folder)
+    if key not in _written:
+        folder, tables = scratch_path(w.spark, "stored"), w.contract_tables()
+        for name in ("dim_plans", "dim_accounts", "fact_transactions", "fact_daily_balances"):
+            sinks.write_parquet(tables[name], folder, TABLES[name], BUCKETS)
+        facts = {t.name: tables["fact_" + t.name.removeprefix("daily_")] for t in (daily.DAILY_TRANSACTIONS, daily.DAILY_TELEMETRY)}
+        for table in (daily.DAILY_TRANSACTIONS, daily.DAILY_TELEMETRY):
+            sinks.write_parquet(daily.folded(facts[table.name], table), folder, table, BUCKETS)
+        _written[key] = folder
+    return _written[key]
 
 
 @query
 def account_balance_history(w):
-    return plain(reporting.balance_history(lookup(w, "fact_daily_balances"), "ACC-000000007"))
+    facts = readers.table(w.spark, stored(w), "fact_daily_balances")
+    return plain(reporting.balance_history(facts, "ACC-000000007"))
 
 
 @query
 def account_transaction_history(w):
-    return plain(reporting.transaction_history(lookup(w, "fact_transactions"), "ACC-000000007"))
+    facts = readers.table(w.spark, stored(w), "fact_transactions")
+    return plain(reporting.transaction_history(facts, "ACC-000000007"))
+
+
+@query
+def colocated_feature_store(w):
+    """The feature store over account-days in buckets of accounts: no fact is shuffled."""
+    folder, (since, until) = stored(w), look_back()
+    fact = lambda table: readers.read_parquet(w.spark, folder, table, since, until)
+    built = features.feature_store(
+        readers.table(w.spark, folder, "dim_accounts"),
+        readers.table(w.spark, folder, "dim_plans"),
+        fact(daily.DAILY_TRANSACTIONS),
+        fact(daily.DAILY_BALANCES),
+        fact(daily.DAILY_TELEMETRY),
+        CUTOFF,
+    )
+    return rounded(built, "balance_volatility_30d")
 
 
 @query
@@ -237,6 +277,11 @@ def churn_rate_by_segment(w):
     return reporting.churn_rate_by(w.accounts, "industry", "company_size")
 
 
+@query
+def churn_rate_bootstrap(w):
+    return reporting.bootstrap_churn_rate(w.accounts, "industry", "company_size")
+
+
 @query
 def feature_label_correlation(w):
     return reporting.feature_label_correlation(materialise(store(w), "features"))
@@ -280,9 +325,22 @@ def clv_label(w):
 def clv_split_medians(w):
     cents = F.round(F.col("value_12m") * 100).cast("long").alias("cents")
     split = splits.random_split(valued(w)).select("is_test", cents)
-    return splits.exact_median(materialise(split, "values"), "is_test", "cents").select(
-        "is_test", (F.col("median") / 100).alias("median_value_12m")
+    return splits.exact_median(split, "is_test", "cents").select("is_test", (F.col("median") / 100).alias("median_value_12m"))
+
+
+@query
+def median_of_any_numbers(w):
+    """Doubles, and whole numbers over the full 64 bits."""
+    serial = F.substring("account_id", 5, 9).cast("long")
+    rows = materialise(splits.random_split(valued(w)).select(
+        "is_test",
+        (F.col("value_12m") / 3 - 5000).alias("double"),
+        ((serial * 7919 % 2000003 - 1000001) * F.lit(9223354444668)).alias("long"),
+    ), "numbers")
+    found = lambda kind, scale, digits: splits.exact_median(rows, "is_test", kind).select(
+        "is_test", F.lit(kind).alias("kind"), F.round(F.col("median") / scale, digits).alias("median")
     )
+    return found("double", 1.0, 6).unionByName(found("long", 1e12, 3))
 
 
 def scored(w: SampleWarehouse) -> DataFrame:
@@ -536,6 +594,11 @@ def serving_table(w):
 
 # Models. One training per session and folder serves all queries that need a model.
 
+# The sample's label has no signal, so boosting with a long patience would only grow trees that are cut off again.
+CHURN = models.ChurnSettings(patience=5)
+# Few large steps, to show the fit; the defaults are for real training.
+TWEEDIE = tweedie.TweedieSettings(rounds=8, patience=3, learning_rate=0.4, depth=4)
+
 _trained: dict[tuple, tuple] = {}
 
 
@@ -543,7 +606,7 @@ def trained(w: SampleWarehouse) -> tuple[DataFrame, jobs.ChurnTraining]:
     key = ("churn", w.spark.sparkContext.applicationId, w.folder)
     if key not in _trained:
         snapshot = materialise(store(w), "features")
-        _trained[key] = snapshot, jobs.train_churn(snapshot)
+        _trained[key] = snapshot, jobs.train_churn(snapshot, CHURN)
     return _trained[key]
 
 
@@ -593,10 +656,14 @@ def clv_predictions(w):
     return models.value_predictions(trained_value(w).model, rows).select("account_id", "value_12m", "predicted_value")
 
 
+def fit_tweedie(train: DataFrame):
+    return models.fit_tweedie_value_model(train, settings=TWEEDIE)
+
+
 @query
 def clv_model_metrics(w):
-    """Both value models on the same hold-out."""
-    fits = {"tweedie": models.fit_value_model, "boosted": models.fit_boosted_value_model}
+    """The value models on the same hold-out."""
+    fits = {"tweedie": models.fit_value_model, "boosted": models.fit_boosted_value_model, "boosted_tweedie": fit_tweedie}
     rows = [
         metrics.regression_metrics(trained_value(w, fit).tested, "value_12m", "predicted_value").select(
             F.lit(name).alias("model"), "*"
@@ -719,11 +786,117 @@ def fixed_trees() -> list[attribution.Leaf]:
 TREE_FEATURES = ("tenure_days", "failed_tx_rate_30d", "current_plan_id", "logins_30d")
 
 
+def tree_vector() -> Column:
+    return array_to_vector(F.array(*(F.col(name).cast("double") for name in TREE_FEATURES)))
+
+
+# A tree as nested tuples: (feature, cut or left categories, left, right), or a leaf's value.
+STOPPING_TREES = (
+    ("tenure_days", 700.0, 0.4, -0.5),
+    ("current_plan_id", [1.0, 3.0], ("logins_30d", 1.0, 0.3, 0.1), -0.2),
+    ("failed_tx_rate_30d", 0.05, -0.25, 0.35),
+    ("tenure_days", 1500.0, -0.3, 0.6),
+    ("logins_30d", 0.0, 0.2, -0.1),
+)
+
+
+def tree_table(tree) -> dict[str, list]:
+    """A nested tree as the columns that prefix measures take."""
+    columns: dict[str, list] = {name: [] for name in ("feature", "cut", "goes_left", "left", "right", "value")}
+
+    def add(node) -> int:
+        place = len(columns["feature"])
+        inner = isinstance(node, tuple)
+        own = (TREE_FEATURES.index(node[0]) if inner else -1, 0.0, None, -1, -1, 0.0 if inner else node)
+        for column, x in zip(columns.values(), own):
+            column.append(x)
+        if inner:
+            columns["goes_left" if isinstance(node[1], list) else "cut"][place] = node[1]
+            columns["left"][place], columns["right"][place] = add(node[2]), add(node[3])
+        return place
+
+    add(tree)
+    return columns
+
+
+@query
+def churn_stopping_curve(w):
+    """Loss and area under ROC of every prefix of known trees, and where a patience of two rounds ends."""
+    rows = store(w).select(tree_vector().alias(models.FEATURES), "churn_next_60d")
+    counts = ensembles.prefix_counts(rows, [tree_table(t) for t in STOPPING_TREES], models.FEATURES, "churn_next_60d")
+    curve = ensembles.stopping_curve(ensembles.prefix_measures(counts), 2)
+    return rounded(curve, "log_loss", "roc_auc", digits=9)
+
+
+@query
+def tweedie_fixed_rounds(w):
+    """Two rounds on known leaves, their values from folded sums, put together as a model that is saved and loaded."""
+    names = ("current_plan_id", "tx_count_90d", "tenure_days")
+    vector = array_to_vector(F.array(*(F.col(name).cast("double") for name in names)))
+    rows = materialise(valued(w).select("account_id", "value_12m", *names, vector.alias(models.FEATURES)), "valued")
+    plan, count, tenure = (F.col(name) for name in names)
+    leaves = (F.when(plan == 1, 0).when(count <= 50, 1).otherwise(2), F.when(tenure <= 1000, 0).otherwise(1))
+    nested = ((0, 1.5, None, (1, 50.0, None, None)), (2, 1000.0, None, None))
+    base = rows.agg(F.ln(F.avg("value_12m"))).first()[0]
+    settings, margin, trees = tweedie.TweedieSettings(learning_rate=0.3), F.lit(base), []
+    for number, (leaf, shape) in enumerate(zip(leaves, nested)):
+        sums = tweedie.leaf_sums(rows, leaf, F.col("value_12m"), margin, settings.power, F.lit(False).alias("held_back"))
+        found = {row.leaf: row.step for row in tweedie.stepped(sums, settings).collect()}
+        steps = [found.get(k, 0.0) for k in range(3 - number)]
+        margin = margin + F.element_at(F.lit(steps), leaf + 1)
+        own = [base + s for s in steps] if number == 0 else steps
+        trees.append((ensembles.tree_notes(w.spark), ensembles.nested_nodes(shape, own)))
+    estimator = GBTRegressor(featuresCol=models.FEATURES, predictionCol=models.LOG_MEAN)
+    model = ensembles.boosted_regression(w.spark, estimator, trees, len(names))
+    loaded = GBTRegressionModel.load(ensembles.saved(model, w.spark))
+    return loaded.transform(rows).select("account_id", F.round(F.exp(models.LOG_MEAN), 4).alias("predicted_value"))
+
+
+@query
+def model_reload_checks(w):
+    """Both models saved and loaded: every account scores as before."""
+    snapshot, training = trained(w)
+    fitted = {"p": training.model, "v": trained_value(w).model}
+    score = {
+        "p": lambda m: models.churn_predictions(m, snapshot).select("account_id", F.col("churn_probability").alias("x")),
+        "v": lambda m: models.value_predictions(m, snapshot).select("account_id", F.col("predicted_value").alias("x")),
+    }
+    same = []
+    for name, model in fitted.items():
+        path = scratch_path(w.spark, "model")
+        models.save_model(model, path)
+        before, after = score[name](model), score[name](models.load_model(path))
+        pairs = before.join(after.withColumnRenamed("x", "y"), "account_id")
+        same.append(pairs.select("account_id", (F.col("x") == F.col("y")).alias(name)))
+    return same[0].join(same[1], "account_id").select("account_id", F.col("p").alias("same_probability"), F.col("v").alias("same_value"))
+
+
+@query
+def metadata_round_trip(w):
+    """The notes on a model, here on the fixed score, written as JSON and read back."""
+    path = scratch_path(w.spark, "metadata")
+    models.save_metadata(models.metadata_of(scored(w), "fixed score", len(PARTS), list(PARTS)), path)
+    read = w.spark.read.schema(models.METADATA_SCHEMA).json(path)
+    money = "financial_optimization."
+    return read.select(
+        "model_type", "best_iteration", "optimal_threshold", "metrics.*",
+        *(money + n for n in ("max_net_savings_test_set_usd", "default_0_5_savings_usd", "value_added_usd")),
+    )
+
+
+@query
+def global_attribution_fixed_trees(w):
+    """The ranking over known trees, written as JSON and read back."""
+    rows = store(w).select("account_id", tree_vector().alias(models.FEATURES))
+    ranking, path = attribution.global_attribution(rows, fixed_trees(), TREE_FEATURES), scratch_path(w.spark, "ranking")
+    sinks.write_json(ranking, path)
+    return rounded(w.spark.read.schema(ranking.schema).json(path), "mean_abs_contribution", digits=9)
+
+
 @query
 def attribution_fixed_trees(w):
     """The attribution code over the feature store with known trees, so that SQL can work out the definition."""
-    vector = array_to_vector(F.array(*(F.col(name).cast("double") for name in TREE_FEATURES)))
-    rows = store(w).select("account_id", vector.alias(models.FEATURES))
+    rows = store(w).select("account_id", tree_vector().alias(models.FEATURES))
     contributed_rows = attribution.with_contributions(rows, fixed_trees())
     long = attribution.local_attribution(contributed_rows, TREE_FEATURES)
     return rounded(long, "contribution", digits=9)

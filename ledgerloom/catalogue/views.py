@@ -18,6 +18,7 @@ from ledgerloom.operators.payments import with_failure_reason, with_fees
 
 CUTOFF = "1996-10-31"
 PANEL_CUTOFFS = ("1996-08-31", "1996-09-30", "1996-10-31")
+WEEKLY_CUTOFFS = tuple(str(date(1996, 5, 3) + timedelta(weeks=k)) for k in range(26))
 
 # The three subscription plans.
 PLANS = (

@@ -1,11 +1,11 @@
-"""The models on Spark ML: a boosted-tree churn classifier, and a Tweedie or boosted-tree value regressor."""
+"""The models on Spark ML: a boosted-tree churn classifier, and value regressors (Tweedie boosting, Tweedie regression, boosted logs)."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators import ensembles, tweedie
+from ledgerloom.operators.ensembles import best_round, stopping_curve
 from ledgerloom.operators.metrics import classification_metrics
 from ledgerloom.operators.splits import BUCKETS, hash_bucket, positive_weight
 from ledgerloom.operators.threshold import threshold_value_added
@@ -24,14 +26,17 @@ from ledgerloom.sources.sinks import write_json
 FEATURES = "features"
 VALUE_FEATURES = "value_features"
 VALIDATION_SEED = 43
+# Rounds of the first churn fit beyond the patience.
+FIRST_ROUNDS = 10
 
 
 @dataclass(frozen=True)
 class ChurnSettings:
     """Boosting parameters; the share of features applies to every split.
 
-    ``rounds`` is an upper limit: boosting ends at the first round that lowers the loss on the validation share by less
-    than ``tolerance``. ``validation_share`` of the training accounts, chosen by hash, only decides that and is not fitted.
+    ``rounds`` is an upper limit: boosting ends at the first round where the logarithmic loss or the area under ROC of the validation
+    share has not improved for ``patience`` rounds, and the rounds up to that measure's best one stay. ``validation_share`` of the
+    training accounts, chosen by hash, only decides that and is not fitted; without it all rounds stay.
     """
 
     rounds: int = 500
@@ -42,7 +47,7 @@ class ChurnSettings:
     row_share: float = 1.0
     feature_share: float = 0.8
     validation_share: float = 0.15
-    tolerance: float = 0.0
+    patience: int = 30
     seed: int = 42
 
 
@@ -91,7 +96,12 @@ def positive_probability(probability: str = "probability") -> Column:
 
 
 def fit_churn_model(train: DataFrame, settings: ChurnSettings = ChurnSettings(), unseen: str = "error") -> PipelineModel:
-    """Fit encoder and classifier, once. Positives are weighted up to balance the classes."""
+    """Fit encoder and classifier. Positives are weighted up to balance the classes.
+
+    A fit of few rounds is measured at every prefix in one pass; if patience has not run out it is made anew with twice the rounds. The
+    seed fixes the trees, so a longer fit begins with the shorter one, and all fits together cost less than twice the last.
+    """
+    spark = train.sparkSession
     counts = train.agg(F.sum(LABEL).alias("p"), F.count(F.lit(1)).alias("n"))
     weight = counts.select(positive_weight(F.col("p"), F.col("n"))).first()[0]  # one number
     ready = train.withColumns({
@@ -101,14 +111,30 @@ def fit_churn_model(train: DataFrame, settings: ChurnSettings = ChurnSettings(),
     held_back = hash_bucket(F.col("account_id"), VALIDATION_SEED) < int(settings.validation_share * BUCKETS)
     encoder = Pipeline(stages=feature_stages(unseen)).fit(ready)
     assembled = encoder.transform(ready).select(FEATURES, "label", "weight", held_back.alias("held_back"))
-    shared_folder(train.sparkSession)  # boosting cuts its lineage there every few rounds
-    classifier = GBTClassifier(
+    assembled = materialise(assembled, "assembled")  # read by every fit and by the measures
+    watched = assembled.where("held_back")
+    rounds = settings.rounds if watched.isEmpty() else min(settings.rounds, settings.patience + FIRST_ROUNDS)
+    while True:
+        classifier = fit_rounds(assembled.where("NOT held_back"), settings, rounds)
+        if watched.isEmpty():
+            break
+        curve = stopping_curve(ensemble_measures(classifier, watched), settings.patience)
+        best, ended = best_round(curve, settings.patience)
+        if ended or rounds >= settings.rounds:
+            classifier = ensembles.first_rounds(classifier, best, spark)
+            break
+        rounds = min(settings.rounds, 2 * rounds)
+    return PipelineModel(stages=[*encoder.stages, classifier])
+
+
+def fit_rounds(rows: DataFrame, settings: ChurnSettings, rounds: int) -> GBTClassificationModel:
+    """The classifier with exactly ``rounds`` trees."""
+    shared_folder(rows.sparkSession)  # boosting cuts its lineage there every few rounds
+    return GBTClassifier(
         featuresCol=FEATURES,
         labelCol="label",
         weightCol="weight",
-        validationIndicatorCol="held_back",
-        validationTol=settings.tolerance,
-        maxIter=settings.rounds,
+        maxIter=rounds,
         maxDepth=settings.depth,
         maxBins=settings.max_bins,
         stepSize=settings.learning_rate,
@@ -117,8 +143,13 @@ def fit_churn_model(train: DataFrame, settings: ChurnSettings = ChurnSettings(),
         featureSubsetStrategy=str(settings.feature_share),
         seed=settings.seed,
         checkpointInterval=10,
-    ).fit(assembled)
-    return PipelineModel(stages=[*encoder.stages, classifier])
+    ).fit(rows)
+
+
+def ensemble_measures(classifier: GBTClassificationModel, rows: DataFrame) -> DataFrame:
+    """Loss and area under ROC of the first k rounds, for every k: (round, log_loss, roc_auc)."""
+    trees = ensembles.tree_tables(classifier, rows.sparkSession)
+    return ensembles.prefix_measures(ensembles.prefix_counts(rows, trees, FEATURES, "label"))
 
 
 def transformed(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -162,12 +193,13 @@ def fit_value_model(train: DataFrame, target: str = "value_12m", unseen: str = "
 
 
 LOG_FORECAST = "log_value_forecast"
+LOG_MEAN = "log_mean_forecast"
 
 
 def fit_boosted_value_model(
     train: DataFrame, target: str = "value_12m", settings: ChurnSettings = ChurnSettings(), unseen: str = "error"
 ) -> PipelineModel:
-    """Boosted trees on log(1 + value), with the churn model's parameters and its way to stop early."""
+    """Boosted trees on log(1 + value), with the churn model's parameters; they end at the first round that lowers no loss."""
     held_back = hash_bucket(F.col("account_id"), VALIDATION_SEED) < int(settings.validation_share * BUCKETS)
     ready = log_scaled(train).withColumns({"log_value": F.log1p(F.col(target)), "held_back": held_back})
     shared_folder(train.sparkSession)
@@ -176,7 +208,7 @@ def fit_boosted_value_model(
         labelCol="log_value",
         predictionCol=LOG_FORECAST,
         validationIndicatorCol="held_back",
-        validationTol=settings.tolerance,
+        validationTol=0.0,
         maxIter=settings.rounds,
         maxDepth=settings.depth,
         maxBins=settings.max_bins,
@@ -190,11 +222,28 @@ def fit_boosted_value_model(
     return Pipeline(stages=[*feature_stages(unseen, VALUE_FEATURES, log_scale=True), regressor]).fit(ready)
 
 
+def fit_tweedie_value_model(
+    train: DataFrame,
+    target: str = "value_12m",
+    settings: tweedie.TweedieSettings = tweedie.TweedieSettings(),
+    unseen: str = "error",
+    validation_share: float = 0.15,
+) -> PipelineModel:
+    """Boosted trees on the Tweedie deviance (variance power 1.5, log link), stopped by a hash-chosen share of the accounts."""
+    held_back = hash_bucket(F.col("account_id"), VALIDATION_SEED) < int(validation_share * BUCKETS)
+    ready = log_scaled(train)
+    encoder = Pipeline(stages=feature_stages(unseen, VALUE_FEATURES, log_scale=True)).fit(ready)
+    rows = encoder.transform(ready).select(VALUE_FEATURES, target, held_back.alias("held_back"))
+    fitted = tweedie.fit(rows, VALUE_FEATURES, target, "held_back", LOG_MEAN, settings)
+    return PipelineModel(stages=[*encoder.stages, fitted.model])
+
+
 def value_predictions(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """The rows with ``predicted_value``: the forecast of either value model, at least the floor."""
+    """The rows with ``predicted_value``: the forecast of any of the value models, at least the floor."""
     forecast = transformed(model, log_scaled(features))
     scratch = [c for c in forecast.columns if c not in features.columns]
-    value = F.expm1(LOG_FORECAST) if LOG_FORECAST in forecast.columns else F.col("value_forecast")
+    scales = {LOG_FORECAST: F.expm1(F.col(LOG_FORECAST)), LOG_MEAN: F.exp(F.col(LOG_MEAN)), "value_forecast": F.col("value_forecast")}
+    value = next(scale for name, scale in scales.items() if name in forecast.columns)
     return forecast.withColumn("predicted_value", F.greatest(value, F.lit(PREDICTION_FLOOR))).drop(*scratch)
 
 
@@ -216,22 +265,21 @@ METADATA_SCHEMA = T.StructType([
 ])
 
 
-def churn_metadata(model: PipelineModel, tested: DataFrame) -> DataFrame:
-    """One row on a fitted classifier: rounds, hold-out metrics, the best threshold and its worth, slot names."""
+def metadata_of(tested: DataFrame, model_type: str, rounds: int, names: list[str]) -> DataFrame:
+    """One row on a scored hold-out: metrics, the best threshold and its worth."""
     read = materialise(tested.select(LABEL, "churn_probability", "current_mrr"), "tested")
     quality = classification_metrics(read, LABEL, "churn_probability").first()
     money = threshold_value_added(read, "churn_probability", LABEL, "current_mrr").first()
-    row = (
-        "Gradient-boosted tree classifier",
-        model.stages[-1].getNumTrees,
-        money["optimal_threshold"],
-        tuple(None if m is None else round(m, 4) for m in quality),
-        tuple(money),
-        feature_names(tested),
-    )
+    metrics = tuple(None if m is None else round(m, 4) for m in quality)
+    row = (model_type, rounds, money["optimal_threshold"], metrics, tuple(money), names)
     return tested.sparkSession.createDataFrame([row], METADATA_SCHEMA)
 
 
+def churn_metadata(model: PipelineModel, tested: DataFrame) -> DataFrame:
+    """One row on a fitted classifier: rounds, hold-out metrics, the best threshold and its worth, slot names."""
+    return metadata_of(tested, "Gradient-boosted tree classifier", model.stages[-1].getNumTrees, feature_names(tested))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

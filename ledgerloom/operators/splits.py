@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import struct
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerloom.session import materialise
 
 BUCKETS = 10_000
 TEST_SHARE = 0.25
@@ -69,45 +75,65 @@ def label_stats(split: DataFrame, label: str) -> DataFrame:
     )
 
 
-def exact_median(df: DataFrame, flag: str, whole: str) -> DataFrame:
-    """Exact median of a whole-number column on both sides of a boolean, without gathering a side in one task.
+DIGIT_BITS = 16
 
-    The first pass counts blocks of 2^20 neighbouring values and finds the blocks that hold the two middle
-    ranks; the second counts the distinct values of those blocks only. Rows are counted before each shuffle.
-    The input is read twice: a costly one should be a written table.
-    """
-    side = F.col(flag).cast("boolean").alias(flag)
-    one_side = Window.partitionBy(flag)
 
-    def before(order: str) -> Column:
-        return F.coalesce(
-            F.sum("n").over(one_side.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        )
+def ordered_code(value: Column, floating: bool) -> Column:
+    """A BIGINT that sorts as the number does; of floating-point numbers by their bits, NaN last and both zeros alike."""
+    if not floating:
+        return value.cast("long")
+    text = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value.cast("double") + F.lit(0.0))
+    bits = text.cast("long")
+    return bits.bitwiseXOR(F.shiftright(bits, 63).bitwiseAND(F.lit((1 << 63) - 1)))
 
-    # 1-based ranks of the two middle rows; they coincide for an odd number of rows.
-    low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
-    middle = (F.col("before") < high) & (F.col("before") + F.col("n") >= low)
-    known = df.where(F.col(whole).isNotNull() & F.col(flag).isNotNull()).select(
-        side, whole, F.shiftright(whole, 20).alias("_block")
-    )
-    blocks = (
-        known.groupBy(flag, "_block")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumns({"before": before("_block"), "total": F.sum("n").over(one_side)})
-        .where(middle)
-        .select(flag, "_block", F.col("before").alias("below"), "total")
-    )
-    # Four rows at most: two blocks on either side.
-    values = (
-        known.join(F.broadcast(blocks), [flag, "_block"])
-        .groupBy(flag, "_block", "below", "total", whole)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    in_block = Window.partitionBy(flag, "_block").orderBy(whole).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = values.withColumn("before", F.col("below") + F.coalesce(F.sum("n").over(in_block), F.lit(0)))
-    return (
-        ranked.where(middle)
-        .groupBy(flag)
-        .agg((F.min(whole) + F.max(whole)).alias("twice"))
-        .select(flag, (F.col("twice") / 2).alias("median"))
-    )
+
+def coded_number(code: int, floating: bool) -> int | float:
+    """The number of a code."""
+    if not floating:
+        return code
+    bits = code ^ ((code >> 63) & ((1 << 63) - 1))
+    return struct.unpack("<d", struct.pack("<q", bits))[0]
+
+
+def exact_median(df: DataFrame, flag: str, value: str) -> DataFrame:
+    """Exact median of a column of any whole or floating-point numbers on both sides of a boolean.
+
+    Radix selection: codes that sort like the numbers are written once. Each pass counts the next 16 bits of the codes that share the
+    higher bits of a middle rank, and so fixes 16 bits more; there are as many passes as the range of the codes needs, four at most.
+    Counts are folded before the shuffle, a window holds at most 2^16 of them, and the driver gets up to four rows a pass. Rows
+    without value or flag are left out; a side without rows has no row.
+    """
+    floating = isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType))
+    known = df.where(F.col(value).isNotNull() & F.col(flag).isNotNull())
+    codes = known.select(F.col(flag).cast("boolean").alias("side"), ordered_code(F.col(value), floating).alias("code"))
+    codes = materialise(codes, "codes")
+    sides = codes.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.min("code").alias("low"), F.max("code").alias("high")).collect()
+    # (side, which middle) -> rank among the codes with this prefix, and the prefix
+    wanted = {(s.side, which): ((s.n - 1 + which) // 2, 0) for s in sides for which in (0, 1)}
+    base = min((s.low for s in sides), default=0)
+    span = max((s.high for s in sides), default=0) - base
+    if span >= 1 << 63:  # the codes themselves, with a signed first digit
+        base, span = 0, (1 << 64) - 1
+    passes = -(-max(span.bit_length(), 1) // DIGIT_BITS)
+    own = F.col("code") - F.lit(base) if base else F.col("code")
+    for k in reversed(range(passes)):
+        first = k == passes - 1
+        prefix = F.lit(0).cast("long") if first else F.shiftright(own, DIGIT_BITS * (k + 1))
+        digit = F.shiftright(own, DIGIT_BITS * k)
+        digit = digit if first else digit.bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+        places = {(side, prefix_) for (side, _), (_, prefix_) in wanted.items()}
+        here = reduce(Column.__or__, ((F.col("side") == s) & (prefix == F.lit(p)) for s, p in places)) if places else F.lit(False)
+        counts = codes.where(here).groupBy("side", prefix.alias("prefix"), digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+        before = Window.partitionBy("side", "prefix").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        holds = [
+            (F.col("side") == s) & (F.col("prefix") == F.lit(p)) & (F.col("before") <= r) & (F.col("before") + F.col("n") > r)
+            for (s, _), (r, p) in wanted.items()
+        ]
+        found = ranked.where(reduce(Column.__or__, holds)).collect() if holds else []
+        for key, (rank, old) in wanted.items():
+            row = next(x for x in found if (x.side, x.prefix) == (key[0], old) and x.before <= rank < x.before + x.n)
+            wanted[key] = rank - row.before, row.digit if first else (old << DIGIT_BITS) + row.digit
+    middles = {key: coded_number(code + base, floating) for key, (_, code) in wanted.items()}
+    rows = [(s.side, (middles[s.side, 0] + middles[s.side, 1]) / 2) for s in sides]
+    return df.sparkSession.createDataFrame(rows, f"{flag} boolean, median double")

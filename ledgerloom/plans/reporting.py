@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import as_double, cents, cents_of_double, dollars, mean_of, sum_when
@@ -31,7 +33,7 @@ def payment_rail_summary(transactions: DataFrame) -> DataFrame:
 
 
 def _history(facts: DataFrame, day: str, columns: Sequence[str], account_id: str | None) -> DataFrame:
-    """Rows of one account, or of all, in time order. The lookup is pushed to the scan, and the sort is
+    """Rows of one account, or of all, in time order. On a bucketed table a lookup reads one bucket of each month; the sort is
     distributed by ranges of (account, day)."""
     if account_id is not None:
         return facts.where(F.col("account_id") == F.lit(account_id)).select(day, *columns).orderBy(day)
@@ -83,6 +85,57 @@ def churn_rate_by(accounts: DataFrame, *segments: str) -> DataFrame:
     )
 
 
+# Replicates that one digest gives, 16 bits each.
+PER_DIGEST = 8
+
+
+def poisson_steps(bits: int = 16) -> list[int]:
+    """Where a uniform number of so many bits passes from one count of a Poisson draw with mean 1 to the next."""
+    steps, total, term = [], 0.0, math.exp(-1.0)
+    for count in range(1, 20):
+        total += term
+        if int(total * (1 << bits)) >= (1 << bits) - 1:
+            break
+        steps.append(int(total * (1 << bits)))
+        term /= count
+    return steps
+
+
+def bootstrap_churn_rate(accounts: DataFrame, *segments: str, replicates: int = 200, seed: int = 42) -> DataFrame:
+    """Churn rate with its bootstrap interval (2.5th and 97.5th percentile) per value of each segment column.
+
+    Poisson bootstrap: in each replicate an account counts as often as a Poisson draw with mean 1 says, which is a function of account,
+    replicate and seed. So nothing is resampled: rows are folded to segment value and replicate before the shuffle, every run draws
+    the same, and a lost task draws again what it drew before. ``replicates`` is rounded up to a multiple of 8.
+    """
+    digest = F.md5(F.concat("account_id", F.lit(f":{seed}:"), F.col("_block").cast("string")))
+    draw = F.conv(F.expr("substring(_digest, _slot * 4 + 1, 4)"), 16, 10).cast("int")
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // PER_DIGEST) - 1)))
+    pairs = F.explode(F.array(*(F.struct(F.lit(s).alias("segment"), F.col(s).alias("value")) for s in segments)))
+    drawn = (
+        accounts.select("account_id", "is_churned", *segments, blocks.alias("_block"))
+        .select("is_churned", *segments, "_block", digest.alias("_digest"))
+        .select("is_churned", *segments, "_block", "_digest", F.explode(F.sequence(F.lit(0), F.lit(PER_DIGEST - 1))).alias("_slot"))
+        .select("is_churned", *segments, "_block", "_slot", draw.alias("_draw"))
+    )
+    times = reduce(Column.__add__, ((F.col("_draw") >= step).cast("int") for step in poisson_steps()))
+    rates = (
+        drawn.withColumn("_times", times)
+        .where("_times > 0")
+        .select(pairs.alias("pair"), "is_churned", "_block", "_slot", "_times")
+        .groupBy("pair.segment", "pair.value", "_block", "_slot")
+        .agg(F.sum("_times").alias("n"), F.sum(F.col("_times") * F.col("is_churned")).alias("churned"))
+        .groupBy("segment", "value")
+        .agg(
+            F.round(F.percentile(F.col("churned") / F.col("n"), F.lit(0.025)), 6).alias("boot_low"),
+            F.round(F.percentile(F.col("churned") / F.col("n"), F.lit(0.975)), 6).alias("boot_high"),
+        )
+    )
+    known = churn_rate_by(accounts, *segments).select("segment", "value", "accounts", "churn_rate")
+    same = (F.col("k.segment") == F.col("r.segment")) & F.col("k.value").eqNullSafe(F.col("r.value"))
+    return known.alias("k").join(rates.alias("r"), same, "left").select("k.*", "boot_low", "boot_high")
+
+
 def feature_label_correlation(features: DataFrame) -> DataFrame:
     """Pearson correlation of every numeric feature and category dummy with the label, ascending.
 

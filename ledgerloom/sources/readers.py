@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import BASE_TABLES, TABLES, Table
-
-MONTH = "month"
+from ledgerloom.sources import storage
+from ledgerloom.sources.storage import MONTH
 
 
 class MissingTable(FileNotFoundError):
@@ -49,8 +49,12 @@ def read_csv(spark: SparkSession, folder: str, table: Table) -> DataFrame:
 def read_parquet(
     spark: SparkSession, folder: str, table: Table, since: date | None = None, until: date | None = None
 ) -> DataFrame:
-    """A warehouse table. For a fact, the bounds prune month folders as well as row groups."""
-    df = _required(table, f"{folder}/{table.name}", spark.read.parquet)
+    """The current version of a warehouse table. For a fact, the bounds prune month folders as well as row groups.
+
+    A bucketed version also skips the buckets of other accounts, and needs no shuffle to be grouped or joined by account.
+    """
+    path = storage.current(spark, f"{folder}/{table.name}")
+    df = _required(table, path, lambda found: storage.read_version(spark, found, table, table.dated_by is not None))
     if table.dated_by is not None:
         day = F.col(table.dated_by)
         for bound, keep in ((since, lambda x, y: x >= y), (until, lambda x, y: x <= y)):

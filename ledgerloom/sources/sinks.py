@@ -6,32 +6,51 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import BASE_TABLES, TABLES, Table
-from ledgerloom.sources.readers import MONTH, read_csv
+from ledgerloom.sources import storage
+from ledgerloom.sources.readers import read_csv
+from ledgerloom.sources.storage import MONTH
 
 INGEST_BATCH = 10_000
 SERVING_BATCH = 5_000
 
 
-def _laid_out(df: DataFrame, table: Table) -> DataFrame:
-    """Facts by month, every file sorted by account, so a lookup skips row groups.
+def _laid_out(df: DataFrame, table: Table, buckets: int = 0) -> DataFrame:
+    """Facts by month (and bucket), every file sorted by account, so a lookup skips files and row groups.
 
-    Rebalancing splits a large month by size, whatever its keys, and joins small ones, in one pass over the
+    Rebalancing splits a large month or bucket by size, whatever its keys, and joins small ones, in one pass over the
     input (ranges would read it once more to sample their bounds).
     """
-    if table.dated_by is None:
+    by = [MONTH] if table.dated_by is not None else []
+    order = [*by, "account_id", table.dated_by] if by else ["account_id"]
+    if by:
+        df = df.withColumn(MONTH, F.date_format(table.dated_by, "yyyy-MM"))
+    if buckets:
+        df, by = df.withColumn("_bucket", F.pmod(F.hash("account_id"), F.lit(buckets))), [*by, "_bucket"]
+        order.insert(len(by) - 1, "_bucket")
+    if not by:
         return df
-    dated = df.withColumn(MONTH, F.date_format(table.dated_by, "yyyy-MM"))
-    return dated.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "account_id", table.dated_by)
+    return df.hint("rebalance", *map(F.col, by)).sortWithinPartitions(*order).drop("_bucket")
 
 
-def write_parquet(df: DataFrame, folder: str, table: Table) -> int:
-    """Replace a warehouse table; returns its row count, observed while writing (no second scan)."""
+def write_parquet(df: DataFrame, folder: str, table: Table, buckets: int = 0) -> int:
+    """Replace a warehouse table; returns its row count, observed while writing (no second scan).
+
+    The old table is read until the new one is complete. With ``buckets`` the rows of a table with accounts are spread over so many
+    buckets by account (``storage``).
+    """
     rows = Observation(f"{table.name} rows")
-    laid_out = _laid_out(df.select(*table.schema.names), table).observe(rows, F.count(F.lit(1)).alias("n"))
-    writer = laid_out.write.mode("overwrite")
-    if table.dated_by is not None:
-        writer = writer.partitionBy(MONTH)
-    writer.parquet(f"{folder}/{table.name}")
+    spark, by_month = df.sparkSession, table.dated_by is not None
+    if "account_id" not in table.schema.names:
+        buckets = 0
+    laid_out = _laid_out(df.select(*table.schema.names), table, buckets).observe(rows, F.count(F.lit(1)).alias("n"))
+
+    def write(path: str) -> None:
+        if buckets:
+            storage.write_bucketed(laid_out, path, table.name, buckets, by_month)
+        else:
+            (laid_out.write.partitionBy(MONTH) if by_month else laid_out.write).parquet(path)
+
+    storage.replace(spark, f"{folder}/{table.name}", write, buckets)
     return rows.get["n"]
 
 
@@ -47,12 +66,17 @@ def write_jdbc(df: DataFrame, url: str, table: Table, batch_size: int = INGEST_B
 
 
 def ingest_csv(
-    spark: SparkSession, csv_folder: str, warehouse: str | None = None, jdbc_url: str | None = None, **options: str
+    spark: SparkSession,
+    csv_folder: str,
+    warehouse: str | None = None,
+    jdbc_url: str | None = None,
+    buckets: int = 0,
+    **options: str,
 ) -> DataFrame:
     """Load the six CSV tables into the Parquet warehouse, or into an external database if a URL is given.
 
-    All inputs are looked up before the first table is written. Returns (table_name, row_count); the count is
-    NULL for a database load.
+    All inputs are looked up before the first table is written, and each table is replaced as a whole. Returns (table_name,
+    row_count); the count is NULL for a database load.
     """
     frames = [(t, read_csv(spark, csv_folder, t)) for t in BASE_TABLES]
     counts = []
@@ -61,7 +85,7 @@ def ingest_csv(
             write_jdbc(df, jdbc_url, table, **options)
             counts.append((table.name, None))
         else:
-            counts.append((table.name, write_parquet(df, warehouse, table)))
+            counts.append((table.name, write_parquet(df, warehouse, table, buckets)))
     return spark.createDataFrame(counts, "table_name string, row_count long")
 
 
@@ -82,8 +106,9 @@ def write_json(df: DataFrame, path: str) -> None:
 def write_scores(
     scores: DataFrame, table: Table, folder: str | None = None, jdbc_url: str | None = None, **options: str
 ) -> None:
-    """Replace the serving table in the warehouse or in an external database."""
+    """Replace the serving table in the warehouse or in an external database. Readers see the old scores until all new ones are there."""
     if jdbc_url is not None:
         write_jdbc(scores, jdbc_url, table, SERVING_BATCH, **options)
     else:
-        scores.select(*table.schema.names).write.mode("overwrite").parquet(f"{folder}/{table.name}")
+        rows = scores.select(*table.schema.names)
+        storage.replace(scores.sparkSession, f"{folder}/{table.name}", lambda path: rows.write.parquet(path))

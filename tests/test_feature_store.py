@@ -111,3 +111,42 @@ def test_plan_aggregates_before_the_shuffle_and_needs_no_python(spark):
     text = plan_of(_store(spark))
     assert "partial_sum" in text and "CartesianProduct" not in text and "Python" not in text
     assert "BroadcastNestedLoopJoin" not in plan_of(_store(spark, ["2025-09-15", "2025-10-31"]))
+
+
+def test_many_cutoffs_equal_single_snapshots(spark):
+    """Sixty weekly cutoffs from one fold, with gaps, a hot account and values at the edges of the windows."""
+    from datetime import date, timedelta
+
+    cutoffs = [date(2025, 1, 3) + timedelta(weeks=k) for k in range(60)]
+    day = lambda k: str(date(2024, 9, 1) + timedelta(days=k))
+    rails = (CARD, ACH, WIRE)
+    rows = [("hot", day(k), rails[k % 3], k % 7, k % 2, k) for k in range(600)]
+    rows += [(f"a{k % 9}", day((k * 37) % 640), rails[k % 3], k % 5, k % 3, k * 3) for k in range(200)]
+    rows += [("edge", str(cutoffs[9] + timedelta(days=d)), CARD, 1, 0, 10) for d in (-91, -90, -31, -30, 0, 1)]
+    tx = transactions(spark, rows)
+    bal = balances(spark, sorted({(a, d): (a, d, v % 97) for a, d, *_, v in rows}.values()))
+    use = telemetry(spark, sorted({(a, d): (a, d, n % 3, f, n) for a, d, _, n, f, _ in rows}.values()))
+    for build, facts in ((snapshots.transaction_features, tx), (snapshots.balance_features, bal), (snapshots.telemetry_features, use)):
+        panel = {(r.account_id, r.cutoff_date): r for r in build(facts, cutoffs).collect()}
+        count = 0
+        for c in (*cutoffs[:12:3], cutoffs[13], cutoffs[31], *cutoffs[-9::4]):
+            single = build(facts, c).collect()
+            for r in single:
+                found, count = panel[r.account_id, c], count + 1
+                for name in r.asDict():
+                    assert getattr(found, name) == pytest.approx(getattr(r, name), abs=1e-9), (name, r, found)
+            assert sum(1 for _, x in panel if x == c) == len(single)
+        assert count > 40
+
+
+def test_the_panel_reads_and_folds_facts_once(spark):
+    from datetime import date, timedelta
+
+    facts = transactions(spark, [("a", "2025-10-10", CARD, 10, 2, 100)])
+    physical = lambda n: plan_of(
+        snapshots.transaction_features(facts, [date(2025, 1, 3) + timedelta(weeks=k) for k in range(n)])
+    ).split("== Physical Plan ==")[1]
+    text = physical(60)
+    assert text.count("Generate inline") == 1 and text.count("Scan") == 1
+    assert len(physical(5).splitlines()) == len(text.splitlines())
+    assert text.index("Window") < text.index("partial_sum")  # windows run over folded rows

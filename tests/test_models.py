@@ -1,9 +1,14 @@
+import math
+
 import pytest
 from frames import by
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import array_to_vector
 
 from ledgerloom.catalogue import registry
 from ledgerloom.catalogue.views import CUTOFF, SampleWarehouse
-from ledgerloom.operators import metrics, models
+from ledgerloom.operators import ensembles, metrics, models, splits, tweedie
+from ledgerloom.operators.value import with_twelve_month_value
 from ledgerloom.plans import jobs
 from ledgerloom.schemas import NUMERIC_FEATURES, RISK_SCORES
 from ledgerloom.session import materialise, scratch_path
@@ -30,18 +35,98 @@ def value(snapshot):
     return jobs.train_value(snapshot)
 
 
-def test_boosting_stops_and_keeps_the_first_rounds(snapshot):
+def test_boosting_stops_and_keeps_the_first_rounds(spark, snapshot):
     """A label without a signal ends the boosting early; what is kept equals a fit of that many rounds."""
     noise = snapshot.withColumn("churn_next_60d", (F.crc32(F.col("account_id")) % 3 == 0).cast("int"))
-    settings = models.ChurnSettings(rounds=40, depth=3, learning_rate=0.5, min_leaf=5)
+    settings = models.ChurnSettings(rounds=60, patience=4, depth=3, learning_rate=0.5, min_leaf=5)
     stopped = models.fit_churn_model(noise, settings)
     kept = stopped.stages[-1].getNumTrees
-    assert kept < 40
-    shorter = models.fit_churn_model(noise, models.ChurnSettings(rounds=kept, depth=3, learning_rate=0.5, min_leaf=5))
+    assert kept < 14
+    whole = models.ChurnSettings(rounds=kept, patience=99, depth=3, learning_rate=0.5, min_leaf=5)
+    held = splits.hash_bucket(F.col("account_id"), models.VALIDATION_SEED) < 1500
+    weight = noise.agg(F.sum("churn_next_60d").alias("p"), F.count(F.lit(1)).alias("n")).select((F.col("n") - F.col("p")) / F.col("p")).first()[0]
+    rows = models.transformed(PipelineModel(stopped.stages[:-1]), noise).where(~held).withColumns({
+        "label": F.col("churn_next_60d").cast("double"), "weight": F.when(F.col("churn_next_60d") == 1, weight).otherwise(1.0),
+    })
+    shorter = PipelineModel([*stopped.stages[:-1], models.fit_rounds(rows, whole, kept)])
     pick = lambda m: {r.account_id: r.churn_probability for r in models.churn_predictions(m, snapshot).select("account_id", "churn_probability").collect()}
     assert pick(shorter) == pytest.approx(pick(stopped))
 
 
+def test_prefix_measures_are_those_of_the_prefixes(spark, snapshot):
+    """Loss and area of every prefix, measured at once, equal those of the truncated models."""
+    ready = snapshot.withColumns({"label": F.col("churn_next_60d").cast("double"), "weight": F.lit(1.0)})
+    encoder = Pipeline(stages=models.feature_stages()).fit(ready)
+    rows = materialise(encoder.transform(ready).select(models.FEATURES, "label", "weight"), "rows")
+    fitted = models.fit_rounds(rows, SETTINGS, 5)
+    found = {r["round"]: r for r in models.ensemble_measures(fitted, rows).collect()}
+    assert sorted(found) == [1, 2, 3, 4, 5]
+    for k in (1, 3, 5):
+        shorter = ensembles.first_rounds(fitted, k, spark)
+        assert shorter.getNumTrees == k
+        scored = [(r.label, r.probability[1]) for r in shorter.transform(rows).select("label", "probability").collect()]
+        loss = -sum(math.log(p if y else 1 - p) for y, p in scored) / len(scored)
+        ups, downs = [p for y, p in scored if y], [p for y, p in scored if not y]
+        area = sum((u > d) + (u == d) / 2 for u in ups for d in downs) / (len(ups) * len(downs))
+        assert found[k].log_loss == pytest.approx(loss, abs=1e-9)
+        assert found[k].roc_auc == pytest.approx(area, abs=2e-3)
+
+
+def test_patience_is_a_number_of_rounds(spark):
+    losses = [0.9, 0.8, 0.85, 0.86, 0.7, 0.71, 0.72, 0.73]
+    areas = [0.5, 0.6, 0.6, 0.61, 0.62, 0.5, 0.5, 0.63]
+    rows = spark.createDataFrame(list(zip(range(1, 9), losses, areas)), "round int, log_loss double, roc_auc double")
+    kept = lambda patience: ensembles.best_round(ensembles.stopping_curve(rows, patience), patience)
+    assert kept(2) == (2, True)  # the loss of round 4 is two rounds behind that of round 2
+    assert kept(3) == (5, True)
+    assert kept(4) == (8, False)
+    nothing = rows.withColumn("roc_auc", F.lit(None).cast("double"))
+    assert ensembles.best_round(ensembles.stopping_curve(nothing, 4), 4) == (5, False)
+
+
+TWEEDIE = tweedie.TweedieSettings(rounds=6, learning_rate=0.5, depth=3, min_leaf=5, patience=2)
+
+
+@pytest.fixture(scope="module")
+def forecast(snapshot):
+    return jobs.train_value(snapshot, fit=lambda rows: models.fit_tweedie_value_model(rows, settings=TWEEDIE))
+
+
+def test_boosted_tweedie_lowers_the_deviance(spark, snapshot):
+    """The deviance of the fitted rows falls in every round, and is what the model's own forecasts give."""
+    rows = with_twelve_month_value(snapshot)
+    encoded = Pipeline(stages=models.feature_stages(output=models.VALUE_FEATURES, log_scale=True)).fit(models.log_scaled(rows))
+    ready = encoded.transform(models.log_scaled(rows)).select(models.VALUE_FEATURES, "value_12m", F.lit(False).alias("held_back"))
+    fitted = tweedie.fit(materialise(ready, "ready"), models.VALUE_FEATURES, "value_12m", "held_back", "f", TWEEDIE)
+    own = [d for d, held in fitted.deviances if held is None]
+    assert len(own) == 6 and all(a > b for a, b in zip(own, own[1:]))
+    y, mu = F.col("value_12m"), F.exp("f")
+    row = 2 * (F.pow(y, 0.5) / -0.25 + y * F.pow(mu, -0.5) / 0.5 + F.pow(mu, 0.5) / 0.5)
+    assert fitted.model.transform(ready).agg(F.avg(row)).first()[0] == pytest.approx(own[-1], rel=1e-9)
+
+
+def test_boosted_tweedie_is_a_model_like_the_others(spark, snapshot, forecast):
+    pairs = forecast.tested.collect()
+    assert all(r.predicted_value >= 50 for r in pairs)
+    mean = sum(r.value_12m for r in pairs) / len(pairs)
+    spread = sum((r.value_12m - mean) ** 2 for r in pairs)
+    assert sum((r.value_12m - r.predicted_value) ** 2 for r in pairs) < 0.2 * spread
+    path = scratch_path(spark, "tweedie-model")
+    models.save_model(forecast.model, path)
+    pick = lambda m: {r.account_id: r.predicted_value for r in models.value_predictions(m, snapshot).select("account_id", "predicted_value").collect()}
+    assert pick(models.load_model(path)) == pick(forecast.model)
+
+
+def test_tweedie_handles_zeros_and_refuses_negative_values(spark):
+    rows = spark.range(60).select(array_to_vector(F.array(F.col("id").cast("double"))).alias("x"), F.lit(False).alias("held"),
+                                  F.when(F.col("id") < 30, 0.0).otherwise(F.col("id").cast("double")).alias("y"))
+    fitted = tweedie.fit(rows, "x", "y", "held", "f", tweedie.TweedieSettings(rounds=3, learning_rate=0.9, depth=2, min_leaf=5))
+    low, high = (r[0] for r in fitted.model.transform(rows).groupBy(F.col("y") > 0).agg(F.avg(F.exp("f")).alias("m")).orderBy("m").select("m").collect())
+    assert low < 1 < 20 < high
+    with pytest.raises(ValueError):
+        tweedie.fit(rows.withColumn("y", F.lit(-1.0)), "x", "y", "held", "f", tweedie.TweedieSettings())
+
+
 def test_classifier_finds_the_planted_signal(churn):
     found = churn.metadata.first()
     assert found.metrics.roc_auc > 0.9

@@ -1,8 +1,12 @@
+import re
+
 import pytest
 from frames import plan_of
+from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.catalogue.views import SampleWarehouse
+from ledgerloom.operators import daily
 from ledgerloom.session import materialise, scratch_path, shared_folder
 from ledgerloom.sources import readers, sinks
 
@@ -188,3 +192,112 @@ def test_folder_without_a_setting_lies_in_the_warehouse(spark, monkeypatch):
         conf, sparkContext = Settings(), Context()
 
     assert session.shared_folder(Session()) == "hdfs://shared/warehouse/checkpoints"
+
+
+def test_a_writer_that_dies_leaves_the_old_table(spark, tmp_path):
+    """A job that fails half-way, with some files written, changes nothing; the next one replaces and cleans up."""
+    folder, table = str(tmp_path), schemas.FACT_DAILY_BALANCES
+    made = lambda n: spark.range(n).selectExpr(
+        "concat('ACC-', id % 50) AS account_id", "date_add(DATE'2024-01-01', int(id % 300)) AS balance_date",
+        "CAST(id AS DECIMAL(18,2)) AS closing_balance_usd")
+    sinks.write_parquet(made(1000), folder, table)
+    old = readers.table(spark, folder, table.name)
+    broken = made(5000).withColumn(
+        "closing_balance_usd", F.when(F.col("closing_balance_usd") > 4900, F.raise_error("killed").cast("decimal(18,2)")).otherwise(F.col("closing_balance_usd")))
+    with pytest.raises(Exception, match="killed"):
+        sinks.write_parquet(broken, folder, table)
+    assert readers.table(spark, folder, table.name).count() == 1000
+    for n in (2000, 3000):
+        sinks.write_parquet(made(n), folder, table)
+        assert readers.table(spark, folder, table.name).count() == n
+    versions = [p.name for p in (tmp_path / table.name).iterdir() if p.name.startswith("version-")]
+    assert len(versions) == 2  # the current one and the one before
+    with pytest.raises(Exception):
+        old.count()  # two versions later
+
+
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    folder, table = str(tmp_path), schemas.DIM_PLANS
+    plans = SampleWarehouse(spark, "/root/testdata/sf0.001").plans
+    sinks.write_parquet(plans, folder, table)
+    reader = readers.table(spark, folder, table.name)
+    sinks.write_parquet(plans.limit(1), folder, table)
+    assert reader.count() == 3 and readers.table(spark, folder, table.name).count() == 1
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, sample, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("bucketed"))
+    tables = SampleWarehouse(spark, sample).contract_tables()
+    for name in ("dim_plans", "dim_accounts", "fact_transactions", "fact_daily_balances"):
+        sinks.write_parquet(tables[name], folder, schemas.TABLES[name], 8)
+    for daily_table, name in ((daily.DAILY_TRANSACTIONS, "fact_transactions"), (daily.DAILY_TELEMETRY, "fact_telemetry")):
+        sinks.write_parquet(daily.folded(tables[name], daily_table), folder, daily_table, 8)
+    return folder
+
+
+def test_a_lookup_reads_one_bucket(spark, sample, bucketed):
+    facts = readers.table(spark, bucketed, "fact_transactions")
+    found = facts.where("account_id = 'ACC-000000007'")
+    scan = next(x for x in plan_of(found).splitlines() if "FileScan" in x)
+    assert "EqualTo(account_id,ACC-000000007)" in scan
+    whole = SampleWarehouse(spark, sample).contract_tables()["fact_transactions"].where("account_id = 'ACC-000000007'")
+    assert found.exceptAll(whole).count() == 0 and found.count() == whole.count() > 0
+
+
+def test_a_lookup_opens_no_other_file(spark, sample, tmp_path):
+    """Files of other buckets are spoilt; only a scan that leaves them alone gives the account's rows."""
+    facts = SampleWarehouse(spark, sample).contract_tables()["fact_transactions"].where("transaction_date >= DATE'1997-06-01'")
+    sinks.write_parquet(facts, str(tmp_path), schemas.FACT_TRANSACTIONS, 8)
+    account = "ACC-000000007"
+    wanted = sorted(map(tuple, facts.where(F.col("account_id") == account).collect()))
+    own = spark.range(1).select(F.pmod(F.hash(F.lit(account)), F.lit(8))).first()[0]
+    files = [f for f in (tmp_path / "fact_transactions").rglob("part-*.parquet")]
+    others = [f for f in files if not f.name.split(".")[0].endswith(f"_{own:05d}")]
+    assert wanted and 0 < len(others) < len(files) and len(files) - len(others) < len(files) / 4
+    for f in others:
+        f.write_bytes(b"spoilt")
+    read = readers.table(spark, str(tmp_path), "fact_transactions")
+    assert sorted(map(tuple, read.where(F.col("account_id") == account).collect())) == wanted
+    with pytest.raises(Exception):
+        read.count() if read.select("fees_collected_usd").collect() else None
+
+
+def test_another_session_finds_the_buckets(spark, sample, bucketed):
+    name = next(t.name for t in spark.catalog.listTables() if t.name.startswith("fact_daily_balances_") and bucketed in spark.sql(f"DESCRIBE FORMATTED {t.name}").where("col_name = 'Location'").first().data_type)
+    before = readers.table(spark, bucketed, "fact_daily_balances").count()
+    spark.sql(f"DROP TABLE {name}")  # the files of an external table stay
+    again = readers.table(spark, bucketed, "fact_daily_balances")
+    assert again.count() == before > 0 and spark.catalog.tableExists(name)
+
+
+def test_colocated_store_shuffles_no_fact(spark, sample, bucketed):
+    """Facts, features and accounts share their buckets: neither folding nor joining moves them."""
+    from datetime import date
+
+    from ledgerloom.plans.feature_store import feature_store
+
+    fact = lambda table: readers.read_parquet(spark, bucketed, table, date(1996, 8, 2), date(1996, 10, 31))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        built = feature_store(
+            readers.table(spark, bucketed, "dim_accounts"), readers.table(spark, bucketed, "dim_plans").hint("broadcast"),
+            fact(daily.DAILY_TRANSACTIONS), fact(daily.DAILY_BALANCES), fact(daily.DAILY_TELEMETRY), "1996-10-31")
+        text = plan_of(built)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "Exchange hashpartitioning" not in text and text.count("Bucketed: true") == 4
+    assert built.count() == SampleWarehouse(spark, sample).accounts.where(
+        "signup_date <= DATE'1996-10-31' AND (churn_date IS NULL OR churn_date > DATE'1996-10-31')").count()
+
+
+def test_a_hot_account_has_a_row_a_day(spark):
+    facts = spark.range(30_000).selectExpr(
+        "id AS telemetry_id", "if(id % 3 = 0, 'hot', concat('a', id % 997)) AS account_id", "date_add(DATE'2024-01-01', int(id % 30)) AS log_date",
+        "1 AS api_call_count", "1 AS dashboard_logins", "0 AS exports_count")
+    folded = daily.folded(facts, daily.DAILY_TELEMETRY)
+    assert folded.where("account_id = 'hot'").count() == 10 and folded.agg(F.sum("api_call_count")).first()[0] == 30_000

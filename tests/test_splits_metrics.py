@@ -120,3 +120,41 @@ def test_classification_metrics_of_scores_that_differ_late(spark):
 
     wins = sum(bisect_left(negatives, p) + (bisect_right(negatives, p) - bisect_left(negatives, p)) / 2 for p in positives)
     assert found.roc_auc == round(wins / (len(positives) * len(negatives)), 6)
+
+
+@pytest.mark.parametrize("values", [
+    [1.5, -2.25, 1e300, -1e300, 0.0, -0.0, 5e-324, 3.0],
+    [float("inf"), 1.0, 2.0], [-1.0], [-3.5, -3.5, 7.0, 7.0], [1.0 + k * 2**-52 for k in range(11)],
+    [2**63 - 1, -(2**63), 5], [2**63 - 1, -(2**63), 2**62, -(2**62), 0, 1], [-5, -4, -3, -3], [10**15 + k for k in range(7)],
+])
+def test_exact_median_of_any_numbers(spark, values):
+    kind = "double" if isinstance(values[0], float) else "long"
+    rows = [(True, v) for v in values] + [(False, values[0]), (None, values[0]), (True, None)]
+    df = spark.createDataFrame(rows, f"g boolean, v {kind}").repartition(3)
+    found = {r.g: r["median"] for r in splits.exact_median(df, "g", "v").collect()}
+    assert found == {True: float(statistics.median(values)), False: float(values[0])}
+
+
+def test_median_windows_stay_small(spark, monkeypatch):
+    """Of 200,000 spread values no window sees more than one row for each value of 16 bits."""
+    df = spark.range(200_000).selectExpr("id % 2 = 0 AS g", "xxhash64(id) AS v")
+    found = {r.g: r["median"] for r in splits.exact_median(df, "g", "v").collect()}
+    for g in (True, False):
+        values = sorted(r.v for r in df.where(f"g = {g}").select("v").collect())
+        assert found[g] == (values[49_999] + values[50_000]) / 2
+    assert splits.exact_median(df.limit(0), "g", "v").count() == 0
+
+
+def test_bootstrap_repeats_itself_and_covers_the_rate(spark):
+    from ledgerloom.plans import reporting
+
+    accounts = spark.range(4000).selectExpr("concat('ACC-', id) AS account_id", "int(id % 5 = 0) AS is_churned", "concat('s', id % 2) AS size",
+                                            "if(id % 100 = 0, NULL, 'x') AS land")
+    build = lambda parts: sorted(map(tuple, reporting.bootstrap_churn_rate(accounts.repartition(parts), "size", "land").collect()), key=repr)
+    first = build(2)
+    assert first == build(7) and len(first) == 4
+    for _, value, n, rate, low, high in first:
+        assert low <= rate <= high
+        if n > 1000:
+            half = 1.96 * (rate * (1 - rate) / n) ** 0.5
+            assert abs(low - (rate - half)) < 0.3 * half and abs(high - (rate + half)) < 0.3 * half
