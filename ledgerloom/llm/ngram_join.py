@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import prepared, slices, texts
 from ledgerloom.llm.graph import components
 from ledgerloom.llm.links import Links
-from ledgerloom.llm.shingles import can_reach, digest, parities, shingle_sets, signatures
+from ledgerloom.llm.shingles import can_reach, digest, mixed, parities, shingle_sets, signatures
 from ledgerloom.session import discard, materialise
 
 WIDTH = 3
@@ -117,18 +118,90 @@ def ngram_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return source.mapInArrow(read, "doc_id long, n long, d1 long, d2 long, sigs array<long>, bits binary")
 
 
+# What stands in a signed row's place for another class: none, or none but already known to be one of many.
+PLAIN, ONE_OF_MANY = -1, -2
+
+
+def folded_signatures(cid: np.ndarray, counts: np.ndarray, sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, cid, other) for the signatures of some classes, one after the other, ``counts`` of each.
+
+    A row with its signature as key stands for one class that signs it. Where more than PAIRED of these classes share a signature,
+    the first stands for all, and the others become edges to it, dealt by themselves, so a hot signature sends one such row.
+    """
+    owner = np.repeat(cid, counts)
+    order = np.lexsort((owner, sigs))
+    sigs, owner = sigs[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1]])) if len(sigs) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(sigs)))
+    head = np.repeat(first, size)
+    many = np.repeat(size > PAIRED, size)
+    other = np.where(many, owner[head], PLAIN)
+    leads = many & (np.arange(len(sigs)) == head)
+    other[leads] = ONE_OF_MANY
+    with np.errstate(over="ignore"):
+        own = mixed(owner.astype(np.uint64)).view(np.int64)
+    return np.where(other >= 0, own, sigs), owner, other
+
+
+class SharedSignatures:
+    """Reads (key, cid, other) in ascending order and gives pairs (a, b, few): of classes that share a signature with at most
+    PAIRED in all, or an edge to the first of many. It keeps the run of the last key only, and of a long one only its first row."""
+
+    def __init__(self):
+        self.rest = [np.zeros(0, np.int64)] * 3
+
+    def read(self, key: np.ndarray, cid: np.ndarray, other: np.ndarray, last: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        edges = other >= 0
+        found = [(cid[edges], other[edges], False)]
+        key, cid, other = (np.concatenate([old, new[~edges]]) for old, new in zip(self.rest, (key, cid, other)))
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, len(key)))
+        many = np.maximum.reduceat(other == ONE_OF_MANY, first) | (size > PAIRED) if len(first) else np.zeros(0, bool)
+        whole = np.ones(len(first), bool)
+        if not last and len(first):
+            begin = first[-1]
+            whole[-1] = bool(many[-1])  # a run of many gives its edges at once, and its first row waits for more
+            keep = slice(begin, begin + 1) if many[-1] else slice(begin, None)
+            self.rest = [key[keep], cid[keep], np.full(1, ONE_OF_MANY) if many[-1] else other[keep]]
+        elif last:
+            self.rest = [np.zeros(0, np.int64)] * 3
+        for k in range(2, PAIRED + 1):
+            held = cid[first[whole & ~many & (size == k)][:, None] + np.arange(k)[None, :]]
+            found += [(held[:, i], held[:, j], True) for i in range(k) for j in range(i + 1, k) if len(held)]
+        chained = np.repeat(whole & many, size)
+        head = np.repeat(first, size)
+        chained &= np.arange(len(key)) != head
+        found.append((cid[chained], cid[head[chained]], False))
+        a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        return a, b, np.repeat([f[2] for f in found], [len(f[0]) for f in found])
+
+
 def candidate_clusters(classes: DataFrame, percent: int) -> DataFrame:
-    """Classes (cid, n, sigs, bits) connected by shared signatures: (cid, cluster)."""
-    signed = classes.select("cid", F.explode("sigs").alias("sig"))
-    # Folded before the shuffle and written, so that a signature many classes share can be split in the join.
-    shared = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("first")).where("size > 1")
-    shared = materialise(shared, "shared-signatures")
-    tied = materialise(signed.join(shared.hint("merge"), "sig"), "tied")
-    few = tied.where(F.col("size") <= PAIRED).groupBy("sig").agg(F.sort_array(F.collect_set("cid")).alias("cids"))
-    few = few.select("cids").distinct().select("cids", F.posexplode("cids").alias("at", "a"))
-    pairs = few.select("a", F.explode(F.slice("cids", F.col("at") + 2, PAIRED)).alias("b")).distinct()
-    many = tied.where(F.col("size") > PAIRED).select(F.col("cid").alias("a"), F.col("first").alias("b"))
-    return components(possible(pairs, classes, percent).unionByName(many.distinct())).select(
+    """Classes (cid, n, sigs, bits) connected by shared signatures: (cid, cluster).
+
+    Signatures are shuffled once: folded where they are read, dealt and sorted by signature, and read in that order.
+    """
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("sigs")
+            counts = np.diff(lists.offsets.to_numpy())
+            columns = folded_signatures(batch.column("cid").to_numpy(), counts, lists.flatten().to_numpy())
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["key", "cid", "other"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = SharedSignatures()
+        empty = np.zeros(0, np.int64)
+        for columns in chain(([c.to_numpy() for c in batch.columns] for batch in batches), [None]):
+            pairs = shared.read(empty, empty, empty, True) if columns is None else shared.read(*columns)
+            if len(pairs[0]):
+                yield pa.record_batch([pa.array(c) for c in pairs], names=["a", "b", "few"])
+
+    signed = classes.select("cid", "sigs").mapInArrow(fold, "key long, cid long, other long")
+    ordered = signed.repartition("key").sortWithinPartitions("key", "cid")
+    tied = materialise(ordered.mapInArrow(read, "a long, b long, few boolean").distinct(), "tied")
+    pairs, many = tied.where("few").select("a", "b"), tied.where("NOT few").select("a", "b")
+    return components(possible(pairs, classes, percent).unionByName(many)).select(
         F.col("node").alias("cid"), F.col("component").alias("cluster")
     )
 
