@@ -211,9 +211,9 @@ def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [batch.column(name).to_pylist() for name in ("bits_a", "n_a", "bits_b", "n_b")]
-            keep = [can_reach(*pair, percent) for pair in zip(*sides)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            bits = [batch.column(name).to_pylist() for name in ("bits_a", "bits_b")]
+            sizes = [batch.column(name).to_numpy() for name in ("n_a", "n_b")]
+            yield batch.select(["a", "b"]).filter(pa.array(can_reach(bits, sizes, percent)))
 
     for side in ("a", "b"):
         own = classes.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))

@@ -150,14 +150,23 @@ def parities(own: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount((own & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1)
 
 
-def can_reach(a: bytes, n_a: int, b: bytes, n_b: int, percent: int) -> bool:
-    """Whether sets of ``n_a`` and ``n_b`` members with these parities can have a Jaccard similarity of ``percent``.
+def can_reach(bits: list[list[bytes]], sizes: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of sets with these parities and sizes (a list for either side) can have a Jaccard similarity of ``percent``.
 
     Each bit that differs stands for a member of its own that only one of the sets has, so a similar pair is never ruled out.
+    Pairs are worked on together by the widths of their parities.
     """
-    if percent * max(n_a, n_b) > 100 * min(n_a, n_b):
-        return False
-    bits = [np.frombuffer(x, np.uint8) for x in (a, b)]
-    width = min(map(len, bits))
-    x, y = (np.bitwise_xor.reduce(own.reshape(-1, width)) for own in bits)
-    return int(np.bitwise_count(x ^ y).sum()) * (100 + percent) <= (n_a + n_b) * (100 - percent)
+    a, b = sizes
+    keep = percent * np.maximum(a, b) <= 100 * np.minimum(a, b)
+    kinds: dict[tuple[int, int], list[int]] = {}
+    for k in np.flatnonzero(keep).tolist():
+        kinds.setdefault((len(bits[0][k]), len(bits[1][k])), []).append(k)
+    for widths, own in kinds.items():
+        width = min(widths)
+        folded = [
+            np.bitwise_xor.reduce(np.frombuffer(b"".join([side[k] for k in own]), np.uint8).reshape(len(own), -1, width), axis=1)
+            for side in bits
+        ]
+        differing = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+        keep[own] = differing * (100 + percent) <= (a[own] + b[own]) * (100 - percent)
+    return keep

@@ -15,6 +15,11 @@ from tests.llm import brute
 from tests.llm.helpers import CASES, docs
 
 
+def reach(x, y, percent):
+    """Whether two (parities, size) can be similar."""
+    return shingles.can_reach([[x[0]], [y[0]]], [np.array([x[1]]), np.array([y[1]])], percent)[0]
+
+
 def rows_of(df):
     return Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in df.collect())
 
@@ -135,9 +140,9 @@ def test_parities_rule_out_chance_and_no_similar_pair():
                 common, both = len(np.intersect1d(base, other)), len(np.union1d(base, other))
                 told = [(shingles.parities(s).tobytes(), len(s)) for s in (base, other)]
                 if 100 * common >= percent * both:
-                    assert shingles.can_reach(*told[0], *told[1], percent)
+                    assert reach(*told, percent)
         told = [(shingles.parities(s).tobytes(), len(s)) for s in (draw(n), draw(n))]
-        assert n < 31 or not shingles.can_reach(*told[0], *told[1], 80)
+        assert n < 31 or not reach(*told, 80)
 
 
 def test_a_chance_tie_makes_no_cluster(spark):
@@ -146,3 +151,31 @@ def test_a_chance_tie_makes_no_cluster(spark):
     rows = [(k, 400, [7], shingles.parities(s).tobytes()) for k, s in enumerate(sets)]
     classes = spark.createDataFrame(rows, "cid long, n long, sigs array<long>, bits binary")
     assert ngram_join.candidate_clusters(classes, 80).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_shared_signatures_are_read_in_one_order(seed):
+    """Folded in batches and read in pieces: all pairs where few classes share a signature, one group where many do."""
+    rng = random.Random(seed)
+    universe = [rng.randrange(-(10**18), 10**18) for _ in range(rng.randrange(1, 60))]
+    sets = [{rng.choice(universe) for _ in range(rng.randrange(6))} | ({universe[0]} if rng.random() < 0.4 else set()) for _ in range(90)]
+    batch, piece, rows = rng.randrange(1, 60), rng.randrange(1, 30), []
+    for at in range(0, len(sets), batch):
+        part = [sorted(s) for s in sets[at : at + batch]]
+        flat = np.array([x for s in part for x in s], np.int64)
+        folded = ngram_join.folded_signatures(np.arange(at, at + len(part)), np.array([len(s) for s in part]), flat)
+        rows += zip(*(x.tolist() for x in folded))
+    rows.sort()
+    columns = [np.array(x, np.int64) for x in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 3
+    reader, found = ngram_join.SharedSignatures(), []
+    for at in range(0, len(rows), piece):
+        found += zip(*(x.tolist() for x in reader.read(*(c[at : at + piece] for c in columns))))
+    found += zip(*(x.tolist() for x in reader.read(*(c[:0] for c in columns), True)))
+    owners = {x: [k for k, s in enumerate(sets) if x in s] for x in universe}
+    few = {(a, b) for own in owners.values() if len(own) <= ngram_join.PAIRED for a in own for b in own if a < b}
+    many = [(own[0], k) for own in owners.values() if len(own) > ngram_join.PAIRED for k in own]
+    assert {(a, b) for a, b, f in found if f} == few
+    nodes = range(len(sets))
+    assert brute.connected(nodes, [(a, b) for a, b, f in found if not f]) == brute.connected(nodes, many)
+    hot = max(owners.values(), key=len)
+    assert sum(1 for k, _, other in rows if k == universe[0] and other < 0) <= max(ngram_join.PAIRED, 1) * -(-len(sets) // batch) or len(hot) <= ngram_join.PAIRED
