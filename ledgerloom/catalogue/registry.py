@@ -738,7 +738,7 @@ def model_score_checks(w):
         "account_id",
         "current_plan_id",
         F.col("p").between(0.0, 1.0).alias("in_range"),
-        (F.abs(F.round("p", 4) - F.col("churn_probability")) < 1e-9).alias("served_as_predicted"),
+        (F.abs(F.bround("p", 4) - F.col("churn_probability")) < 1e-9).alias("served_as_predicted"),
         (F.abs(total - F.col("margin")) < 1e-9).alias("contributions_add_up"),
         (F.abs(1 / (1 + F.exp(-2 * F.col("margin"))) - F.col("p")) < 1e-9).alias("margin_gives_probability"),
         (F.col("risk_tier") == expected).alias("tier_follows"),

@@ -20,7 +20,7 @@ def score_rows(
 ) -> DataFrame:
     """The serving table's eight columns.
 
-    The tier is decided on the unrounded probability; accounts that are not at risk get the standing texts.
+    The tier is decided on the unrounded probability, and served numbers are rounded half to even; accounts that are not at risk get the standing texts.
     ``drivers`` names the features behind an at-risk account, largest first.
     """
     rows = accounts.withColumns({
@@ -31,8 +31,8 @@ def score_rows(
     return rows.select(
         "account_id",
         F.lit(scored_at).cast("timestamp").alias("score_timestamp"),
-        F.round("churn_probability", 4).alias("churn_probability"),
+        F.bround("churn_probability", 4).alias("churn_probability"),
         "risk_tier",
-        F.round(F.greatest(value, F.lit(PREDICTION_FLOOR)), 2).alias("predicted_12m_clv_usd"),
+        F.bround(F.greatest(value, F.lit(PREDICTION_FLOOR)), 2).alias("predicted_12m_clv_usd"),
         *(F.when(risky, codes[name]).otherwise(calm[name]).alias(name) for name in codes),
     )
