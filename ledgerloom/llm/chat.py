@@ -10,7 +10,8 @@ empty mask, so nothing of a conversation is lost. An example holds its whole con
 fit one row, and the examples of one conversation grow with the square of its turns.
 
 Rows are ordered by (turn, role, text), so ties and repeated rows have a fixed order and are all kept; a null turn comes
-first. Null role or text is empty. Rows without conv_id form one conversation without id. An empty table gives no example.
+first. Null role or text is empty. A row without conv_id is a conversation of one turn, told from the others by a number of its own
+(``alone``), so many such rows are many small groups. An empty table gives no example.
 """
 
 from __future__ import annotations
@@ -42,24 +43,28 @@ def formatted_turn(turn: Column) -> Column:
 def examples(conversations: DataFrame, trainable: str = "assistant") -> DataFrame:
     """One row for each example of ``conversations`` (conv_id, turn, role, text).
 
-    Columns: conv_id, example (from 1), n_turns, last (the example that holds every turn), formatted, loss_start and
-    loss_chars (the span under the mask, in code points from 0). One shuffle, by conversation.
+    Columns: conv_id, alone (a number for a row without conv_id, else null), example (from 1), n_turns, last (the example that
+    holds every turn), formatted, loss_start and loss_chars (the span under the mask, in code points from 0). One shuffle, by
+    conversation.
     """
     turn = F.struct(
         F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    whole = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("turn")).groupBy("conv_id")
+    conv_id = F.col("conv_id").cast("long")
+    alone = F.when(conv_id.isNull(), F.monotonically_increasing_id())
+    whole = conversations.select(conv_id.alias("conv_id"), alone.alias("alone"), turn.alias("turn")).groupBy("conv_id", "alone")
     turns = whole.agg(F.sort_array(F.collect_list("turn")).alias("turns"))
     targets = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda i: _role(i) == trainable)
     ends = F.when(_role(F.size("turns")) == trainable, targets).otherwise(F.concat(targets, F.array(F.size("turns"))))
     parts = F.transform("turns", formatted_turn)
-    exploded = turns.select("conv_id", "turns", parts.alias("parts"), F.posexplode(ends).alias("example", "end"))
+    exploded = turns.select("conv_id", "alone", "turns", parts.alias("parts"), F.posexplode(ends).alias("example", "end"))
     final = F.element_at("turns", F.col("end"))
     is_target = final["role"] == trainable
     spans = exploded.select(
         "conv_id",
+        "alone",
         (F.col("example") + 1).alias("example"),
         F.col("end").alias("n_turns"),
         (F.col("end") == F.size("turns")).alias("last"),
@@ -101,12 +106,13 @@ def digests(formatted: DataFrame) -> DataFrame:
     said = F.array_join(F.transform(turns_of(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     read = formatted.select(
         "conv_id",
+        "alone",
         F.when(F.col("last"), F.size(turns_of(F.col("formatted")))).alias("n_turns"),
         F.when(F.col("last"), F.sha2(said.cast("binary"), 256)).alias("turns_sha256"),
         F.struct("example", loss_text(F.col("formatted"), F.col("loss_start"), F.col("loss_chars")).alias("text")).alias("loss"),
         F.length("formatted").cast("long").alias("chars"),
     )
-    whole = read.groupBy("conv_id").agg(
+    whole = read.groupBy("conv_id", "alone").agg(
         F.max("n_turns").cast("long").alias("n_turns"),
         F.max("turns_sha256").alias("turns_sha256"),
         F.array_join(F.transform(F.sort_array(F.collect_list("loss")), lambda piece: piece["text"]), "").alias("loss"),

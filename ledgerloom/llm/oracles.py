@@ -65,18 +65,19 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
             UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
         placed AS (
-            SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n
-            FROM rows_ WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+            SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id, alone) AS n
+            FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM rows_) a
+            WINDOW w AS (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text)),
         summed AS (
             SELECT *, sum(length('### : </turn>') + 2 + length(replace({_escaped("role")}, ':', '\\c')) + length({_escaped("text")}))
-                      OVER (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS so_far
+                      OVER (PARTITION BY conv_id, alone ORDER BY i ROWS UNBOUNDED PRECEDING) AS so_far
             FROM placed)
         SELECT conv_id, count(*) AS n_turns,
                sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
                CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
                sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(so_far) FILTER (role = 'assistant' OR i = n) AS BIGINT) AS formatted_chars
-        FROM summed GROUP BY conv_id""",
+        FROM summed GROUP BY conv_id, alone""",
     "op7_lines": f"""
         WITH split AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS own
                        FROM documents),

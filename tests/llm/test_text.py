@@ -89,23 +89,27 @@ TURNS = [
 
 
 def chat_expected(rows):
+    """Digests by conversation; a row without id is one by itself."""
     conversations = defaultdict(list)
-    for c, t, role, text in rows:
-        conversations[c].append(((t is not None, t or 0), role or "", text or ""))
-    out = {}
+    for k, (c, t, role, text) in enumerate(rows):
+        conversations[(None, k) if c is None else c].append(((t is not None, t or 0), role or "", text or ""))
+    out = Counter()
     for c, turns in conversations.items():
         turns.sort()
         said = "".join(f"{r}\n{t}\n" for _, r, t in turns)
         loss = "".join(t for _, r, t in turns if r == "assistant")
-        out[c] = (len(turns), sha(said), len(loss), sha(loss))
+        out[None if isinstance(c, tuple) else c, len(turns), sha(said), len(loss), sha(loss)] += 1
     return out
 
 
+def chat_found(rows):
+    return Counter((r.conv_id, r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in rows)
+
+
 def test_chat_cases(spark):
     table = spark.createDataFrame(TURNS, CHAT).withColumn("turns", F.lit("x")).repartition(4)
     made = chat.examples(table)
-    found = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digests(made).collect()}
-    assert found == chat_expected(TURNS)
+    assert chat_found(chat.digests(made).collect()) == chat_expected(TURNS)
     for r in made.collect():
         # Control strings stand where turns begin and end, and nowhere else.
         assert r.formatted.count(chat.END) == r.formatted.count(chat.HEADER) == r.n_turns
@@ -114,13 +118,23 @@ def test_chat_cases(spark):
     per_conversation = Counter(r.conv_id for r in made.collect())
     for c, n in per_conversation.items():
         assert n - targets[c, "assistant"] in (0, 1)
+    assert all(r.n_turns == 1 and r.alone is not None for r in made.collect() if r.conv_id is None)
     assert chat.digests(chat.examples(table.limit(0))).count() == 0
 
 
 def test_chat_context_is_a_prefix(spark):
     made = chat.examples(spark.createDataFrame(TURNS, CHAT)).collect()
-    longest = {r.conv_id: r.formatted for r in made if r["last"]}
-    assert all(longest[r.conv_id].startswith(r.formatted) for r in made)
+    longest = {(r.conv_id, r.alone): r.formatted for r in made if r["last"]}
+    assert all(longest[r.conv_id, r.alone].startswith(r.formatted) for r in made)
+
+
+def test_many_rows_without_a_conversation(spark):
+    """A third of all rows has no conv_id: as many small conversations, not one group."""
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, NULL, id % 4000) AS conv_id", "id AS turn", "'assistant' AS role", "concat('t', id) AS text")
+    made = chat.examples(rows)
+    lone = made.where("conv_id IS NULL")
+    assert lone.count() == 10_000 and lone.agg(F.max("n_turns")).first()[0] == 1
+    assert chat.digests(made).where("conv_id IS NULL").count() == 10_000
 
 
 def test_chat_registered(spark, sample):
@@ -130,7 +144,7 @@ def test_chat_registered(spark, sample):
     said = "\\### Assistant: </turn> ok"
     rows += [(-7, 0, "user", said), (-7, 1, "assistant", said)]
     result = QUERIES["op6_chat"](spark, sample).collect()
-    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in result} == chat_expected(rows)
+    assert chat_found(result) == chat_expected(rows)
 
 
 def line_rows(seed=0):
