@@ -20,7 +20,7 @@ from ledgerloom.operators.splits import BUCKETS, hash_bucket, positive_weight
 from ledgerloom.operators.threshold import threshold_value_added
 from ledgerloom.operators.value import PREDICTION_FLOOR
 from ledgerloom.schemas import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
-from ledgerloom.session import materialise, shared_folder
+from ledgerloom.session import materialise, use_checkpoints
 from ledgerloom.sources.sinks import write_json
 
 FEATURES = "features"
@@ -129,7 +129,7 @@ def fit_churn_model(train: DataFrame, settings: ChurnSettings = ChurnSettings(),
 
 def fit_rounds(rows: DataFrame, settings: ChurnSettings, rounds: int) -> GBTClassificationModel:
     """The classifier with exactly ``rounds`` trees."""
-    shared_folder(rows.sparkSession)  # boosting cuts its lineage there every few rounds
+    use_checkpoints(rows.sparkSession)  # boosting cuts its lineage there every few rounds
     return GBTClassifier(
         featuresCol=FEATURES,
         labelCol="label",
@@ -202,7 +202,7 @@ def fit_boosted_value_model(
     """Boosted trees on log(1 + value), with the churn model's parameters; they end at the first round that lowers no loss."""
     held_back = hash_bucket(F.col("account_id"), VALIDATION_SEED) < int(settings.validation_share * BUCKETS)
     ready = log_scaled(train).withColumns({"log_value": F.log1p(F.col(target)), "held_back": held_back})
-    shared_folder(train.sparkSession)
+    use_checkpoints(train.sparkSession)
     regressor = GBTRegressor(
         featuresCol=VALUE_FEATURES,
         labelCol="log_value",

@@ -74,6 +74,7 @@ def _day(name: str, nullable: bool = False) -> T.StructField:
     return T.StructField(name, T.DateType(), nullable)
 
 
+# The seven table contracts, column by column.
 DIM_PLANS = Table(
     "dim_plans",
     T.StructType([

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,13 +37,23 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Where it is unset, a folder below the session's warehouse, which a cluster shares as well.
+    Where it is unset, a folder below the session's warehouse. On a cluster that must not be a path of one machine, or executors would
+    write where nobody else reads.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is not None:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    own_disk = warehouse.startswith("file:") or "://" not in warehouse
+    if own_disk and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir (or spark.sql.warehouse.dir) to a folder that all executors share")
+    return f"{warehouse}/checkpoints"
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let Spark's own checkpoints go to the shared folder, where the context has no folder yet."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -55,7 +66,13 @@ def _scratch_folder(spark: SparkSession) -> str:
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Remove the intermediate tables of this application; results that still read them end here."""
+    """Remove the intermediate tables of this application, also from the catalog; results that still read them end here."""
+    own = f"/ledgerloom/{spark.sparkContext.applicationId}/"
+    for found in spark.catalog.listTables():
+        if found.tableType == "EXTERNAL":
+            row = spark.sql(f"DESCRIBE FORMATTED {found.name}").where("col_name = 'Location'").first()
+            if row is not None and own in row.data_type:
+                spark.sql(f"DROP TABLE {found.name}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 

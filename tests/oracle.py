@@ -19,9 +19,9 @@ import duckdb
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
-    "conversations"
-).split()
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:

@@ -192,6 +192,14 @@ def test_folder_without_a_setting_lies_in_the_warehouse(spark, monkeypatch):
         conf, sparkContext = Settings(), Context()
 
     assert session.shared_folder(Session()) == "hdfs://shared/warehouse/checkpoints"
+    Settings.get = lambda self, key, default=None: {"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"}.get(key, default)
+    for master, allowed in (("local[8]", True), ("local", True), ("local-cluster[3,2,1000]", False), ("yarn", False)):
+        Context.master = master
+        if allowed:
+            assert session.shared_folder(Session()).endswith("/checkpoints")
+        else:
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                session.shared_folder(Session())
 
 
 def test_a_writer_that_dies_leaves_the_old_table(spark, tmp_path):
@@ -301,3 +309,38 @@ def test_a_hot_account_has_a_row_a_day(spark):
         "1 AS api_call_count", "1 AS dashboard_logins", "0 AS exports_count")
     folded = daily.folded(facts, daily.DAILY_TELEMETRY)
     assert folded.where("account_id = 'hot'").count() == 10 and folded.agg(F.sum("api_call_count")).first()[0] == 30_000
+
+
+def test_cleared_scratch_leaves_no_table_in_the_catalog(spark, sample):
+    """In a session of its own application id, so the other tests keep their tables."""
+    from ledgerloom import session
+
+    path = scratch_path(spark, "kept")
+    facts = SampleWarehouse(spark, sample).contract_tables()["fact_daily_balances"].limit(10)
+    sinks.write_parquet(facts, path, schemas.FACT_DAILY_BALANCES, 2)
+    names = {t.name for t in spark.catalog.listTables() if t.tableType == "EXTERNAL"}
+    assert any(n.startswith("fact_daily_balances_") for n in names)
+    removed = []
+
+    class Context:
+        applicationId = path.rsplit("/ledgerloom/", 1)[1].split("/")[0]
+        _jvm, _jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+
+    class Catalog:
+        listTables = staticmethod(lambda: [t for t in spark.catalog.listTables() if t.name.startswith("fact_daily_balances_")])
+
+    class Session:
+        sparkContext, catalog, conf = Context(), Catalog(), spark.conf
+
+        def sql(self, text):
+            if text.startswith("DROP"):
+                removed.append(text)
+            return spark.sql(text)
+
+    monkey = session._scratch_folder
+    try:
+        session._scratch_folder = lambda _: path  # only this table's folder goes
+        session.clear_scratch(Session())
+    finally:
+        session._scratch_folder = monkey
+    assert removed and not any(t.name == removed[0].split()[-1] for t in spark.catalog.listTables())
