@@ -597,7 +597,12 @@ def serving_table(w):
 # The sample's label has no signal, so boosting with a long patience would only grow trees that are cut off again.
 CHURN = models.ChurnSettings(patience=5)
 # Few large steps, to show the fit; the defaults are for real training.
-TWEEDIE = tweedie.TweedieSettings(rounds=8, patience=3, learning_rate=0.4, depth=4)
+TWEEDIE = tweedie.TweedieSettings(rounds=5, patience=3, learning_rate=0.5, depth=4)
+
+
+def fit_tweedie(train: DataFrame):
+    return models.fit_tweedie_value_model(train, settings=TWEEDIE)
+
 
 _trained: dict[tuple, tuple] = {}
 
@@ -610,7 +615,7 @@ def trained(w: SampleWarehouse) -> tuple[DataFrame, jobs.ChurnTraining]:
     return _trained[key]
 
 
-def trained_value(w: SampleWarehouse, fit=models.fit_value_model) -> jobs.ValueTraining:
+def trained_value(w: SampleWarehouse, fit=fit_tweedie) -> jobs.ValueTraining:
     key = (fit.__name__, w.spark.sparkContext.applicationId, w.folder)
     if key not in _trained:
         _trained[key] = jobs.train_value(trained(w)[0], fit=fit)
@@ -656,10 +661,6 @@ def clv_predictions(w):
     return models.value_predictions(trained_value(w).model, rows).select("account_id", "value_12m", "predicted_value")
 
 
-def fit_tweedie(train: DataFrame):
-    return models.fit_tweedie_value_model(train, settings=TWEEDIE)
-
-
 @query
 def clv_model_metrics(w):
     """The value models on the same hold-out."""

@@ -51,8 +51,11 @@ def panel_sums(
         *(F.expr(f"({e})").alias(f"_c_{n}") for n, e in on_cutoff.items()),
         *(_numbers(day, first, cutoffs, last, shift).alias(f"_at_{shift}") for shift in (0, short + 1, long + 1)),
     )
-    change = lambda shift, s, g: F.struct(F.col(f"_at_{shift}").alias("_at"), F.lit(s).alias(f"_s_{short}"), F.lit(g).alias(f"_s_{long}"))
-    changes = values.select("*", F.inline(F.array(change(0, 1, 1), change(short + 1, -1, 0), change(long + 1, 0, -1)))).where(F.col("_at") < m)
+    change = lambda shift, in_short, in_long: F.struct(
+        F.col(f"_at_{shift}").alias("_at"), F.lit(in_short).alias(f"_s_{short}"), F.lit(in_long).alias(f"_s_{long}")
+    )
+    three = F.inline(F.array(change(0, 1, 1), change(short + 1, -1, 0), change(long + 1, 0, -1)))
+    changes = values.select("*", three).where(F.col("_at") < m)
     starts = F.col(f"_s_{long}") == 1
     folded = changes.groupBy("account_id", "_at").agg(
         *(F.sum(F.col(f"_v_{n}") * F.col(f"_s_{w}")).alias(f"{n}_{w}") for n, (_, ws) in amounts.items() for w in ws),

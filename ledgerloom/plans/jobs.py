@@ -45,10 +45,10 @@ class ValueTraining:
     tested: DataFrame
 
 
-def train_value(features: DataFrame, noise_seed: int | None = None, fit=models.fit_value_model) -> ValueTraining:
+def train_value(features: DataFrame, noise_seed: int | None = None, fit=models.fit_tweedie_value_model) -> ValueTraining:
     """Random hold-out, fit on the rest; ``tested`` holds label and forecast of the hold-out.
 
-    ``fit`` is ``models.fit_value_model`` or ``models.fit_boosted_value_model``; the hold-out is the same.
+    ``fit`` is ``models.fit_tweedie_value_model``, ``fit_value_model`` or ``fit_boosted_value_model``; the hold-out is the same.
     """
     split = materialise(random_split(with_twelve_month_value(features, noise_seed)), "valued")
     model = fit(split.where(~F.col("is_test")))

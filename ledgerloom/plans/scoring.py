@@ -20,7 +20,8 @@ def score_rows(
 ) -> DataFrame:
     """The serving table's eight columns.
 
-    The tier is decided on the unrounded probability, and served numbers are rounded half to even; accounts that are not at risk get the standing texts.
+    The tier is decided on the unrounded probability, and served numbers are rounded half to even; accounts that are not at risk
+    get the standing texts.
     ``drivers`` names the features behind an at-risk account, largest first.
     """
     rows = accounts.withColumns({

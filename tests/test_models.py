@@ -32,7 +32,7 @@ def churn(snapshot):
 
 @pytest.fixture(scope="module")
 def value(snapshot):
-    return jobs.train_value(snapshot)
+    return jobs.train_value(snapshot, fit=models.fit_value_model)
 
 
 def test_boosting_stops_and_keeps_the_first_rounds(spark, snapshot):
@@ -44,7 +44,8 @@ def test_boosting_stops_and_keeps_the_first_rounds(spark, snapshot):
     assert kept < 14
     whole = models.ChurnSettings(rounds=kept, patience=99, depth=3, learning_rate=0.5, min_leaf=5)
     held = splits.hash_bucket(F.col("account_id"), models.VALIDATION_SEED) < 1500
-    weight = noise.agg(F.sum("churn_next_60d").alias("p"), F.count(F.lit(1)).alias("n")).select((F.col("n") - F.col("p")) / F.col("p")).first()[0]
+    counts = noise.agg(F.sum("churn_next_60d").alias("p"), F.count(F.lit(1)).alias("n")).first()
+    weight = (counts.n - counts.p) / counts.p
     rows = models.transformed(PipelineModel(stopped.stages[:-1]), noise).where(~held).withColumns({
         "label": F.col("churn_next_60d").cast("double"), "weight": F.when(F.col("churn_next_60d") == 1, weight).otherwise(1.0),
     })
@@ -121,7 +122,8 @@ def test_tweedie_handles_zeros_and_refuses_negative_values(spark):
     rows = spark.range(60).select(array_to_vector(F.array(F.col("id").cast("double"))).alias("x"), F.lit(False).alias("held"),
                                   F.when(F.col("id") < 30, 0.0).otherwise(F.col("id").cast("double")).alias("y"))
     fitted = tweedie.fit(rows, "x", "y", "held", "f", tweedie.TweedieSettings(rounds=3, learning_rate=0.9, depth=2, min_leaf=5))
-    low, high = (r[0] for r in fitted.model.transform(rows).groupBy(F.col("y") > 0).agg(F.avg(F.exp("f")).alias("m")).orderBy("m").select("m").collect())
+    means = fitted.model.transform(rows).groupBy(F.col("y") > 0).agg(F.avg(F.exp("f")).alias("m")).orderBy("m")
+    low, high = (r.m for r in means.collect())
     assert low < 1 < 20 < high
     with pytest.raises(ValueError):
         tweedie.fit(rows.withColumn("y", F.lit(-1.0)), "x", "y", "held", "f", tweedie.TweedieSettings())

@@ -210,8 +210,9 @@ def test_a_writer_that_dies_leaves_the_old_table(spark, tmp_path):
         "CAST(id AS DECIMAL(18,2)) AS closing_balance_usd")
     sinks.write_parquet(made(1000), folder, table)
     old = readers.table(spark, folder, table.name)
-    broken = made(5000).withColumn(
-        "closing_balance_usd", F.when(F.col("closing_balance_usd") > 4900, F.raise_error("killed").cast("decimal(18,2)")).otherwise(F.col("closing_balance_usd")))
+    balance = F.col("closing_balance_usd")
+    dies = F.when(balance > 4900, F.raise_error("killed").cast("decimal(18,2)")).otherwise(balance)
+    broken = made(5000).withColumn("closing_balance_usd", dies)
     with pytest.raises(Exception, match="killed"):
         sinks.write_parquet(broken, folder, table)
     assert readers.table(spark, folder, table.name).count() == 1000
@@ -272,7 +273,9 @@ def test_a_lookup_opens_no_other_file(spark, sample, tmp_path):
 
 
 def test_another_session_finds_the_buckets(spark, sample, bucketed):
-    name = next(t.name for t in spark.catalog.listTables() if t.name.startswith("fact_daily_balances_") and bucketed in spark.sql(f"DESCRIBE FORMATTED {t.name}").where("col_name = 'Location'").first().data_type)
+    place = lambda name: spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first().data_type
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith("fact_daily_balances_")]
+    name = next(n for n in names if bucketed in place(n))
     before = readers.table(spark, bucketed, "fact_daily_balances").count()
     spark.sql(f"DROP TABLE {name}")  # the files of an external table stay
     again = readers.table(spark, bucketed, "fact_daily_balances")
