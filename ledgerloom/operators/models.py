@@ -27,7 +27,7 @@ FEATURES = "features"
 VALUE_FEATURES = "value_features"
 VALIDATION_SEED = 43
 # Rounds of the first churn fit beyond the patience.
-FIRST_ROUNDS = 10
+FIRST_ROUNDS = 4
 
 
 @dataclass(frozen=True)
