@@ -18,18 +18,18 @@ def _laid_out(df: DataFrame, table: Table, buckets: int = 0) -> DataFrame:
     """Facts by month (and bucket), every file sorted by account, so a lookup skips files and row groups.
 
     Rebalancing splits a large month or bucket by size, whatever its keys, and joins small ones, in one pass over the
-    input (ranges would read it once more to sample their bounds).
+    input (ranges would read it once more to sample their bounds). The writer of a bucketed table sorts by month, bucket and account
+    itself, so its rows are not sorted here as well.
     """
     by = [MONTH] if table.dated_by is not None else []
-    order = [*by, "account_id", table.dated_by] if by else ["account_id"]
     if by:
         df = df.withColumn(MONTH, F.date_format(table.dated_by, "yyyy-MM"))
     if buckets:
-        df, by = df.withColumn("_bucket", F.pmod(F.hash("account_id"), F.lit(buckets))), [*by, "_bucket"]
-        order.insert(len(by) - 1, "_bucket")
+        numbered = df.withColumn("_bucket", F.pmod(F.hash("account_id"), F.lit(buckets)))
+        return numbered.hint("rebalance", *map(F.col, [*by, "_bucket"])).drop("_bucket")
     if not by:
         return df
-    return df.hint("rebalance", *map(F.col, by)).sortWithinPartitions(*order).drop("_bucket")
+    return df.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "account_id", table.dated_by)
 
 
 def write_parquet(df: DataFrame, folder: str, table: Table, buckets: int = 0) -> int:
@@ -46,7 +46,7 @@ def write_parquet(df: DataFrame, folder: str, table: Table, buckets: int = 0) ->
 
     def write(path: str) -> None:
         if buckets:
-            storage.write_bucketed(laid_out, path, table.name, buckets, by_month)
+            storage.write_bucketed(laid_out, path, table, buckets)
         else:
             (laid_out.write.partitionBy(MONTH) if by_month else laid_out.write).parquet(path)
 

@@ -88,12 +88,17 @@ def catalog_name(path: str, name: str) -> str:
     return f"{name}_{zlib.crc32(path.encode('utf-8')):08x}"
 
 
-def write_bucketed(df: DataFrame, path: str, name: str, buckets: int, by_month: bool) -> None:
-    """One folder a month, in it files by bucket of the account, sorted by account."""
-    writer = df.write.format("parquet").bucketBy(buckets, ACCOUNT).sortBy(ACCOUNT).option("path", path)
-    if by_month:
+def file_order(table: Table) -> list[str]:
+    """The order of the rows in a file of a bucketed table."""
+    return [ACCOUNT] if table.dated_by is None else [ACCOUNT, table.dated_by]
+
+
+def write_bucketed(df: DataFrame, path: str, table: Table, buckets: int) -> None:
+    """One folder a month, in it files by bucket of the account, sorted by account and day."""
+    writer = df.write.format("parquet").bucketBy(buckets, ACCOUNT).sortBy(*file_order(table)).option("path", path)
+    if table.dated_by is not None:
         writer = writer.partitionBy(MONTH)
-    writer.saveAsTable(catalog_name(path, name))
+    writer.saveAsTable(catalog_name(path, table.name))
 
 
 def read_version(spark: SparkSession, path: str, table: Table, by_month: bool) -> DataFrame:
@@ -107,7 +112,7 @@ def read_version(spark: SparkSession, path: str, table: Table, by_month: bool) -
         month, parted = (f", {MONTH} string", f"PARTITIONED BY ({MONTH})") if by_month else ("", "")
         spark.sql(
             f"CREATE TABLE {name} ({columns}{month}) USING parquet {parted} "
-            f"CLUSTERED BY ({ACCOUNT}) SORTED BY ({ACCOUNT}) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY ({ACCOUNT}) SORTED BY ({', '.join(file_order(table))}) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
         if by_month:
             spark.sql(f"MSCK REPAIR TABLE {name}")

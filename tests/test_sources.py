@@ -347,3 +347,35 @@ def test_cleared_scratch_leaves_no_table_in_the_catalog(spark, sample):
     finally:
         session._scratch_folder = monkey
     assert removed and not any(t.name == removed[0].split()[-1] for t in spark.catalog.listTables())
+
+
+def test_a_stored_query_writes_only_what_it_reads(spark, sample, monkeypatch):
+    from ledgerloom.catalogue import registry
+
+    names, write = [], sinks.write_parquet
+    monkeypatch.setattr(registry, "_folders", {})
+    monkeypatch.setattr(registry, "_written", set())
+    monkeypatch.setattr(sinks, "write_parquet", lambda df, folder, table, *rest: names.append(table.name) or write(df, folder, table, *rest))
+    for name in ("account_balance_history", "account_transaction_history", "colocated_feature_store"):
+        names.append(name)
+        assert registry.QUERIES[name](spark, sample).count() > 0
+    assert names == [
+        "account_balance_history", "fact_daily_balances", "account_transaction_history", "fact_transactions",
+        "colocated_feature_store", "dim_plans", "dim_accounts", "daily_transactions", "daily_telemetry",
+    ]
+
+
+def test_bucketed_rows_are_sorted_once(spark, sample, monkeypatch):
+    """By the writer; every file holds its accounts and days in order."""
+    from pyspark.sql import DataFrameWriter
+
+    plans, save = [], DataFrameWriter.saveAsTable
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", lambda self, *args: plans.append(plan_of(self._df)) or save(self, *args))
+    facts = SampleWarehouse(spark, sample).contract_tables()["fact_telemetry"]
+    folder = scratch_path(spark, "sorted")
+    sinks.write_parquet(facts, folder, schemas.FACT_TELEMETRY, 4)
+    assert len(plans) == 1 and "Sort [" not in plans[0].split("Exchange")[0]
+    read = spark.read.parquet(readers.storage.current(spark, f"{folder}/fact_telemetry"))
+    rows = read.select(F.input_file_name().alias("f"), "account_id", "log_date").collect()
+    files = {r.f: [(x.account_id, x.log_date) for x in rows if x.f == r.f] for r in {r.f: r for r in rows}.values()}
+    assert len(files) > 4 and all(own == sorted(own) for own in files.values())
