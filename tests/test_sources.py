@@ -390,3 +390,12 @@ def test_round_trip_goes_through_compressed_files(spark, sample, monkeypatch, tm
     for table in schemas.BASE_TABLES:
         parts = list((tmp_path / "csv" / f"{table.name}.csv").glob("part-*"))
         assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+
+
+def test_warehouse_store_ingests_the_tables_it_reads(spark, sample, monkeypatch):
+    from ledgerloom.catalogue import registry
+
+    names, write = [], sinks.write_parquet
+    monkeypatch.setattr(sinks, "write_parquet", lambda df, folder, table, *rest: names.append(table.name) or write(df, folder, table, *rest))
+    assert registry.QUERIES["warehouse_feature_store"](spark, sample).count() > 0
+    assert sorted(names) == ["dim_accounts", "dim_plans", "fact_daily_balances", "fact_telemetry", "fact_transactions"]
