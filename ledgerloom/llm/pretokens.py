@@ -131,6 +131,19 @@ def as_letters(unit: str) -> str:
     return unit.translate(BYTE_LETTERS)
 
 
+LETTER_POINTS = np.array([ord(BYTE_LETTERS[b]) for b in range(256)], "<u2")
+
+
+def letter_units(units: pa.Array) -> list[str]:
+    """The UTF-8 bytes of each of some units as vocabulary characters, mapped for all of them at once."""
+    offsets = np.frombuffer(units.buffers()[1], np.int32)[units.offset : units.offset + len(units) + 1] if len(units) else [0]
+    if not offsets[-1]:
+        return [""] * len(units)
+    data = np.frombuffer(units.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    letters, cuts = LETTER_POINTS[data].tobytes().decode("utf-16-le"), (offsets - offsets[0]).tolist()
+    return [letters[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 class Gathered:
     """Ids of many units, looked up by code: the ids of unit c are flat[first[c] : first[c] + count[c]]."""
 
@@ -139,6 +152,15 @@ class Gathered:
         self.first = np.cumsum(self.count) - self.count
         self.flat = np.fromiter(chain.from_iterable(entries), dtype=np.uint32, count=int(self.count.sum()))
 
+    @classmethod
+    def of_bytes(cls, entries: list[bytes]) -> Gathered:
+        """The same for entries of little-endian unsigned 32-bit ids."""
+        made = cls([])
+        made.count = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // 4
+        made.first = np.cumsum(made.count) - made.count
+        made.flat = np.frombuffer(b"".join(entries), "<u4")
+        return made
+
     def take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the coded units one after the other, and the number of ids before each unit (one entry more)."""
         count = self.count[codes]

@@ -37,6 +37,31 @@ def test_encoder_on_sample(spark, sample):
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [library_ids(v) for v in values]
 
 
+class Counting:
+    """A model that counts its calls."""
+
+    def __init__(self, model):
+        self.model, self.calls = model, 0
+
+    def tokenize(self, text):
+        self.calls += 1
+        return self.model.tokenize(text)
+
+
+@pytest.mark.parametrize("alone", [False, True])
+def test_encoder_joins_units(alone):
+    encoder = ByteEncoder(BYTE_BPE)
+    encoder.model = counted = Counting(encoder.model)
+    if alone:
+        encoder.separator = None
+    values = [f"w{k}x \xff\u00fe\u00c0{k} \x00\x7f 日{k}\n" for k in range(300)] + ["", "ÿ" * 300]
+    for _ in range(2):  # from the model, then from memory
+        ids, bounds = encoder.encode(values)
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [library_ids(v) for v in values]
+    distinct = len(encoder.known)
+    assert distinct > 300 and counted.calls == (distinct if alone else -(-distinct // 64))
+
+
 def check_packing(rows, expected):
     """expected: doc_id -> list of id lists. Every id in one piece, sequences without gaps, digests of the real ids."""
     sequences, covered = defaultdict(list), defaultdict(list)
