@@ -211,3 +211,14 @@ def test_scoring_needs_no_shuffle(snapshot, churn, value):
     from frames import plan_of
 
     assert "Exchange" not in plan_of(jobs.batch_scores(snapshot, churn.model, value.model, 0.3, f"{CUTOFF} 00:00:00"))
+
+
+def test_value_models_train_no_churn_model(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a churn model was trained")
+
+    monkeypatch.setattr(registry, "_trained", {})
+    monkeypatch.setattr(registry.jobs, "train_churn", refuse)
+    monkeypatch.setattr(registry.jobs, "train_value", lambda features, fit: features.columns)
+    w = SampleWarehouse(spark, "/root/testdata/sf0.001")
+    assert "account_id" in registry.trained_value(w)
