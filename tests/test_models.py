@@ -222,3 +222,10 @@ def test_value_models_train_no_churn_model(spark, monkeypatch):
     monkeypatch.setattr(registry.jobs, "train_value", lambda features, fit: features.columns)
     w = SampleWarehouse(spark, "/root/testdata/sf0.001")
     assert "account_id" in registry.trained_value(w)
+
+
+def test_tables_of_all_accounts_are_not_broadcast(spark):
+    few = spark.createDataFrame([("a", 1)], "account_id string, x int")
+    joined = registry.beside(few, few.withColumnRenamed("x", "y"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and joined.collect() == [("a", 1, 1)]
