@@ -1,13 +1,17 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
 The probability of a token is that of its class in its context, times that of the token in its class. The most frequent tokens
-are classes of their own; the others are dealt to classes by a hash. A token's share of its class is its smoothed count. The
-class is predicted by a log-linear model over hashed features of the context: the token before, the token before that
-(a skip feature), and both together (an n-gram feature).
+are classes of their own; the others are dealt to classes by a hash. The class is predicted by a log-linear model over hashed features
+of the context: the token before, the token before that (a skip feature), and both together (an n-gram feature).
+
+A hashed class is cut into parts by more bits of the hash. A second softmax predicts the part within its class, from one hashed feature
+for each pair of the token before and a part; a token's share of its part is its smoothed count. How many parts and how many buckets
+of the token before there are follows from the counted vocabulary: their product grows with its square root.
 
 Features are functions of a bounded number of context cells, so the corpus is folded once to counts by cell and class. The
 weights are learned by gradient steps over these counts: tasks compute the gradient of their cells, the sums are
-gathered, and each step is scaled by the curvature. A text is scored in batches: one row of class probabilities for each distinct cell,
+gathered, and each step is scaled by the curvature. Those of the parts depend on one bucket alone, so tasks learn them bucket by bucket.
+A text is scored in batches: one row of class probabilities for each distinct cell,
 looked up for all tokens at once. Probabilities of all tokens and an unknown one sum to at most 1 in every context.
 
 Tokens are words with A-Z in lower case, cut at ASCII white space, and one end for each text; they are handled as 64-bit hashes.
@@ -17,6 +21,7 @@ have none. Without training texts every count is 0. An empty table gives an empt
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import prepared, slices, texts
+from ledgerloom.llm.common import BATCH_ROWS, prepared, slices, texts
 from ledgerloom.llm.shingles import MIX, mixed, word_hashes
 from ledgerloom.session import materialise
 
@@ -43,6 +48,8 @@ GRADIENT_TASKS = 8
 FREQUENT = 1 << 19
 END = int(mixed(np.full(1, 7, np.uint64) * MIX)[0])
 START = np.uint64(11)
+# Pairs of a bucket of the token before and a part, for each square root of a distinct token.
+PAIRS = 1024
 # Distinct tokens a task counts before it hands the counts on.
 COUNTED = 2_000_000
 
@@ -58,10 +65,17 @@ def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return tokens, bounds + np.arange(len(bounds))
 
 
+def sizes(distinct: int) -> tuple[int, int]:
+    """Buckets of the token before, and parts of all hashed classes together, for a vocabulary: powers of two."""
+    bits = round(math.log2(PAIRS * math.sqrt(distinct + 1)))
+    return max(NEAR, 1 << bits // 2), max(HASHED, 1 << (bits + 1) // 2)
+
+
 class Layout:
-    """Classes and context cells of tokens, given the most frequent ones."""
+    """Classes and context cells of tokens, given the most frequent ones; parts of classes and the buckets they depend on."""
 
-    def __init__(self, top: list[int]):
+    def __init__(self, top: list[int], buckets: int = NEAR, parts: int = HASHED):
+        self.buckets, self.parts = buckets, parts
         self.top = np.sort(np.array(top, np.uint64))
         rank = np.full(len(top), 0, np.int64)
         rank[np.searchsorted(self.top, np.array(top, np.uint64))] = np.arange(len(top))
@@ -93,6 +107,14 @@ class Layout:
         before_that[second] = start_skip
         return classes, before * SKIP + before_that
 
+    def pairs(self, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Of each token, the bucket of the one before it, times the number of parts, plus its part."""
+        fine = self._bucket(tokens, self.ranks(tokens), self.buckets, NEAR_TOP)
+        before = np.empty_like(fine)
+        before[1:] = fine[:-1]
+        before[bounds[:-1]] = self._bucket(np.full(1, START, np.uint64), np.array([-1]), self.buckets, NEAR_TOP)[0]
+        return before * self.parts + (tokens & np.uint64(self.parts - 1)).astype(np.int64)
+
     @staticmethod
     def _bucket(tokens: np.ndarray, ranks: np.ndarray, buckets: int, own: int) -> np.ndarray:
         hashed = own + ((tokens >> np.uint64(20)) % np.uint64(buckets - own)).astype(np.int64)
@@ -175,6 +197,62 @@ def context_counts(docs: DataFrame, top: list[int]) -> DataFrame:
     return parts.groupBy("cell", "class").agg(F.sum("n").alias("n"))
 
 
+def part_steps(counts: np.ndarray, shares: np.ndarray, steps: int) -> np.ndarray:
+    """Natural logarithms of the probabilities of parts in their classes, for one bucket.
+
+    ``counts`` holds how often each part follows, ``shares`` the smoothed counts of its tokens, which are what the softmax gives without
+    a weight. Parts of a class are HASHED places apart.
+    """
+    seen, base = counts.reshape(-1, HASHED).astype(float), np.log(shares.reshape(-1, HASHED))
+    weights, total = np.zeros_like(seen), seen.sum(axis=0)
+
+    def logs() -> np.ndarray:
+        scores = base + weights
+        scores -= scores.max(axis=0)
+        return scores - np.log(np.exp(scores).sum(axis=0))
+
+    for _ in range(steps):
+        expected = total * np.exp(logs())
+        weights += (seen - expected - PRIOR * weights) / (np.maximum(seen, expected) + PRIOR)
+    return logs().ravel()
+
+
+def part_logs(docs: DataFrame, layout: Layout, shares: np.ndarray, steps: int = STEPS) -> np.ndarray:
+    """Natural logarithms of the probability of each part in its class, by bucket of the token before, learned from ``docs`` (text).
+
+    Tasks fold their texts to one row for each bucket they meet; a group holds the rows of one bucket.
+    """
+    kind = "bucket long, sums binary"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(layout.buckets * layout.parts, np.int32)
+        for batch in batches:
+            column = texts(batch.column(0))
+            for begin, stop in slices(column):
+                with np.errstate(over="ignore"):
+                    tokens, bounds = tokens_of(column.slice(begin, stop - begin))
+                at, n = np.unique(layout.pairs(tokens, bounds)[layout.ranks(tokens) < 0], return_counts=True)
+                total[at] += n.astype(np.int32)
+        rows = total.reshape(layout.buckets, layout.parts)
+        used = np.flatnonzero(rows.any(axis=1))
+        for k in range(0, len(used), BATCH_ROWS):
+            part = used[k : k + BATCH_ROWS]
+            yield pa.record_batch([pa.array(part), pa.array([rows[b].tobytes() for b in part])], names=["bucket", "sums"])
+
+    def learn(found: pa.Table) -> pa.Table:
+        counts = np.zeros(layout.parts)
+        for sums in found.column("sums"):
+            counts += np.frombuffer(sums.as_buffer(), np.int32)
+        logs = part_steps(counts, shares, steps).astype(np.float32)
+        return pa.table({"bucket": found.column("bucket").slice(0, 1), "sums": pa.array([logs.tobytes()], pa.binary())})
+
+    logs = np.tile(part_steps(np.zeros(layout.parts), shares, 0).astype(np.float32), (layout.buckets, 1))
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, kind)
+    for row in rows.groupBy("bucket").applyInArrow(learn, kind).collect():  # one row for each bucket
+        logs[row.bucket] = np.frombuffer(row.sums, np.float32)
+    return logs
+
+
 def train(contexts: DataFrame, steps: int = STEPS) -> np.ndarray:
     """Weights by feature and class, from (cell, class, n).
 
@@ -246,24 +324,28 @@ def score(docs: DataFrame, held_out: Column, steps: int = STEPS) -> DataFrame:
     counts = materialise(token_counts(learned), "token-counts")
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     top = [r["h"] % (1 << 64) for r in counts.orderBy(F.desc("c"), "h").limit(TOP).collect()]
-    hashed = F.col("h").bitwiseAND(F.lit(HASHED - 1)).cast("int").alias("k")
+    buckets, parts = sizes(size["v"])
+    hashed = F.col("h").bitwiseAND(F.lit(parts - 1)).cast("int").alias("k")
     classes = counts.where(~F.col("h").isin([_signed(t) for t in top])).groupBy(hashed).agg(
         F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")
     )
-    within = np.zeros(CLASSES)  # log10 of what a count is divided by in each class; a frequent token fills its class
-    for row in classes.collect():
-        within[TOP + row["k"]] = np.log10(row["n"] + row["v"] + 1)
+    shares = np.ones(parts)  # what a count is divided by in each part; a frequent token fills its class
+    for row in classes.collect():  # one row for each part
+        shares[row["k"]] = row["n"] + row["v"] + 1
+    layout = Layout(top, buckets, parts)
+    # log10 of the probability of a part in its class, divided by its smoothed counts
+    inner = (part_logs(learned, layout, shares, steps) / np.log(10) - np.log10(shares)).astype(np.float32).ravel()
     weights = train(materialise(context_counts(learned, top), "context-counts"), steps)
     often = (F.col("c") > size["n"] / FREQUENT) | F.col("h").isin([_signed(t) for t in top])
     frequent = counts.where(often).toPandas()  # FREQUENT + TOP rows at most
     order = np.argsort(frequent["h"].to_numpy().astype(np.int64).view(np.uint64))
     known = frequent["h"].to_numpy().astype(np.int64).view(np.uint64)[order], frequent["c"].to_numpy().astype(np.int64)[order]
-    shared = spark.sparkContext.broadcast((top, within, weights, known))
+    shared = spark.sparkContext.broadcast((inner, weights, known))
     base = float(np.log10(size["n"] + size["v"] + 1))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top, within, weights, (hashes, numbers) = shared.value
-        layout, done = Layout(top), TaskContext.get().partitionId() << 33
+        inner, weights, (hashes, numbers) = shared.value
+        done = TaskContext.get().partitionId() << 33
         logs = (class_logs(weights, np.arange(CELLS)) / np.log(10)).astype(np.float32)
         for batch in batches:
             column = texts(batch.column(1))
@@ -272,12 +354,13 @@ def score(docs: DataFrame, held_out: Column, steps: int = STEPS) -> DataFrame:
                 with np.errstate(over="ignore"):
                     tokens, bounds = tokens_of(column.slice(begin, n))
                     classes, cells = layout.read(tokens, bounds)
+                    pairs = layout.pairs(tokens, bounds)
                 at = np.minimum(np.searchsorted(hashes, tokens), max(len(hashes) - 1, 0))
                 often = hashes[at] == tokens if len(hashes) else np.zeros(len(tokens), bool)
                 count = np.where(often, numbers[at], 0) if len(hashes) else np.zeros(len(tokens), np.int64)
                 log_count = np.log10(count + 1)
                 single = classes < TOP
-                model = logs[cells, classes].astype(np.float64) - within[classes] + np.where(single, 0, log_count)
+                model = logs[cells, classes].astype(np.float64) + np.where(single, 0, inner[pairs] + log_count)
                 first = bounds[:-1]
                 rare = np.flatnonzero(~often)
                 doc = np.searchsorted(bounds, rare, side="right") - 1

@@ -214,3 +214,43 @@ def test_training_raises_the_likelihood(spark):
 
     values = [likelihood(s) for s in (0, 1, 4, 10)]
     assert values == sorted(values) and values[-1] > values[0] + 100
+
+
+def test_part_probabilities_sum_to_one_and_follow_the_counts():
+    rng = np.random.default_rng(2)
+    counts, shares = rng.integers(0, 9, 4 * maxent.HASHED), rng.integers(1, 50, 4 * maxent.HASHED)
+    values = []
+    for steps in (0, 1, 4, 12):
+        logs = maxent.part_steps(counts, shares, steps)
+        assert np.allclose(np.exp(logs).reshape(-1, maxent.HASHED).sum(axis=0), 1)
+        values.append((counts * logs).sum())
+    assert values == sorted(values) and values[-1] > values[0] + 100
+    start = maxent.part_steps(np.zeros(4 * maxent.HASHED), shares, 12).reshape(-1, maxent.HASHED)
+    assert np.allclose(np.exp(start), shares.reshape(-1, maxent.HASHED) / shares.reshape(-1, maxent.HASHED).sum(axis=0))
+
+
+def test_maxent_grows_with_the_vocabulary():
+    assert maxent.sizes(0) == (maxent.NEAR, maxent.HASHED)
+    found = [math.prod(maxent.sizes(v)) for v in (0, 10**5, 10**6, 10**7, 10**8)]
+    assert found == sorted(set(found)) and found[-1] < 1 << 25
+
+
+def test_maxent_tells_pairs_of_words_of_one_class_apart(spark):
+    """Words that follow each other: the right second word scores above another of its class that is as frequent."""
+    second = [f"b{i}" for i in range(600)]
+    tokens, _ = maxent.tokens_of(pa.array([" ".join(second)]))
+    tokens = tokens[:-1].tolist()
+    parts = maxent.sizes(1201)[1]
+    wrong = {}
+    for i in range(600):
+        same = (j for j in range(600) if tokens[j] % maxent.HASHED == tokens[i] % maxent.HASHED)
+        j = next((j for j in same if tokens[j] % parts != tokens[i] % parts), None)
+        if j is not None:
+            wrong[i] = j
+    learned = [(i, f"a{i} b{i} " * 5) for i in range(600)]
+    right = [(1000 + i, f"a{i} b{i}") for i in wrong]
+    other = [(2000 + i, f"a{i} b{j}") for i, j in wrong.items()]
+    table = spark.createDataFrame(learned + right + other, "doc_id long, text string")
+    found = {r.doc_id: r.score for r in maxent.score(table, F.col("doc_id") >= 1000).collect()}
+    better = [found[1000 + i] > found[2000 + i] + 0.1 for i in wrong]
+    assert len(better) > 400 and np.mean(better) > 0.9
