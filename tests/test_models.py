@@ -54,6 +54,14 @@ def test_boosting_stops_and_keeps_the_first_rounds(spark, snapshot):
     assert pick(shorter) == pytest.approx(pick(stopped))
 
 
+def test_copies_of_an_account_do_not_delay_the_stop(spark, snapshot):
+    """With copies of its accounts on both sides a model would learn the held-back labels by heart, and boosting would go on."""
+    noise = snapshot.withColumn("churn_next_60d", (F.crc32(F.col("account_id")) % 3 == 0).cast("int"))
+    copies = noise.crossJoin(spark.range(5)).withColumn("account_id", F.concat("account_id", F.lit("-"), "id")).drop("id")
+    settings = models.ChurnSettings(rounds=40, patience=4, depth=3, learning_rate=0.5, min_leaf=5)
+    assert models.fit_churn_model(materialise(copies, "copies"), settings).stages[-1].getNumTrees < 20
+
+
 def test_prefix_measures_are_those_of_the_prefixes(spark, snapshot):
     """Loss and area of every prefix, measured at once, equal those of the truncated models."""
     ready = snapshot.withColumns({"label": F.col("churn_next_60d").cast("double"), "weight": F.lit(1.0)})

@@ -158,3 +158,22 @@ def test_bootstrap_repeats_itself_and_covers_the_rate(spark):
         if n > 1000:
             half = 1.96 * (rate * (1 - rate) / n) ** 0.5
             assert abs(low - (rate - half)) < 0.3 * half and abs(high - (rate + half)) < 0.3 * half
+
+
+def test_rows_alike_are_held_back_together(spark):
+    """Copies follow the smallest key, also where a column is null; rows without copies lie where their own key puts them."""
+    rows = [(f"K{k:03d}", k // 3 if k < 90 else k, None if k % 2 == 0 and k >= 90 else 0.5) for k in range(300)]
+    df = spark.createDataFrame(rows, "account_id string, x int, y double")
+    side = {r.account_id: r.held_back for r in splits.with_held_back(df, ["x", "y"], 0.3, 43).collect()}
+    own = {r.account_id: r.b < 3000 for r in df.select("account_id", splits.hash_bucket(F.col("account_id"), 43).alias("b")).collect()}
+    assert side == {key: own[f"K{x * 3:03d}" if x < 30 else key] for key, x, _ in rows}
+    assert len({side[key] for key, *_ in rows[:90]}) == 2 and side != own
+    assert splits.with_held_back(df, ["x"], 0.0, 43).where("held_back").isEmpty()
+
+
+def test_one_large_group_of_copies_is_folded_before_the_shuffle(spark):
+    df = spark.range(1000).select(F.concat(F.lit("K"), "id").alias("account_id"), F.floor(F.col("id") / 1000).alias("x"))
+    placed = splits.with_held_back(df, ["x"], 0.3, 43)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Window" not in plan
+    assert placed.select("held_back").distinct().count() == 1 and placed.count() == 1000
