@@ -96,25 +96,26 @@ def fragment(own: np.ndarray, fragments: int) -> np.ndarray:
 
 
 def size_bands(largest: int = 1 << 40) -> np.ndarray:
-    """Lower ends of the bands of set sizes, each half as large again as the one before."""
+    """Lower ends of the bands of set sizes, each twice the one before."""
     ends = [1]
     while ends[-1] < largest:
-        ends.append(max(ends[-1] + 1, ends[-1] * 3 // 2))
+        ends.append(2 * ends[-1])
     return np.array(ends)
 
 
 BANDS = size_bands()
-# Share of its fragments, the smallest ones, that a set does not sign: a few members in common say little.
+# Share of its fragments, the smallest ones, that no set of a band signs: a few members in common say little.
 UNSIGNED = 0.3
 
 
 def signatures(own: np.ndarray, percent: int) -> np.ndarray:
-    """Numbers of which two different sets with a Jaccard similarity of ``percent`` or more share at least one.
+    """Numbers of which two different sets with a Jaccard similarity of ``percent`` (50 at least) or more share at least one.
 
-    Sets x and y that similar differ in at most d = (|x| + |y|) (100 - percent) / (100 + percent) members. If the order of
-    all members is cut into d + 1 + u fragments, at least u + 1 of them hold the same members in both. A set signs all but its
-    u smallest fragments (ties by place): the largest fragment in common is not among the u smallest of either set, so both
-    sign it. d depends on the larger set's size band; a set close to the next band also signs for that one.
+    Sets x and y that similar differ in at most (|x| + |y|) (100 - percent) / (100 + percent) members, d. If the order of all members is
+    cut into c fragments, at least c - d of them hold the same members in both. A set whose partners can differ from it in at most e
+    members signs its e + 1 largest fragments (ties by place): the other c - e - 1 are fewer than the fragments in common, so the largest
+    in common is not among them. That holds for both sets, with their own e, so both sign it. c depends on the larger set's size
+    band; e on the largest partner that a set can have there. A set close to the next band also signs for that one.
     """
     n = len(own)
     if not n:
@@ -124,10 +125,11 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     for b in (band, band + 1):
         if b > band and 100 * n < percent * int(BANDS[b]):
             break
-        differing = 2 * (int(BANDS[b + 1]) - 1) * (100 - percent) // (100 + percent)
+        largest = int(BANDS[b + 1]) - 1
+        differing = (n + min(largest, 100 * n // percent)) * (100 - percent) // (100 + percent)
         if not differing:
             continue
-        count = math.ceil((differing + 1) / (1 - UNSIGNED))
+        count = math.ceil((2 * largest * (100 - percent) // (100 + percent) + 1) / (1 - UNSIGNED))
         place = fragment(own, count)
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         sums, places = np.add.reduceat(scrambled, first), place[first]

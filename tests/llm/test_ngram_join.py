@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
@@ -104,6 +105,26 @@ def test_similar_sets_share_a_signature(percent):
                 assert len(np.intersect1d(shingles.signatures(x, percent), shingles.signatures(y, percent)))
 
 
+def test_sets_of_twice_the_size_share_a_signature():
+    rng = np.random.default_rng(1)
+    with np.errstate(over="ignore"):
+        for n in range(2, 300):
+            y = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            for percent in (50, 80, 90):
+                x = np.sort(rng.permutation(y)[: max(1, math.ceil(n * percent / 100))])
+                if len(x) < len(y):
+                    assert len(np.intersect1d(shingles.signatures(x, percent), shingles.signatures(y, percent)))
+
+
+def test_signatures_follow_the_members_that_may_differ():
+    """A set signs for the partners it can have, not for the largest of its band."""
+    rng = np.random.default_rng(2)
+    sizes = [int(x) for x in np.geomspace(100, 1600, 60)]
+    with np.errstate(over="ignore"):
+        signed = [len(shingles.signatures(np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)), 80)) / n for n in sizes]
+    assert sum(signed) / len(signed) < 0.36 and max(signed) < 0.52
+
+
 def test_word_hashes_follow_the_words():
     texts = ["  A b\tc\x0bd\n", "", "a B C D", "x\x00y é É \x1c", "   ", "a\x85b"]
     hashes, bounds = shingles.word_hashes(pa.array(texts).slice(0))

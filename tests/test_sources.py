@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from frames import plan_of
@@ -111,6 +112,29 @@ def test_shared_folder_is_the_sessions(spark):
     assert kept.count() == 5 and folder in kept.inputFiles()[0]
 
 
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    """They would wait for the driver's garbage collection, and on large tables fill the disk."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        files = blocks.getAllFiles().iterator()
+        found = set()
+        while files.hasNext():
+            name = files.next().getName()
+            if name.startswith("shuffle_"):
+                found.add(name)
+        return found
+
+    before, counted = shuffle_files(), spark.range(1000).groupBy(F.col("id") % 7).count()
+    written = materialise(counted.withColumnRenamed("(id % 7)", "k").repartition("k"), "counted")
+    deadline = time.monotonic() + 20
+    while shuffle_files() - before and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert not shuffle_files() - before
+    assert written.count() == 7 and counted.count() == 7 and counted.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
 def test_jdbc_options():
     """No database may be started here, so only the shape of the call is checked."""
     calls = {}
