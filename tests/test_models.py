@@ -232,6 +232,14 @@ def test_value_models_train_no_churn_model(spark, monkeypatch):
     assert "account_id" in registry.trained_value(w)
 
 
+def test_registered_churn_model_trains_in_full(spark, monkeypatch):
+    """With a short patience boosting ends after a few trees."""
+    monkeypatch.setattr(registry, "_trained", {})
+    monkeypatch.setattr(registry.jobs, "train_churn", lambda features, settings=models.ChurnSettings(): settings)
+    used = registry.trained(SampleWarehouse(spark, "/root/testdata/sf0.001"))[1]
+    assert used == models.ChurnSettings() and (used.rounds, used.patience, used.learning_rate, used.depth) == (500, 30, 0.05, 6)
+
+
 def test_tables_of_all_accounts_are_not_broadcast(spark):
     few = spark.createDataFrame([("a", 1)], "account_id string, x int")
     joined = registry.beside(few, few.withColumnRenamed("x", "y"))
