@@ -4,6 +4,7 @@ import pytest
 from frames import by
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
 from ledgerloom.catalogue import registry
 from ledgerloom.catalogue.views import CUTOFF, SampleWarehouse
@@ -240,6 +241,26 @@ def test_registered_churn_model_trains_in_full(spark, monkeypatch):
     assert used == models.ChurnSettings() and (used.rounds, used.patience, used.learning_rate, used.depth) == (500, 30, 0.05, 6)
 
 
+def test_registered_value_model_trains_in_full(monkeypatch):
+    """Five large steps leave the forecast well short of what boosting reaches."""
+    monkeypatch.setattr(models, "fit_tweedie_value_model", lambda train, settings: settings)
+    used = registry.fit_tweedie(None)
+    assert used == tweedie.TweedieSettings() and (used.rounds, used.patience, used.learning_rate, used.depth) == (400, 30, 0.05, 6)
+
+
+def test_trees_saved_together_are_the_fitted_ones(spark):
+    rows = spark.range(80).select(
+        array_to_vector(F.array(F.col("id").cast("double"), (F.col("id") % 7).cast("double"))).alias("x"), F.sin("id").alias("y")
+    )
+    fit = lambda depth: RandomForestRegressor(numTrees=1, bootstrap=False, featuresCol="x", labelCol="y", maxDepth=depth, seed=1).fit(rows)
+    forests = [fit(depth) for depth in (3, 0, 5)]
+    trees = ensembles.fitted_trees(forests, spark)
+    assert [len(nodes) for _, nodes in trees] == [f.totalNumNodes for f in forests] and len(trees[1][1]) == 1
+    model = ensembles.boosted_regression(spark, GBTRegressor(featuresCol="x", predictionCol="f"), trees, 2)
+    for row in model.transform(rows).collect():
+        assert row.f == pytest.approx(sum(f.predict(row.x) for f in forests))
+
+
 def test_tables_of_all_accounts_are_not_broadcast(spark):
     few = spark.createDataFrame([("a", 1)], "account_id string, x int")
     joined = registry.beside(few, few.withColumnRenamed("x", "y"))
