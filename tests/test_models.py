@@ -248,6 +248,27 @@ def test_registered_value_model_trains_in_full(monkeypatch):
     assert used == tweedie.TweedieSettings() and (used.rounds, used.patience, used.learning_rate, used.depth) == (400, 30, 0.05, 6)
 
 
+def test_batch_scores_come_from_models_trained_in_full(spark, monkeypatch, churn, value):
+    """Both models of the registered scores have the limits of real training."""
+    used = {}
+
+    def train_churn(features, settings=models.ChurnSettings()):
+        used["churn"] = settings
+        return churn
+
+    def train_value(features, noise_seed=None, fit=models.fit_tweedie_value_model):
+        fit(features)
+        return value
+
+    monkeypatch.setattr(registry, "_trained", {})
+    monkeypatch.setattr(registry.jobs, "train_churn", train_churn)
+    monkeypatch.setattr(registry.jobs, "train_value", train_value)
+    monkeypatch.setattr(models, "fit_tweedie_value_model", lambda train, settings: used.update(value=settings))
+    scored = registry.batch_risk_scores(SampleWarehouse(spark, "/root/testdata/sf0.01"))
+    assert scored.columns == RISK_SCORES.schema.names
+    assert used == {"churn": models.ChurnSettings(), "value": tweedie.TweedieSettings()}
+
+
 def test_trees_saved_together_are_the_fitted_ones(spark):
     rows = spark.range(80).select(
         array_to_vector(F.array(F.col("id").cast("double"), (F.col("id") % 7).cast("double"))).alias("x"), F.sin("id").alias("y")
